@@ -164,3 +164,279 @@ def q_pred_features(spark, sf):
 def q_train_features_fanout(spark, sf):
     inp = fx.load(spark, sf)
     return inp.train_features(items=inp.items_fanout)
+
+
+# ---- strategies (F8-F11, K1-K10, J8-J12, A22, A25) ----
+from cartwheel.operators import strategies as st  # noqa: E402
+from cartwheel.operators import metrics as mx  # noqa: E402
+from cartwheel.operators import tuning as tn  # noqa: E402
+from cartwheel.operators import sampling as sm  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+def _pred(spark, sf):
+    """(inputs, predict features, results) with the stand-in score."""
+    inp = fx.load(spark, sf)
+    pf = inp.pred_features()
+    results = st.dedupe_results(pf.withColumn("pred_prob", _score()))
+    return inp, pf, results
+
+
+def _score():
+    from cartwheel.functions.exprs import stand_in_score
+    return stand_in_score()
+
+
+def _scored_train(spark, sf):
+    """Train features with label and the stand-in score."""
+    return fx.load(spark, sf).train_features().withColumn("pred_prob", _score())
+
+
+@register("strong_pairs")
+def q_strong_pairs(spark, sf):
+    _, pf, _ = _pred(spark, sf)
+    return st.strong_pairs(pf)
+
+
+@register("prefilter_strong")
+def q_prefilter_strong(spark, sf):
+    _, pf, res = _pred(spark, sf)
+    return st.prefilter(res, pf, strong_only=True)
+
+
+@register("prefilter_min_prob")
+def q_prefilter_min_prob(spark, sf):
+    _, pf, res = _pred(spark, sf)
+    return st.prefilter(res, pf, strong_only=True, min_prob="0.3")
+
+
+@register("result_dedup")
+def q_result_dedup(spark, sf):
+    inp = fx.load(spark, sf)
+    tf = inp.train_features(items=inp.items_fanout).withColumn("pred_prob", _score())
+    return st.dedupe_results(tf)
+
+
+@register("topk_per_user")
+def q_topk_per_user(spark, sf):
+    _, _, res = _pred(spark, sf)
+    return st.topk_per_user(res, 5)
+
+
+@register("two_stage")
+def q_two_stage(spark, sf):
+    _, pf, res = _pred(spark, sf)
+    return st.two_stage(res, st.strong_pairs(pf), k=3, m=1)
+
+
+@register("threshold_select")
+def q_threshold_select(spark, sf):
+    _, _, res = _pred(spark, sf)
+    return st.threshold_select(res, 0.5)
+
+
+@register("global_topn")
+def q_global_topn(spark, sf):
+    _, _, res = _pred(spark, sf)
+    return st.global_topn(res, 100)
+
+
+@register("cart_only")
+def q_cart_only(spark, sf):
+    _, pf, res = _pred(spark, sf)
+    return st.cart_only(pf, res, max_rows=fx.CART_MAX_ROWS_SMALL, cart_days_max=3)
+
+
+@register("cart_only_relaxed")
+def q_cart_only_relaxed(spark, sf):
+    _, pf, res = _pred(spark, sf)
+    return st.cart_only(pf, res, max_rows=fx.CART_MAX_ROWS_LARGE, cart_days_max=3)
+
+
+@register("cap_submission")
+def q_cap_submission(spark, sf):
+    _, pf, res = _pred(spark, sf)
+    recs = st.two_stage(res, st.strong_pairs(pf), k=5, m=1)
+    return st.cap_submission(recs, res, 300)
+
+
+@register("exclude_day_buys")
+def q_exclude_day_buys(spark, sf):
+    inp, pf, res = _pred(spark, sf)
+    recs = st.two_stage(res, st.strong_pairs(pf), k=5, m=1)
+    return st.exclude_day_buys(recs, inp.actions, inp.label_date)
+
+
+@register("submission")
+def q_submission(spark, sf):
+    """K10 with the INI setup: strong_only, min_prob 0.09, cart_only (window 1),
+    then the day exclusion and a cap of 100."""
+    inp, pf, res = _pred(spark, sf)
+    pre = st.prefilter(res, pf, strong_only=True, min_prob=0.09)
+    recs = st.select_by_strategy({"name": "cart"}, pre, pf, max_rows=45000, cart_days_max=1)
+    return st.post_chain(recs, pre, inp.actions, exclude_day=inp.label_date, max_submission=100)
+
+
+@register("threshold_by_quantile")
+def q_threshold_by_quantile(spark, sf):
+    _, _, res = _pred(spark, sf)
+    return st.threshold_by_quantile(res, 0.1, 0.5)
+
+
+@register("threshold_with_fallback")
+def q_threshold_with_fallback(spark, sf):
+    _, pf, res = _pred(spark, sf)
+    return st.threshold_with_fallback(res, st.strong_pairs(pf), 0.6, fallback=(3, 1), min_rows=1000)
+
+
+@register("score_quantiles")
+def q_score_quantiles(spark, sf):
+    _, _, res = _pred(spark, sf)
+    q = st.exact_quantiles(res, "pred_prob", [0.5, 0.9, 0.999])
+    return q.select(F.col("q0").alias("q50"), F.col("q1").alias("q90"), F.col("q2").alias("q999"))
+
+
+# ---- metrics (E1-E7, E16, A26) ----
+def _r9(df):
+    """Round doubles to 9 digits (summation order differs between engines)."""
+    return df.select(*[F.round(F.col(f.name), 9).alias(f.name) if f.dataType.typeName() == "double"
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+@register("auc")
+def q_auc(spark, sf):
+    return _r9(mx.auc(_scored_train(spark, sf)))
+
+
+@register("precision_recall_at_k")
+def q_precision_recall_at_k(spark, sf):
+    return _r9(mx.ranking_metrics(_scored_train(spark, sf)).select("k", "precision", "recall", "f1"))
+
+
+@register("hit_ratio_at_k")
+def q_hit_ratio_at_k(spark, sf):
+    return _r9(mx.ranking_metrics(_scored_train(spark, sf)).select("k", "hit_ratio"))
+
+
+@register("ndcg_at_k")
+def q_ndcg_at_k(spark, sf):
+    return _r9(mx.ranking_metrics(_scored_train(spark, sf)).select("k", "ndcg"))
+
+
+@register("metric_report")
+def q_metric_report(spark, sf):
+    return _r9(mx.metric_report(_scored_train(spark, sf)))
+
+
+@register("f1_counts")
+def q_f1_counts(spark, sf):
+    return _r9(mx.f1_row(mx.threshold_counts(_scored_train(spark, sf), 0.3)))
+
+
+@register("score_summary")
+def q_score_summary(spark, sf):
+    return _r9(mx.score_summary(_scored_train(spark, sf), 0.5))
+
+
+# ---- tuning (E8-E15) ----
+@register("eval_two_stage")
+def q_eval_two_stage(spark, sf):
+    return _r9(tn.eval_two_stage(_scored_train(spark, sf), 3, 1))
+
+
+@register("eval_threshold")
+def q_eval_threshold(spark, sf):
+    return _r9(tn.eval_threshold(_scored_train(spark, sf), 0.5))
+
+
+@register("eval_cart_only")
+def q_eval_cart_only(spark, sf):
+    return _r9(tn.eval_cart_only(_scored_train(spark, sf), days_max=1, min_prob=0.09, max_submission=0))
+
+
+@register("eval_forced")
+def q_eval_forced(spark, sf):
+    """E11 with the INI setup: cart_only, strong_only, min_prob 0.09, cap 45000."""
+    return _r9(tn.eval_forced(_scored_train(spark, sf), {"name": "cart_only"}, sample_user_frac=0.02,
+                              min_prob=0.09, max_submission=45000, strong_only=True, cart_days_max=1))
+
+
+@register("eval_forced_topk")
+def q_eval_forced_topk(spark, sf):
+    return _r9(tn.eval_forced(_scored_train(spark, sf), {"name": "topk", "k": 3, "m": 1},
+                              sample_user_frac=0.02, min_prob=0.3, max_submission=100))
+
+
+@register("grid_two_stage")
+def q_grid_two_stage(spark, sf):
+    return _r9(tn.grid_two_stage(_scored_train(spark, sf)))
+
+
+@register("grid_threshold")
+def q_grid_threshold(spark, sf):
+    return _r9(tn.grid_threshold(_scored_train(spark, sf)))
+
+
+@register("chosen_strategy")
+def q_chosen_strategy(spark, sf):
+    df = _scored_train(spark, sf)
+    return _r9(tn.strategy_row(df, tn.choose_strategy(df)))
+
+
+@register("full_validation")
+def q_full_validation(spark, sf):
+    """Two-stage (5, 1) after the strong-only pre-filter, in-sample."""
+    tf = fx.load(spark, sf).train_features()
+    scored = tf.withColumn("pred_prob", _score())
+    return _r9(tn.full_validation(scored, tf, {"name": "topk_two_stage", "k": 5, "m": 1}, strong_only=True))
+
+
+# ---- sampling (N1-N9) ----
+def _tf(spark, sf):
+    return fx.load(spark, sf).train_features()
+
+
+@register("neg_sample")
+def q_neg_sample(spark, sf):
+    return sm.downsample_negatives(_tf(spark, sf), neg_pos_ratio=20, seed=fx.SEED)
+
+
+@register("neg_sample_by_user")
+def q_neg_sample_by_user(spark, sf):
+    return sm.downsample_negatives(_tf(spark, sf), neg_pos_ratio=5, seed=fx.SEED, by_user=True)
+
+
+@register("neg_sample_bucketed")
+def q_neg_sample_bucketed(spark, sf):
+    return sm.downsample_negatives_bucketed(_tf(spark, sf), neg_pos_ratio=20, bounds=(1, 3, 7), seed=fx.SEED)
+
+
+@register("neg_sample_chained")
+def q_neg_sample_chained(spark, sf):
+    return sm.downsample_chained(_tf(spark, sf), neg_pos_ratio=1, neg_max_gap_days=3, bounds=(1, 3, 7),
+                                 seed=fx.SEED)
+
+
+@register("user_sample")
+def q_user_sample(spark, sf):
+    return sm.user_sample(_tf(spark, sf), frac=0.02, seed=fx.SEED, floor=50)
+
+
+@register("balanced_sample")
+def q_balanced_sample(spark, sf):
+    return sm.balanced_sample(_tf(spark, sf), per_class=100, seed=fx.SEED)
+
+
+@register("recency_bucket")
+def q_recency_bucket(spark, sf):
+    return sm.recency_bucket(_tf(spark, sf)).select("user_id", "item_id", "label", "bucket")
+
+
+@register("group_kfold")
+def q_group_kfold(spark, sf):
+    return sm.group_kfold(_tf(spark, sf), 5, fx.SEED).select("user_id", "item_id", "label", "fold")
+
+
+@register("stratified_kfold")
+def q_stratified_kfold(spark, sf):
+    return sm.stratified_kfold(_tf(spark, sf), 5, fx.SEED).select("user_id", "item_id", "label", "fold")

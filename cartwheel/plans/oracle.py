@@ -312,3 +312,238 @@ _reg("user_category_features", with_(*_TF) + "\nSELECT * FROM ucf")
 _reg("train_features", with_(*train_features_cte("tf")) + "\nSELECT * FROM tf")
 _reg("pred_features", with_(*pred_features_cte("pfa")) + "\nSELECT * FROM pfa")
 _reg("train_features_fanout", with_(*train_features_cte("tf", ITEMS_FANOUT)) + "\nSELECT * FROM tf")
+
+
+# ---- strategies ----
+STRONG_COND = ("(coalesce(ui_cart_count, 0) > 0 OR coalesce(ui_collect_count, 0) > 0 "
+               "OR coalesce(recent_3d_actions, 0) > 0 OR coalesce(ui_days_since_last_action, 0) <= 3 "
+               "OR coalesce(ui_purchase_count, 0) > 0)")
+
+PRED_BASE = [*pred_features_cte("pfa"),
+             f"scored AS (SELECT *, {SCORE} AS pred_prob FROM pfa)",
+             "results AS (SELECT user_id, item_id, max(pred_prob) AS pred_prob FROM scored GROUP BY user_id, item_id)",
+             f"strong AS (SELECT DISTINCT user_id, item_id FROM pfa WHERE {STRONG_COND})"]
+
+
+def two_stage_sql(name: str, res: str, k: int, m: int, strong: str = "strong") -> list[str]:
+    return [
+        f"""{name}_f AS (
+  SELECT r.user_id, r.item_id, r.pred_prob,
+         EXISTS (SELECT 1 FROM {strong} s WHERE s.user_id = r.user_id AND s.item_id = r.item_id) AS is_strong
+  FROM {res} r)""",
+        f"""{name}_r AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, is_strong ORDER BY pred_prob DESC, item_id) AS rn
+  FROM {name}_f)""",
+        f"""{name}_n AS (
+  SELECT *, coalesce(max(CASE WHEN is_strong THEN rn END) OVER (PARTITION BY user_id), 0) AS n_strong
+  FROM {name}_r)""",
+        f"""{name} AS (
+  SELECT user_id, item_id, pred_prob FROM {name}_n
+  WHERE CASE WHEN is_strong THEN rn <= least({m}, n_strong, {k})
+             ELSE rn <= {k} - least({m}, n_strong, {k}) END)""",
+    ]
+
+
+def cart_sql(name: str, feats: str, res: str, max_rows: int, days_max: int) -> list[str]:
+    return [
+        f"""{name}_p AS (
+  SELECT user_id, item_id, min(coalesce(ui_days_since_last_action, 999)) AS min_gap
+  FROM {feats} WHERE coalesce(ui_cart_count, 0) > 0 GROUP BY user_id, item_id)""",
+        f"""{name}_pool AS (
+  SELECT r.user_id, r.item_id, r.pred_prob, c.min_gap
+  FROM {res} r JOIN {name}_p c ON c.user_id = r.user_id AND c.item_id = r.item_id)""",
+        f"""{name}_d AS (
+  SELECT CASE WHEN {days_max} < 2 OR count(*) FILTER (WHERE min_gap <= 1) >= {max_rows} THEN 1
+              WHEN {days_max} < 3 OR count(*) FILTER (WHERE min_gap <= 2) >= {max_rows} THEN 2
+              ELSE 3 END AS d
+  FROM {name}_pool)""",
+        f"""{name} AS (
+  SELECT user_id, item_id, pred_prob FROM {name}_pool
+  WHERE min_gap <= (SELECT d FROM {name}_d)
+  QUALIFY row_number() OVER (ORDER BY pred_prob DESC, user_id, item_id) <= {max_rows})""",
+    ]
+
+
+_reg("strong_pairs", with_(*PRED_BASE) + "\nSELECT user_id, item_id FROM strong")
+_reg("prefilter_strong", with_(*PRED_BASE) + """
+SELECT r.* FROM results r WHERE EXISTS (SELECT 1 FROM strong s WHERE s.user_id = r.user_id AND s.item_id = r.item_id)""")
+_reg("prefilter_min_prob", with_(*PRED_BASE) + """
+SELECT r.* FROM results r WHERE EXISTS (SELECT 1 FROM strong s WHERE s.user_id = r.user_id AND s.item_id = r.item_id)
+  AND r.pred_prob >= 0.3""")
+_reg("result_dedup", with_(*train_features_cte("tf", ITEMS_FANOUT)) + f"""
+SELECT user_id, item_id, max({SCORE}) AS pred_prob FROM tf GROUP BY user_id, item_id""")
+_reg("topk_per_user", with_(*PRED_BASE) + """
+SELECT user_id, item_id FROM results
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY pred_prob DESC, item_id) <= 5""")
+_reg("two_stage", with_(*PRED_BASE, *two_stage_sql("ts", "results", 3, 1)) + "\nSELECT user_id, item_id FROM ts")
+_reg("threshold_select", with_(*PRED_BASE) + "\nSELECT user_id, item_id FROM results WHERE pred_prob >= 0.5")
+_reg("global_topn", with_(*PRED_BASE) + """
+SELECT user_id, item_id FROM results ORDER BY pred_prob DESC, user_id, item_id LIMIT 100""")
+_reg("cart_only", with_(*PRED_BASE, *cart_sql("co", "pfa", "results", CART_MAX_ROWS_SMALL, 3))
+     + "\nSELECT user_id, item_id FROM co")
+_reg("cart_only_relaxed", with_(*PRED_BASE, *cart_sql("co", "pfa", "results", CART_MAX_ROWS_LARGE, 3))
+     + "\nSELECT user_id, item_id FROM co")
+_reg("cap_submission", with_(*PRED_BASE, *two_stage_sql("ts", "results", 5, 1)) + """
+SELECT t.user_id, t.item_id FROM ts t LEFT JOIN results r ON r.user_id = t.user_id AND r.item_id = t.item_id
+ORDER BY coalesce(r.pred_prob, 0) DESC, t.user_id, t.item_id LIMIT 300""")
+BUYS_L = f"buys AS (SELECT DISTINCT user_id, item_id FROM actions WHERE dt = {D(0)} AND behavior_type = 4)"
+_reg("exclude_day_buys", with_(*PRED_BASE, *two_stage_sql("ts", "results", 5, 1), BUYS_L) + """
+SELECT t.user_id, t.item_id FROM ts t
+WHERE NOT EXISTS (SELECT 1 FROM buys b WHERE b.user_id = t.user_id AND b.item_id = t.item_id)""")
+_reg("submission", with_(
+    *PRED_BASE,
+    """pre AS (SELECT r.* FROM results r
+  WHERE EXISTS (SELECT 1 FROM strong s WHERE s.user_id = r.user_id AND s.item_id = r.item_id)
+    AND r.pred_prob >= 0.09)""",
+    *cart_sql("co", "pfa", "pre", 45000, 1), BUYS_L,
+    """kept AS (SELECT c.user_id, c.item_id FROM co c
+  WHERE NOT EXISTS (SELECT 1 FROM buys b WHERE b.user_id = c.user_id AND b.item_id = c.item_id))""",
+    """capped AS (SELECT k.user_id, k.item_id FROM kept k
+  LEFT JOIN pre p ON p.user_id = k.user_id AND p.item_id = k.item_id
+  ORDER BY coalesce(p.pred_prob, 0) DESC, k.user_id, k.item_id LIMIT 100)""")
+     + "\nSELECT DISTINCT user_id, item_id FROM capped")
+_reg("threshold_by_quantile", with_(*PRED_BASE) + """
+SELECT coalesce(quantile_cont(pred_prob, 0.9), 0.5) AS threshold FROM results""")
+_reg("threshold_with_fallback", with_(
+    *PRED_BASE, "thr AS (SELECT user_id, item_id FROM results WHERE pred_prob >= 0.6)",
+    *two_stage_sql("ts", "results", 3, 1)) + """
+SELECT user_id, item_id FROM thr WHERE (SELECT count(*) FROM thr) >= 1000
+UNION ALL
+SELECT user_id, item_id FROM ts WHERE (SELECT count(*) FROM thr) < 1000""")
+_reg("score_quantiles", with_(*PRED_BASE) + """
+SELECT quantile_cont(pred_prob, 0.5) AS q50, quantile_cont(pred_prob, 0.9) AS q90,
+       quantile_cont(pred_prob, 0.999) AS q999 FROM results""")
+
+# ---- metrics ----
+TRAIN_SCORED = [*train_features_cte("tf"), f"sc AS (SELECT *, {SCORE} AS pred_prob FROM tf)"]
+KS = (1, 3, 5, 10)
+
+
+def _per_user_sql() -> list[str]:
+    hits = ",\n".join(
+        f"  CAST(coalesce(sum(label) FILTER (WHERE rn <= {k}), 0) AS DOUBLE) AS hits_{k},\n"
+        f"  coalesce(sum(label / log2(rn + 1)) FILTER (WHERE rn <= {k}), 0.0) AS dcg_{k}"
+        for k in KS)
+    cols = ",\n".join(
+        f"  hits_{k} / {float(k)} AS p_{k},\n"
+        f"  CASE WHEN npos > 0 THEN hits_{k} / npos ELSE 0.0 END AS r_{k},\n"
+        f"  CASE WHEN hits_{k} > 0 THEN 1.0 ELSE 0.0 END AS h_{k},\n"
+        f"  CASE WHEN least({k}, npos) > 0 THEN dcg_{k} / list_sum(list_transform(range(1, CAST(least({k}, npos) AS BIGINT) + 1), lambda i: 1.0 / log2(i + 1))) ELSE 0.0 END AS n_{k}"
+        for k in KS)
+    return [
+        "rk AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY pred_prob DESC, item_id) AS rn FROM sc)",
+        f"pu0 AS (SELECT user_id, CAST(sum(label) AS DOUBLE) AS npos,\n{hits}\nFROM rk GROUP BY user_id)",
+        f"pu AS (SELECT user_id,\n{cols}\nFROM pu0)",
+        "avgs AS (SELECT " + ", ".join(f"avg(p_{k}) AS p_{k}, avg(r_{k}) AS r_{k}, avg(h_{k}) AS h_{k}, avg(n_{k}) AS n_{k}" for k in KS) + " FROM pu)",
+        "rm AS (" + "\nUNION ALL\n".join(
+            f"SELECT {k} AS k, p_{k} AS precision, r_{k} AS recall, "
+            f"CASE WHEN p_{k} + r_{k} > 0 THEN 2 * p_{k} * r_{k} / (p_{k} + r_{k}) ELSE 0.0 END AS f1, "
+            f"h_{k} AS hit_ratio, n_{k} AS ndcg FROM avgs" for k in KS) + ")",
+    ]
+
+
+AUC_CTES = [
+    """bs AS (SELECT pred_prob AS s, count(*) FILTER (WHERE label = 1) AS pos,
+                 count(*) FILTER (WHERE label <> 1) AS neg FROM sc GROUP BY pred_prob)""",
+    """cum AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM bs)""",
+    """auc AS (SELECT CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+          THEN sum(CAST(pos AS DOUBLE) * (CAST(nb AS DOUBLE) + neg / 2.0)) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE))
+          END AS auc FROM cum)""",
+]
+_reg("auc", with_(*TRAIN_SCORED, *AUC_CTES) + "\nSELECT round(auc, 9) AS auc FROM auc")
+_reg("precision_recall_at_k", with_(*TRAIN_SCORED, *_per_user_sql()) + """
+SELECT k, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1 FROM rm""")
+_reg("hit_ratio_at_k", with_(*TRAIN_SCORED, *_per_user_sql()) + "\nSELECT k, round(hit_ratio, 9) AS hit_ratio FROM rm")
+_reg("ndcg_at_k", with_(*TRAIN_SCORED, *_per_user_sql()) + "\nSELECT k, round(ndcg, 9) AS ndcg FROM rm")
+_reg("metric_report", with_(*TRAIN_SCORED, *_per_user_sql(), *AUC_CTES) + "\n" + "\nUNION ALL\n".join(
+    [f"SELECT '{m}' AS metric, k, round({m}, 9) AS value FROM rm" for m in ("precision", "recall", "f1", "hit_ratio", "ndcg")]
+    + ["SELECT 'auc' AS metric, 0 AS k, round(auc, 9) AS value FROM auc"]))
+
+
+def f1_sql(counts: str) -> str:
+    """Adds f1/precision/recall (rounded) to a one-row counts CTE."""
+    return f"""SELECT tp, pred_cnt, true_pos,
+  round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END, 9) AS f1,
+  round(p, 9) AS precision, round(r, 9) AS recall
+FROM (SELECT *, CASE WHEN pred_cnt > 0 AND true_pos > 0 THEN CAST(tp AS DOUBLE) / pred_cnt ELSE 0.0 END AS p,
+             CASE WHEN pred_cnt > 0 AND true_pos > 0 THEN CAST(tp AS DOUBLE) / true_pos ELSE 0.0 END AS r
+      FROM {counts}) x"""
+
+
+def thr_counts(src: str, t: float) -> str:
+    return f"""(SELECT count(*) FILTER (WHERE pred_prob >= {t}) AS pred_cnt,
+        CAST(coalesce(sum(label) FILTER (WHERE pred_prob >= {t}), 0) AS BIGINT) AS tp,
+        CAST(coalesce(sum(label), 0) AS BIGINT) AS true_pos FROM {src})"""
+
+
+_reg("f1_counts", with_(*TRAIN_SCORED) + "\n" + f1_sql(thr_counts("sc", 0.3)))
+_reg("score_summary", with_(*TRAIN_SCORED) + """
+SELECT round(avg(CASE WHEN pred_prob >= 0.5 THEN 1.0 ELSE 0.0 END), 9) AS share_ge_t,
+       round(avg(CAST(label AS DOUBLE)), 9) AS pos_rate, count(DISTINCT user_id) AS users FROM sc""")
+
+# ---- tuning ----
+_STRONG_ROW = f"*, {STRONG_COND} AS is_strong"
+
+
+def _ts_rows(k: int, m: int) -> list[str]:
+    return [
+        f"fl AS (SELECT {_STRONG_ROW} FROM sc)",
+        "fr AS (SELECT *, row_number() OVER (PARTITION BY user_id, is_strong ORDER BY pred_prob DESC, item_id) AS rn FROM fl)",
+        "fn AS (SELECT *, coalesce(max(CASE WHEN is_strong THEN rn END) OVER (PARTITION BY user_id), 0) AS n_strong FROM fr)",
+    ]
+
+
+def _ts_keep(k: int, m: int) -> str:
+    return (f"CASE WHEN is_strong THEN rn <= least({m}, n_strong, {k}) "
+            f"ELSE rn <= {k} - least({m}, n_strong, {k}) END")
+
+
+_reg("eval_two_stage", with_(*TRAIN_SCORED, *_ts_rows(3, 1)) + "\n" + f1_sql(
+    f"""(SELECT CAST(coalesce(sum(label) FILTER (WHERE {_ts_keep(3, 1)}), 0) AS BIGINT) AS tp,
+        count(*) FILTER (WHERE {_ts_keep(3, 1)}) AS pred_cnt,
+        CAST(coalesce(sum(label), 0) AS BIGINT) AS true_pos, 3 AS k, 1 AS m FROM fn)""").replace(
+    "SELECT tp, pred_cnt, true_pos,", "SELECT k, m, tp, pred_cnt, true_pos,", 1))
+_reg("eval_threshold", with_(*TRAIN_SCORED) + "\n" + f1_sql(thr_counts("sc", 0.5)))
+_reg("eval_cart_only", with_(*TRAIN_SCORED) + "\n" + f1_sql(
+    """(SELECT count(*) FILTER (WHERE coalesce(ui_cart_count, 0) > 0 AND coalesce(ui_days_since_last_action, 999) <= 1 AND pred_prob >= 0.09) AS pred_cnt,
+        CAST(coalesce(sum(label) FILTER (WHERE coalesce(ui_cart_count, 0) > 0 AND coalesce(ui_days_since_last_action, 999) <= 1 AND pred_prob >= 0.09), 0) AS BIGINT) AS tp,
+        CAST(coalesce(sum(label), 0) AS BIGINT) AS true_pos FROM sc)"""))
+_reg("eval_forced", with_(*TRAIN_SCORED, f"ss AS (SELECT * FROM sc WHERE {STRONG_COND})",
+                          """sel AS (SELECT * FROM ss
+  WHERE coalesce(ui_cart_count, 0) > 0 AND coalesce(ui_days_since_last_action, 999) <= 1 AND pred_prob >= 0.09
+  QUALIFY row_number() OVER (ORDER BY pred_prob DESC, user_id, item_id) <= 45000)""") + "\n" + f1_sql(
+    """(SELECT (SELECT count(*) FROM sel) AS pred_cnt,
+        (SELECT CAST(coalesce(sum(label), 0) AS BIGINT) FROM sel) AS tp,
+        (SELECT CAST(coalesce(sum(label), 0) AS BIGINT) FROM ss) AS true_pos,
+        (SELECT count(DISTINCT user_id) FROM ss) AS users)""").replace(
+    "SELECT tp, pred_cnt, true_pos,", "SELECT 'cart_only' AS strategy, users, tp, pred_cnt, true_pos,", 1))
+_reg("eval_forced_topk", with_(*TRAIN_SCORED, *_ts_rows(3, 1),
+                               f"""sel AS (SELECT * FROM fn WHERE {_ts_keep(3, 1)} AND pred_prob >= 0.3
+  QUALIFY row_number() OVER (ORDER BY pred_prob DESC, user_id, item_id) <= 100)""") + "\n" + f1_sql(
+    """(SELECT (SELECT count(*) FROM sel) AS pred_cnt,
+        (SELECT CAST(coalesce(sum(label), 0) AS BIGINT) FROM sel) AS tp,
+        (SELECT CAST(coalesce(sum(label), 0) AS BIGINT) FROM sc) AS true_pos,
+        (SELECT count(DISTINCT user_id) FROM sc) AS users)""").replace(
+    "SELECT tp, pred_cnt, true_pos,", "SELECT 'topk_two_stage' AS strategy, users, tp, pred_cnt, true_pos,", 1))
+
+_GRID = [(k, m) for k in (3, 5, 8, 10, 12, 15) for m in (0, 1, 2, 3, 5) if m <= k]
+_reg("grid_two_stage", with_(*TRAIN_SCORED, *_ts_rows(15, 0),
+                             "grid(grid_idx, k, m) AS (VALUES " + ", ".join(f"({i}, {k}, {m})" for i, (k, m) in enumerate(_GRID)) + ")",
+                             """cnt AS (SELECT g.grid_idx, g.k, g.m,
+    CAST(coalesce(sum(f.label) FILTER (WHERE CASE WHEN f.is_strong THEN f.rn <= least(g.m, f.n_strong, g.k) ELSE f.rn <= g.k - least(g.m, f.n_strong, g.k) END), 0) AS BIGINT) AS tp,
+    count(f.rn) FILTER (WHERE CASE WHEN f.is_strong THEN f.rn <= least(g.m, f.n_strong, g.k) ELSE f.rn <= g.k - least(g.m, f.n_strong, g.k) END) AS pred_cnt,
+    (SELECT CAST(coalesce(sum(label), 0) AS BIGINT) FROM sc) AS true_pos
+  FROM grid g LEFT JOIN fn f ON TRUE GROUP BY g.grid_idx, g.k, g.m)""") + "\n"
+     + f1_sql("cnt").replace("SELECT tp, pred_cnt, true_pos,", "SELECT grid_idx, k, m, tp, pred_cnt, true_pos,", 1))
+
+_THR_GRID = """tq AS (SELECT quantile_cont(pred_prob, 0.9) AS lo, quantile_cont(pred_prob, 0.999) AS hi FROM sc),
+tg AS (SELECT i AS grid_idx, CASE WHEN i = 24 THEN hi ELSE lo + i * ((hi - lo) / 24) END AS threshold
+       FROM tq, range(0, 25) r(i))"""
+_reg("grid_threshold", with_(*TRAIN_SCORED, _THR_GRID, """tc AS (SELECT g.grid_idx, g.threshold,
+    CAST(coalesce(sum(s.label) FILTER (WHERE s.pred_prob >= g.threshold), 0) AS BIGINT) AS tp,
+    count(*) FILTER (WHERE s.pred_prob >= g.threshold) AS pred_cnt,
+    CAST(coalesce(sum(s.label), 0) AS BIGINT) AS true_pos,
+    CAST(count(*) FILTER (WHERE s.pred_prob >= g.threshold) AS DOUBLE) / count(*) AS q_level
+  FROM tg g, sc s GROUP BY g.grid_idx, g.threshold)""") + "\n"
+     + f1_sql("tc").replace("SELECT tp, pred_cnt, true_pos,",
+                            "SELECT grid_idx, round(threshold, 9) AS threshold, tp, pred_cnt, true_pos, round(q_level, 9) AS q_level,", 1))
