@@ -547,3 +547,144 @@ _reg("grid_threshold", with_(*TRAIN_SCORED, _THR_GRID, """tc AS (SELECT g.grid_i
   FROM tg g, sc s GROUP BY g.grid_idx, g.threshold)""") + "\n"
      + f1_sql("tc").replace("SELECT tp, pred_cnt, true_pos,",
                             "SELECT grid_idx, round(threshold, 9) AS threshold, tp, pred_cnt, true_pos, round(q_level, 9) AS q_level,", 1))
+
+
+# ---- strategy choice and full validation ----
+def _f1_cols(tp="tp", pc="pred_cnt", tpos="true_pos") -> str:
+    p = f"CASE WHEN {pc} > 0 AND {tpos} > 0 THEN CAST({tp} AS DOUBLE) / {pc} ELSE 0.0 END"
+    r = f"CASE WHEN {pc} > 0 AND {tpos} > 0 THEN CAST({tp} AS DOUBLE) / {tpos} ELSE 0.0 END"
+    return f"CASE WHEN ({p}) + ({r}) > 0 THEN 2 * ({p}) * ({r}) / (({p}) + ({r})) ELSE 0.0 END AS f1"
+
+
+_reg("chosen_strategy", with_(
+    *TRAIN_SCORED, *_ts_rows(15, 0),
+    "grid(grid_idx, k, m) AS (VALUES " + ", ".join(f"({i}, {k}, {m})" for i, (k, m) in enumerate(_GRID)) + ")",
+    """gcnt AS (SELECT g.grid_idx, g.k, g.m,
+    CAST(coalesce(sum(f.label) FILTER (WHERE CASE WHEN f.is_strong THEN f.rn <= least(g.m, f.n_strong, g.k) ELSE f.rn <= g.k - least(g.m, f.n_strong, g.k) END), 0) AS BIGINT) AS tp,
+    count(f.rn) FILTER (WHERE CASE WHEN f.is_strong THEN f.rn <= least(g.m, f.n_strong, g.k) ELSE f.rn <= g.k - least(g.m, f.n_strong, g.k) END) AS pred_cnt,
+    (SELECT CAST(coalesce(sum(label), 0) AS BIGINT) FROM sc) AS true_pos
+  FROM grid g LEFT JOIN fn f ON TRUE GROUP BY g.grid_idx, g.k, g.m)""",
+    f"bt AS (SELECT *, {_f1_cols()} FROM gcnt ORDER BY f1 DESC, grid_idx LIMIT 1)",
+    _THR_GRID,
+    """tcnt AS (SELECT g.grid_idx, g.threshold,
+    CAST(coalesce(sum(s.label) FILTER (WHERE s.pred_prob >= g.threshold), 0) AS BIGINT) AS tp,
+    count(*) FILTER (WHERE s.pred_prob >= g.threshold) AS pred_cnt,
+    CAST(coalesce(sum(s.label), 0) AS BIGINT) AS true_pos,
+    CAST(count(*) FILTER (WHERE s.pred_prob >= g.threshold) AS DOUBLE) / count(*) AS q_level
+  FROM tg g, sc s GROUP BY g.grid_idx, g.threshold)""",
+    f"bh AS (SELECT *, {_f1_cols()} FROM tcnt ORDER BY f1 DESC, grid_idx LIMIT 1)") + """
+SELECT CASE WHEN bt.f1 >= bh.f1 THEN 'topk_two_stage' ELSE 'threshold' END AS name,
+       CAST(CASE WHEN bt.f1 >= bh.f1 THEN bt.k END AS INTEGER) AS k,
+       CAST(CASE WHEN bt.f1 >= bh.f1 THEN bt.m END AS INTEGER) AS m,
+       round(CASE WHEN bt.f1 >= bh.f1 THEN NULL ELSE bh.threshold END, 9) AS threshold,
+       round(CASE WHEN bt.f1 >= bh.f1 THEN NULL ELSE bh.q_level END, 9) AS q_level,
+       CAST(CASE WHEN bt.f1 >= bh.f1 THEN NULL ELSE bt.k END AS INTEGER) AS fallback_k,
+       CAST(CASE WHEN bt.f1 >= bh.f1 THEN NULL ELSE bt.m END AS INTEGER) AS fallback_m
+FROM bt, bh""")
+
+_reg("full_validation", with_(
+    *TRAIN_SCORED,
+    "res_v AS (SELECT user_id, item_id, max(pred_prob) AS pred_prob, max(label) AS label FROM sc GROUP BY user_id, item_id)",
+    f"strong_t AS (SELECT DISTINCT user_id, item_id FROM tf WHERE {STRONG_COND})",
+    """res AS (SELECT user_id, item_id, pred_prob FROM res_v r
+  WHERE EXISTS (SELECT 1 FROM strong_t s WHERE s.user_id = r.user_id AND s.item_id = r.item_id))""",
+    *two_stage_sql("ts", "res", 5, 1, strong="strong_t"),
+    """cnt AS (SELECT
+    (SELECT CAST(coalesce(sum(coalesce(r.label, 0)), 0) AS BIGINT) FROM ts LEFT JOIN res_v r
+       ON r.user_id = ts.user_id AND r.item_id = ts.item_id) AS tp,
+    (SELECT count(*) FROM ts) AS pred_cnt,
+    (SELECT CAST(coalesce(sum(label), 0) AS BIGINT) FROM res_v) AS true_pos)""") + "\n" + f1_sql("cnt"))
+
+
+# ---- sampling ----
+def md5_order(seed: int = SEED) -> str:
+    return f"md5(concat_ws('_', user_id, item_id, '{seed}')), user_id, item_id"
+
+
+def neg_sample_sql(n: str, src: str, ratio: float, gap: int | None = None, seed: int = SEED) -> list[str]:
+    gap_cond = f" AND ui_days_since_last_action <= {gap}" if gap is not None else ""
+    return [
+        f"{n}_pos AS (SELECT * FROM {src} WHERE label = 1)",
+        f"{n}_neg AS (SELECT * FROM {src} WHERE label = 0{gap_cond})",
+        f"{n}_cnt AS (SELECT (SELECT count(*) FROM {n}_pos) AS np, (SELECT count(*) FROM {n}_neg) AS nn)",
+        f"""{n}_negs AS (SELECT * FROM {n}_neg
+  QUALIFY row_number() OVER (ORDER BY {md5_order(seed)})
+          <= (SELECT least(nn, CAST(floor(np * {ratio}) AS BIGINT)) FROM {n}_cnt))""",
+        f"""{n} AS (
+  SELECT * FROM {src} WHERE (SELECT np = 0 OR nn = 0 FROM {n}_cnt)
+  UNION ALL SELECT * FROM {n}_pos WHERE (SELECT np > 0 AND nn > 0 FROM {n}_cnt)
+  UNION ALL SELECT * FROM {n}_negs WHERE (SELECT np > 0 AND nn > 0 FROM {n}_cnt))""",
+    ]
+
+
+def bucketed_sql(n: str, src: str, ratio: float, bounds=(1, 3, 7), seed: int = SEED) -> list[str]:
+    g = "ui_days_since_last_action"
+    case = f"CASE WHEN {g} IS NULL THEN {len(bounds)} " + " ".join(
+        f"WHEN {g} <= {b} THEN {i}" for i, b in enumerate(bounds)) + f" ELSE {len(bounds)} END"
+    return [
+        f"{n}_b AS (SELECT *, {case} AS _b FROM {src})",
+        f"{n}_pc AS (SELECT _b, count(*) AS pc FROM {n}_b WHERE label = 1 GROUP BY _b)",
+        f"{n}_nc AS (SELECT _b, count(*) AS nc FROM {n}_b WHERE label = 0 GROUP BY _b)",
+        f"""{n}_q AS (SELECT p._b, least(CAST(floor(p.pc * {ratio}) AS BIGINT), q.nc) AS quota
+  FROM {n}_pc p JOIN {n}_nc q ON q._b = p._b WHERE floor(p.pc * {ratio}) > 0)""",
+        f"""{n}_pick AS (SELECT b.* EXCLUDE (_b) FROM {n}_b b JOIN {n}_q q ON q._b = b._b WHERE b.label = 0
+  QUALIFY row_number() OVER (PARTITION BY b._b ORDER BY md5(concat_ws('_', b.user_id, b.item_id, '{seed}')), b.user_id, b.item_id) <= q.quota)""",
+        *neg_sample_sql(f"{n}_fb", src, ratio, None, seed),
+        f"""{n}_st AS (SELECT (SELECT count(*) FROM {n}_pc) AS npb, (SELECT count(*) FROM {n}_nc) AS nnb,
+                        (SELECT count(*) FROM {n}_q) AS nq)""",
+        f"""{n} AS (
+  SELECT * FROM {src} WHERE (SELECT npb = 0 OR nnb = 0 FROM {n}_st)
+  UNION ALL SELECT * FROM {n}_fb WHERE (SELECT npb > 0 AND nnb > 0 AND nq = 0 FROM {n}_st)
+  UNION ALL SELECT * FROM {src} WHERE label = 1 AND (SELECT npb > 0 AND nnb > 0 AND nq > 0 FROM {n}_st)
+  UNION ALL SELECT * FROM {n}_pick WHERE (SELECT npb > 0 AND nnb > 0 AND nq > 0 FROM {n}_st))""",
+    ]
+
+
+_TFC = train_features_cte("tf")
+_reg("neg_sample", with_(*_TFC, *neg_sample_sql("ns", "tf", 20)) + "\nSELECT * FROM ns")
+_reg("neg_sample_bucketed", with_(*_TFC, *bucketed_sql("nb", "tf", 20)) + "\nSELECT * FROM nb")
+_reg("neg_sample_chained", with_(*_TFC, *neg_sample_sql("c1", "tf", 1, gap=3), *bucketed_sql("c2", "c1", 1))
+     + "\nSELECT * FROM c2")
+_reg("neg_sample_by_user", with_(
+    *_TFC,
+    "pos AS (SELECT * FROM tf WHERE label = 1)",
+    "neg AS (SELECT * FROM tf WHERE label = 0)",
+    "cn AS (SELECT (SELECT count(*) FROM pos) AS np, (SELECT count(*) FROM neg) AS nn)",
+    "tg AS (SELECT np, nn, least(nn, CAST(floor(np * 5) AS BIGINT)) AS target FROM cn)",
+    """alloc AS (SELECT user_id, least(CAST(round_even(c / tg.nn * tg.target, 0) AS BIGINT), c) AS take
+  FROM (SELECT user_id, count(*) AS c FROM neg GROUP BY user_id) u, tg
+  WHERE least(CAST(round_even(c / tg.nn * tg.target, 0) AS BIGINT), c) > 0)""",
+    f"""picked AS (SELECT neg.* FROM neg JOIN alloc USING (user_id)
+  QUALIFY row_number() OVER (PARTITION BY neg.user_id ORDER BY {md5_order()}) <= alloc.take)""",
+    f"""picked_cut AS (SELECT * FROM picked
+  QUALIFY row_number() OVER (ORDER BY {md5_order()}) <= (SELECT target FROM tg))""",
+    f"""fallback AS (SELECT * FROM neg
+  QUALIFY row_number() OVER (ORDER BY {md5_order()}) <= (SELECT target FROM tg))""",
+    """sel AS (
+  SELECT * FROM picked_cut WHERE (SELECT count(*) FROM picked) > 0
+  UNION ALL SELECT * FROM fallback WHERE (SELECT count(*) FROM picked) = 0)""") + """
+SELECT * FROM tf WHERE (SELECT np = 0 OR nn = 0 FROM cn)
+UNION ALL SELECT * FROM pos WHERE (SELECT np > 0 AND nn > 0 FROM cn)
+UNION ALL SELECT * FROM sel WHERE (SELECT np > 0 AND nn > 0 FROM cn)""")
+_reg("user_sample", with_(
+    *_TFC,
+    "us AS (SELECT DISTINCT user_id FROM tf)",
+    "un AS (SELECT least(count(*), greatest(50, CAST(floor(count(*) * 0.02) AS BIGINT))) AS n FROM us)",
+    f"""chosen AS (SELECT user_id FROM us
+  QUALIFY row_number() OVER (ORDER BY md5(concat_ws('_', user_id, '{SEED}')), user_id) <= (SELECT n FROM un))""")
+     + "\nSELECT * FROM tf WHERE user_id IN (SELECT user_id FROM chosen)")
+_reg("balanced_sample", with_(*_TFC) + f"""
+SELECT * FROM tf QUALIFY row_number() OVER (PARTITION BY label ORDER BY {md5_order()}) <= 100""")
+_reg("recency_bucket", with_(*_TFC) + """
+SELECT user_id, item_id, label,
+       CASE WHEN ui_days_since_last_action IS NULL THEN 3 WHEN ui_days_since_last_action <= 1 THEN 0
+            WHEN ui_days_since_last_action <= 3 THEN 1 WHEN ui_days_since_last_action <= 7 THEN 2 ELSE 3 END AS bucket
+FROM tf""")
+_reg("group_kfold", with_(*_TFC) + f"""
+SELECT user_id, item_id, label,
+       CAST(CAST('0x' || substr(md5(concat_ws('_', user_id, '{SEED}')), 1, 8) AS BIGINT) % 5 AS INTEGER) AS fold
+FROM tf""")
+_reg("stratified_kfold", with_(*_TFC) + f"""
+SELECT user_id, item_id, label,
+       CAST((row_number() OVER (PARTITION BY label ORDER BY {md5_order()}) - 1) % 5 AS INTEGER) AS fold
+FROM tf""")
