@@ -14,6 +14,13 @@
 
 Every order passed in must be total (append unique tie-break columns), or the
 results are not repeatable.
+
+Range partitioning samples its boundaries with a seed tied to the RDD id, so
+two separately planned uses of one ``repartitionByRange`` may cut differently.
+The two global helpers therefore materialise the range-partitioned rows once
+with a reliable ``checkpoint()`` (the cluster's ``spark.checkpoint.dir``);
+the partition counts and the numbered rows are read from that one copy. The
+checkpoint is also the lineage cut that lets the cut survive executor loss.
 """
 
 from __future__ import annotations
@@ -23,6 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.session import ensure_checkpoint_dir
+
 # Spark plans a partial WindowGroupLimit only up to this k
 # (spark.sql.optimizer.windowGroupLimitThreshold, default 1000).
 GROUP_LIMIT_THRESHOLD = 1000
@@ -71,10 +80,12 @@ def global_row_number(df: DataFrame, order_cols: Sequence, out_col: str = "grn",
     """
     n = _num_partitions(df, num_partitions)
     order = _cols(order_cols)
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
         .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
     )
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -114,7 +125,12 @@ def global_cum_sum(df: DataFrame, order_cols: Sequence, weight: str,
     """Sum of ``weight`` over all rows strictly before each row in a total order."""
     n = _num_partitions(df, num_partitions)
     order = _cols(order_cols)
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = (
+        df.repartitionByRange(n, *order)
+        .withColumn("_pid", F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
     totals = ranged.groupBy("_pid").agg(F.sum(weight).alias("_tot"))
     offsets = totals.select(
         "_pid",

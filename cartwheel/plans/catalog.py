@@ -440,3 +440,47 @@ def q_group_kfold(spark, sf):
 @register("stratified_kfold")
 def q_stratified_kfold(spark, sf):
     return sm.stratified_kfold(_tf(spark, sf), 5, fx.SEED).select("user_id", "item_id", "label", "fold")
+
+
+# ---- model scoring (M1-M9, A24): rows-only, checked by invariants in tests ----
+from cartwheel.operators import scoring as sc  # noqa: E402
+
+MODEL_SPLITS = 3
+MODEL_ITERS = 10
+
+
+def _kfold(spark, sf):
+    inp = fx.load(spark, sf)
+    tf = inp.train_features()
+    pf = inp.pred_features()
+    cols = feat.feature_columns(tf)
+    return sc.kfold_train_predict(tf, pf, cols, n_splits=MODEL_SPLITS, group_kfold=True, seed=fx.SEED,
+                                  preset="default", max_iter=MODEL_ITERS)
+
+
+@register("oof_scores")
+def q_oof_scores(spark, sf):
+    return _kfold(spark, sf).oof.select("user_id", "item_id", "label", "fold", "pred_prob")
+
+
+@register("pred_scores")
+def q_pred_scores(spark, sf):
+    return st.dedupe_results(_kfold(spark, sf).pred.select("user_id", "item_id", "pred_prob"))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    return mx.feature_importance(_kfold(spark, sf).importance)
+
+
+@register("pruned_features")
+def q_pruned_features(spark, sf):
+    imp = _kfold(spark, sf).importance
+    return imp.select("feature", (F.col("importance") > 0).alias("kept"))
+
+
+@register("pca_embedding")
+def q_pca_embedding(spark, sf):
+    tf = fx.load(spark, sf).train_features()
+    emb, _ = sc.pca_embedding(tf, feat.feature_columns(tf), per_class=500, seed=fx.SEED)
+    return emb
