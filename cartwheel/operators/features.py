@@ -16,11 +16,12 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.exprs import days_since, fill_numeric_zero, lit_date, safe_div
+from cartwheel.functions.exprs import days_since, lit_date, safe_div
 from cartwheel.schemas import (
     FEATURE_COLUMNS, ITEM_FEATURES, NEVER_DAYS, PAIR_FEATURES, USER_CATEGORY_FEATURES,
     USER_FEATURES, USER_RECENT_LONG, USER_RECENT_SHORT,
 )
+from cartwheel.session import materialize
 from cartwheel.sources.daily_logs import actions_before
 from cartwheel.sources.items import item_set
 
@@ -62,6 +63,11 @@ def _recent(ref, days: int):
     return F.col("dt") >= lit_date(_d(ref) - _dt.timedelta(days=days))
 
 
+def _z(c: str):
+    """Count column with 0 for a missing key."""
+    return F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+
+
 def user_aggregates(daily: DataFrame, ref) -> DataFrame:
     """A1-A6 raw aggregates per user (only users with activity)."""
     return daily.groupBy("user_id").agg(
@@ -73,44 +79,34 @@ def user_aggregates(daily: DataFrame, ref) -> DataFrame:
         F.countDistinct("dt").alias("active_days"),
         F.sum(F.when(_recent(ref, USER_RECENT_LONG), F.col("n")).otherwise(0)).cast("bigint").alias("recent_7d_actions"),
         F.sum(F.when(_recent(ref, USER_RECENT_SHORT), F.col("n")).otherwise(0)).cast("bigint").alias("recent_3d_actions"),
-        F.max("dt").alias("_last"),
+        F.max("dt").alias("_u_last"),
         F.countDistinct("item_category").alias("unique_categories"),
     )
 
 
-def user_features(candidates: DataFrame, daily: DataFrame, ref) -> DataFrame:
-    """A1-A8 + J7: one row per candidate user, defaults for inactive users."""
-    users = candidates.select("user_id").distinct()
-    agg = user_aggregates(daily, ref)
-    j = users.join(agg, "user_id", "left")
-    z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
-    return j.select(
-        "user_id",
-        z("user_total_actions").alias("user_total_actions"),
-        z("behavior_1_count").alias("behavior_1_count"),
-        z("behavior_2_count").alias("behavior_2_count"),
-        z("behavior_3_count").alias("behavior_3_count"),
-        z("behavior_4_count").alias("behavior_4_count"),
-        safe_div(z("behavior_4_count"), z("user_total_actions")).alias("purchase_rate"),
-        z("active_days").alias("active_days"),
-        safe_div(z("user_total_actions"), z("active_days")).alias("avg_actions_per_day"),
-        z("recent_7d_actions").alias("recent_7d_actions"),
-        z("recent_3d_actions").alias("recent_3d_actions"),
-        days_since(ref, "_last").alias("days_since_last_action"),
-        z("unique_categories").alias("unique_categories"),
-    )
-
-
-def item_features(candidates: DataFrame, daily: DataFrame, items: DataFrame, ref,
-                  dedupe_items: bool = False) -> DataFrame:
-    """A9-A14 + J4: one row per candidate item, then P's category by a left join.
-
-    With ``dedupe_items=False`` an item listed twice in P yields two rows
-    (the original fan-out); ``True`` keeps one row per (item, category).
-    """
+def user_columns(ref) -> list:
+    """A1-A8 with defaults, over a row that may lack the user aggregate."""
+    return [
+        _z("user_total_actions").alias("user_total_actions"),
+        _z("behavior_1_count").alias("behavior_1_count"),
+        _z("behavior_2_count").alias("behavior_2_count"),
+        _z("behavior_3_count").alias("behavior_3_count"),
+        _z("behavior_4_count").alias("behavior_4_count"),
+        safe_div(_z("behavior_4_count"), _z("user_total_actions")).alias("purchase_rate"),
+        _z("active_days").alias("active_days"),
+        safe_div(_z("user_total_actions"), _z("active_days")).alias("avg_actions_per_day"),
+        _z("recent_7d_actions").alias("recent_7d_actions"),
+        _z("recent_3d_actions").alias("recent_3d_actions"),
+        days_since(ref, "_u_last").alias("days_since_last_action"),
+        _z("unique_categories").alias("unique_categories"),
+    ]
+
+
+def item_aggregates(daily: DataFrame, candidates: DataFrame, ref) -> DataFrame:
+    """A9-A12 raw aggregates for candidate items (F3); activity of candidate users only."""
     cand_items = candidates.select("item_id").distinct()
-    agg = (
-        daily.join(cand_items, "item_id", "left_semi")   # F3
+    return (
+        daily.join(cand_items, "item_id", "left_semi")
         .groupBy("item_id").agg(
             F.sum("n").alias("item_total_actions"),
             F.sum("n4").alias("total_purchases"),
@@ -119,54 +115,53 @@ def item_features(candidates: DataFrame, daily: DataFrame, items: DataFrame, ref
             F.sum(F.when(_recent(ref, USER_RECENT_LONG), F.col("n1")).otherwise(0)).cast("bigint").alias("recent_7d_views"),
             F.sum(F.when(_recent(ref, USER_RECENT_SHORT), F.col("n1")).otherwise(0)).cast("bigint").alias("recent_3d_views"),
             # Last day of *any* action by candidate users (quirk Q2).
-            F.max("dt").alias("_last"),
+            F.max("dt").alias("_i_last"),
         )
     )
-    z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
-    base = cand_items.join(agg, "item_id", "left").select(
-        "item_id",
-        z("item_total_actions").alias("item_total_actions"),
-        z("total_purchases").alias("total_purchases"),
-        z("unique_users").alias("unique_users"),
-        z("views").alias("views"),
-        safe_div(z("total_purchases"), z("views")).alias("conversion_rate"),
-        safe_div(z("item_total_actions"), z("unique_users")).alias("avg_actions_per_user"),
-        z("recent_7d_views").alias("recent_7d_views"),
-        z("recent_3d_views").alias("recent_3d_views"),
-        days_since(ref, "_last").alias("days_since_last_view"),
-    )
-    cats = items.select("item_id", "item_category")
-    if dedupe_items:
-        cats = cats.distinct()
-    return base.join(cats, "item_id", "left")
 
 
-def pair_features(candidates: DataFrame, daily: DataFrame, ref) -> DataFrame:
-    """A15-A17 + J7: one row per distinct candidate pair."""
-    agg = daily.groupBy("user_id", "item_id").agg(
+def item_columns(ref) -> list:
+    """A9-A14 with defaults (without the category)."""
+    return [
+        _z("item_total_actions").alias("item_total_actions"),
+        _z("total_purchases").alias("total_purchases"),
+        _z("unique_users").alias("unique_users"),
+        _z("views").alias("views"),
+        safe_div(_z("total_purchases"), _z("views")).alias("conversion_rate"),
+        safe_div(_z("item_total_actions"), _z("unique_users")).alias("avg_actions_per_user"),
+        _z("recent_7d_views").alias("recent_7d_views"),
+        _z("recent_3d_views").alias("recent_3d_views"),
+        days_since(ref, "_i_last").alias("days_since_last_view"),
+    ]
+
+
+def pair_aggregates(daily: DataFrame) -> DataFrame:
+    """A15-A16 raw aggregates per pair."""
+    return daily.groupBy("user_id", "item_id").agg(
         F.sum("n").alias("ui_total_actions"),
         F.sum("n1").alias("ui_view_count"),
         F.sum("n2").alias("ui_collect_count"),
         F.sum("n3").alias("ui_cart_count"),
         F.sum("n4").alias("ui_purchase_count"),
-        F.min("dt").alias("_first"),
-        F.max("dt").alias("_last"),
+        F.min("dt").alias("_p_first"),
+        F.max("dt").alias("_p_last"),
     )
-    keys = candidates.select("user_id", "item_id").distinct()
-    z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
-    span = F.when(F.col("_first").isNotNull() & F.col("_last").isNotNull(),
-                  F.datediff(F.col("_last"), F.col("_first")) + 1).otherwise(F.lit(0)).cast("int")
-    return keys.join(agg, ["user_id", "item_id"], "left").select(
-        "user_id", "item_id",
-        z("ui_total_actions").alias("ui_total_actions"),
-        z("ui_view_count").alias("ui_view_count"),
-        z("ui_collect_count").alias("ui_collect_count"),
-        z("ui_cart_count").alias("ui_cart_count"),
-        z("ui_purchase_count").alias("ui_purchase_count"),
-        days_since(ref, "_last").alias("ui_days_since_last_action"),
+
+
+def pair_columns(ref) -> list:
+    """A15-A17 with defaults: gap 999 and span 0 for an unseen pair."""
+    span = F.when(F.col("_p_first").isNotNull() & F.col("_p_last").isNotNull(),
+                  F.datediff(F.col("_p_last"), F.col("_p_first")) + 1).otherwise(F.lit(0)).cast("int")
+    return [
+        _z("ui_total_actions").alias("ui_total_actions"),
+        _z("ui_view_count").alias("ui_view_count"),
+        _z("ui_collect_count").alias("ui_collect_count"),
+        _z("ui_cart_count").alias("ui_cart_count"),
+        _z("ui_purchase_count").alias("ui_purchase_count"),
+        days_since(ref, "_p_last").alias("ui_days_since_last_action"),
         span.alias("ui_action_span_days"),
-        safe_div(z("ui_total_actions"), span).alias("ui_avg_actions_per_day"),
-    )
+        safe_div(_z("ui_total_actions"), span).alias("ui_avg_actions_per_day"),
+    ]
 
 
 def needed_user_categories(candidates: DataFrame, items: DataFrame) -> DataFrame:
@@ -178,58 +173,96 @@ def needed_user_categories(candidates: DataFrame, items: DataFrame) -> DataFrame
     )
 
 
-def user_category_features(candidates: DataFrame, daily: DataFrame, items: DataFrame) -> DataFrame:
-    """A18-A19 + J2: per needed (user, category): actions and distinct items.
-
-    J2 is a semi-join of the log's category against P's category; a null
-    category (candidate outside P) matches nothing and gets zeros.
-    """
-    needed = needed_user_categories(candidates, items)
-    agg = (
+def user_category_aggregates(daily: DataFrame, needed: DataFrame) -> DataFrame:
+    """A18-A19 raw aggregates for the needed (user, category) combinations (J2:
+    log category against P's category; a null category matches nothing)."""
+    return (
         daily.join(needed, ["user_id", "item_category"], "left_semi")
         .groupBy("user_id", "item_category").agg(
             F.sum("n").alias("user_category_actions"),
             F.countDistinct("item_id").alias("user_category_items"),
         )
     )
-    z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
-    return needed.join(agg, ["user_id", "item_category"], "left").select(
-        "user_id", "item_category",
-        z("user_category_actions").alias("user_category_actions"),
-        z("user_category_items").alias("user_category_items"),
-    )
+
+
+def user_category_columns() -> list:
+    return [_z("user_category_actions").alias("user_category_actions"),
+            _z("user_category_items").alias("user_category_items")]
+
+
+def _p_categories(items: DataFrame, dedupe_items: bool) -> DataFrame:
+    cats = items.select("item_id", "item_category")
+    return cats.distinct() if dedupe_items else cats
+
+
+def user_features(candidates: DataFrame, daily: DataFrame, ref) -> DataFrame:
+    """A1-A8 + J7: one row per candidate user, defaults for inactive users."""
+    users = candidates.select("user_id").distinct()
+    return users.join(user_aggregates(daily, ref), "user_id", "left").select("user_id", *user_columns(ref))
+
+
+def item_features(candidates: DataFrame, daily: DataFrame, items: DataFrame, ref,
+                  dedupe_items: bool = False) -> DataFrame:
+    """A9-A14 + J4: one row per candidate item, then P's category by a left join.
+
+    With ``dedupe_items=False`` an item listed twice in P yields two rows
+    (the original fan-out); ``True`` keeps one row per (item, category).
+    """
+    cand_items = candidates.select("item_id").distinct()
+    base = cand_items.join(item_aggregates(daily, candidates, ref), "item_id", "left") \
+        .select("item_id", *item_columns(ref))
+    return base.join(_p_categories(items, dedupe_items), "item_id", "left")
+
+
+def pair_features(candidates: DataFrame, daily: DataFrame, ref) -> DataFrame:
+    """A15-A17 + J7: one row per distinct candidate pair."""
+    keys = candidates.select("user_id", "item_id").distinct()
+    return keys.join(pair_aggregates(daily), ["user_id", "item_id"], "left") \
+        .select("user_id", "item_id", *pair_columns(ref))
+
+
+def user_category_features(candidates: DataFrame, daily: DataFrame, items: DataFrame) -> DataFrame:
+    """Per needed (user, category): actions and distinct items (0 if none)."""
+    needed = needed_user_categories(candidates, items)
+    return needed.join(user_category_aggregates(daily, needed), ["user_id", "item_category"], "left") \
+        .select("user_id", "item_category", *user_category_columns())
 
 
 def build_features(actions: DataFrame, items: DataFrame, candidates: DataFrame, ref,
-                   dedupe_items: bool = False) -> DataFrame:
+                   dedupe_items: bool = False, materialize_daily: bool = True) -> DataFrame:
     """A20 + A21 + J3-J6: the wide feature table for one candidate set.
 
-    Columns: ``user_id, item_id, [label]`` then the 32 features. Join order:
-    pair (same key as the candidates), item (brings P's category, may fan
+    Columns: ``user_id, item_id, [label]`` then the 32 features. The four raw
+    aggregates are left-joined straight onto the candidate rows and every
+    default (0 / 999 / span 0 / ratio 0) is applied in one projection. Join
+    order: pair (same key as the candidates), item, P's category (may fan
     out), user-category (needs that category), user. AQE picks broadcast or
     sort-merge per join from runtime sizes and splits skewed keys.
     """
     ref = _d(ref)
     pop = feature_population(actions, items, candidates, ref)
-    daily = daily_grain(pop)
-    uf = user_features(candidates, daily, ref)
-    itf = item_features(candidates, daily, items, ref, dedupe_items=dedupe_items)
-    pf = pair_features(candidates, daily, ref)
-    ucf = user_category_features(candidates, daily, items)
+    # Four aggregates read the daily grain: write it once rather than scan
+    # the log four times.
+    daily = materialize(daily_grain(pop), "daily-grain") if materialize_daily else daily_grain(pop)
 
     id_cols = ["user_id", "item_id"] + (["label"] if "label" in candidates.columns else [])
     j = (
         candidates.select(*id_cols)
-        .join(pf, ["user_id", "item_id"], "left")
-        .join(itf, "item_id", "left")
-        .join(ucf, ["user_id", "item_category"], "left")
-        .join(uf, "user_id", "left")
+        .join(pair_aggregates(daily), ["user_id", "item_id"], "left")
+        .join(item_aggregates(daily, candidates, ref), "item_id", "left")
+        .join(_p_categories(items, dedupe_items), "item_id", "left")
+        .join(user_category_aggregates(daily, needed_user_categories(candidates, items)),
+              ["user_id", "item_category"], "left")
+        .join(user_aggregates(daily, ref), "user_id", "left")
+    )
+    return j.select(
+        *id_cols,
+        *user_columns(ref),
+        *item_columns(ref),
+        F.coalesce(F.col("item_category"), F.lit(0)).cast("bigint").alias("item_category"),
+        *pair_columns(ref),
+        *user_category_columns(),
     )
-    out = j.select(*id_cols, *FEATURE_COLUMNS)
-    # Every candidate user, item and pair has a row in its block (defaults
-    # already applied), so the fill only touches P's missing category and the
-    # user-category block of items outside P.
-    return fill_numeric_zero(out)
 
 
 def feature_columns(df: DataFrame, exclude=(), drop_time_gaps: bool = False) -> list[str]:

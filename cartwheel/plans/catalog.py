@@ -52,52 +52,52 @@ def q_buys_on_day(spark, sf):
 # ---- recall (C1-C8, U1-U3) ----
 @register("recall_recent")
 def q_recall_recent(spark, sf):
-    return recall.recall_recent(fx.load(spark, sf).flags())
+    return recall.recall_recent(fx.load(spark, sf).lazy_flags())
 
 
 @register("recall_strong")
 def q_recall_strong(spark, sf):
-    return recall.recall_strong(fx.load(spark, sf).flags())
+    return recall.recall_strong(fx.load(spark, sf).lazy_flags())
 
 
 @register("recall_union")
 def q_recall_union(spark, sf):
-    return recall.recall_union(fx.load(spark, sf).flags())
+    return recall.recall_union(fx.load(spark, sf).lazy_flags())
 
 
 @register("label_pairs")
 def q_label_pairs(spark, sf):
-    return recall.label_pairs(fx.load(spark, sf).flags())
+    return recall.label_pairs(fx.load(spark, sf).lazy_flags())
 
 
 @register("label_pairs_aligned")
 def q_label_pairs_aligned(spark, sf):
-    return recall.label_pairs_aligned(fx.load(spark, sf).flags())
+    return recall.label_pairs_aligned(fx.load(spark, sf).lazy_flags())
 
 
 @register("label_pairs_dropped")
 def q_label_pairs_dropped(spark, sf):
-    return recall.label_pairs_dropped(fx.load(spark, sf).flags())
+    return recall.label_pairs_dropped(fx.load(spark, sf).lazy_flags())
 
 
 @register("train_candidates")
 def q_train_candidates(spark, sf):
-    return fx.load(spark, sf).train_candidates()
+    return fx.load(spark, sf).train_candidates(lazy=True)
 
 
 @register("train_candidates_unaligned")
 def q_train_candidates_unaligned(spark, sf):
-    return fx.load(spark, sf).train_candidates(align=False)
+    return fx.load(spark, sf).train_candidates(align=False, lazy=True)
 
 
 @register("pred_candidates")
 def q_pred_candidates(spark, sf):
-    return fx.load(spark, sf).pred_candidates()
+    return fx.load(spark, sf).pred_candidates(lazy=True)
 
 
 @register("candidates_capped")
 def q_candidates_capped(spark, sf):
-    return fx.load(spark, sf).train_candidates(cap=fx.CAP_BINDING)
+    return fx.load(spark, sf).train_candidates(cap=fx.CAP_BINDING, lazy=True)
 
 
 @register("hot_items")
@@ -110,7 +110,8 @@ def q_hot_items(spark, sf):
 def q_pred_candidates_backfilled(spark, sf):
     inp = fx.load(spark, sf)
     hot = recall.hot_items(inp.actions, inp.items, inp.label_date, top=fx.HOT_TOP_BACKFILL)
-    return recall.backfill_hot(inp.pred_candidates(cap=fx.CAP_BACKFILL), hot, max_per_user=fx.CAP_BACKFILL)
+    return recall.backfill_hot(inp.pred_candidates(cap=fx.CAP_BACKFILL, lazy=True), hot,
+                               max_per_user=fx.CAP_BACKFILL)
 
 
 @register("candidate_stats")
@@ -152,18 +153,18 @@ def q_user_category_features(spark, sf):
 
 @register("train_features")
 def q_train_features(spark, sf):
-    return fx.load(spark, sf).train_features()
+    return fx.load(spark, sf).train_features(lazy=True)
 
 
 @register("pred_features")
 def q_pred_features(spark, sf):
-    return fx.load(spark, sf).pred_features()
+    return fx.load(spark, sf).pred_features(lazy=True)
 
 
 @register("train_features_fanout")
 def q_train_features_fanout(spark, sf):
     inp = fx.load(spark, sf)
-    return inp.train_features(items=inp.items_fanout)
+    return inp.train_features(items=inp.items_fanout, lazy=True)
 
 
 # ---- strategies (F8-F11, K1-K10, J8-J12, A22, A25) ----
@@ -484,3 +485,25 @@ def q_pca_embedding(spark, sf):
     tf = fx.load(spark, sf).train_features()
     emb, _ = sc.pca_embedding(tf, feat.feature_columns(tf), per_class=500, seed=fx.SEED)
     return emb
+
+
+# ---- load-test log (lineitem join orders; performance and a second oracle) ----
+
+
+def _load_inputs(spark, sf):
+    return fx.load_orders(spark, sf)
+
+
+@register("load_train_candidates")
+def q_load_train_candidates(spark, sf):
+    return _load_inputs(spark, sf).train_candidates(lazy=True)
+
+
+@register("load_train_features")
+def q_load_train_features(spark, sf):
+    return _load_inputs(spark, sf).train_features(lazy=True)
+
+
+@register("load_pred_features")
+def q_load_pred_features(spark, sf):
+    return _load_inputs(spark, sf).pred_features(lazy=True)

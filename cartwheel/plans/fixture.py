@@ -7,7 +7,7 @@ work grows with the scale factor.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.exprs import stand_in_score
 from cartwheel.operators import features as feat
 from cartwheel.operators import recall
+from cartwheel.session import materialize
 from cartwheel.sources import bridge
 
 # --- fixed values of the fixture queries (FIXTURES.md) ---
@@ -36,6 +37,7 @@ class Inputs:
     items: DataFrame
     items_fanout: DataFrame
     label_date: _dt.date
+    _memo: dict = field(default_factory=dict)
 
     @property
     def train_ref(self) -> _dt.date:
@@ -45,21 +47,63 @@ class Inputs:
     def pred_ref(self) -> _dt.date:
         return feat.reference_day(self.label_date, False)
 
+    # Intermediates reused by several branches are written once to the shared
+    # checkpoint folder, as the stage runner writes its stage tables.
     def flags(self) -> DataFrame:
-        return recall.pair_flags(self.actions, self.items, self.label_date)
-
-    def train_candidates(self, cap=CAP_DEFAULT, align=True) -> DataFrame:
-        return recall.train_candidates(self.flags(), cap, align_recall=align, pos_filter_in_recall=align)
+        if "flags" not in self._memo:
+            self._memo["flags"] = materialize(
+                recall.pair_flags(self.actions, self.items, self.label_date), "flags")
+        return self._memo["flags"]
 
-    def pred_candidates(self, cap=CAP_DEFAULT) -> DataFrame:
-        return recall.pred_candidates(self.flags(), cap)
-
-    def train_features(self, dedupe_items=False, items=None) -> DataFrame:
-        return feat.build_features(self.actions, items if items is not None else self.items,
-                                   self.train_candidates(), self.train_ref, dedupe_items=dedupe_items)
+    def lazy_flags(self) -> DataFrame:
+        return recall.pair_flags(self.actions, self.items, self.label_date)
 
-    def pred_features(self) -> DataFrame:
-        return feat.build_features(self.actions, self.items, self.pred_candidates(), self.pred_ref)
+    def train_candidates(self, cap=CAP_DEFAULT, align=True, lazy=False) -> DataFrame:
+        """Train candidates; ``lazy=True`` returns the recall plan from the log
+        (the recall queries), otherwise the written stage-1 table."""
+        if lazy:
+            return recall.train_candidates(self.lazy_flags(), cap, align_recall=align, pos_filter_in_recall=align)
+        key = ("train", cap, align)
+        if key not in self._memo:
+            self._memo[key] = materialize(
+                recall.train_candidates(self.flags(), cap, align_recall=align, pos_filter_in_recall=align),
+                "train-candidates")
+        return self._memo[key]
+
+    def pred_candidates(self, cap=CAP_DEFAULT, lazy=False) -> DataFrame:
+        if lazy:
+            return recall.pred_candidates(self.lazy_flags(), cap)
+        key = ("pred", cap)
+        if key not in self._memo:
+            self._memo[key] = materialize(recall.pred_candidates(self.flags(), cap), "pred-candidates")
+        return self._memo[key]
+
+    def build_stage_tables(self) -> None:
+        """Write flags, candidates and features of both sets (stages 1 and 2)."""
+        self.train_features()
+        self.pred_features()
+
+    def train_features(self, dedupe_items=False, items=None, lazy=False) -> DataFrame:
+        """Train features; ``lazy=True`` returns the feature plan itself (the
+        feature queries), otherwise the written table (inputs of stage 3)."""
+        def plan():
+            return feat.build_features(self.actions, items if items is not None else self.items,
+                                       self.train_candidates(), self.train_ref, dedupe_items=dedupe_items)
+        if lazy:
+            return plan()
+        key = ("train_features", dedupe_items, items is not None)
+        if key not in self._memo:
+            self._memo[key] = materialize(plan(), "train-features")
+        return self._memo[key]
+
+    def pred_features(self, lazy=False) -> DataFrame:
+        def plan():
+            return feat.build_features(self.actions, self.items, self.pred_candidates(), self.pred_ref)
+        if lazy:
+            return plan()
+        if "pred_features" not in self._memo:
+            self._memo["pred_features"] = materialize(plan(), "pred-features")
+        return self._memo["pred_features"]
 
     def scored_pred(self) -> DataFrame:
         """Predict features with the stand-in score (``user_id, item_id, pred_prob``
@@ -71,14 +115,37 @@ class Inputs:
         return self.train_features().withColumn("pred_prob", stand_in_score())
 
 
+_INPUTS: dict = {}
+
+
+def _session_key(spark: SparkSession) -> int:
+    return spark._jsparkSession.hashCode()
+
+
 def load(spark: SparkSession, sf_dir: str) -> Inputs:
-    return Inputs(
-        spark=spark,
-        actions=bridge.actions_from_events(spark, sf_dir),
-        items=bridge.target_items_from_part(spark, sf_dir),
-        items_fanout=bridge.target_items_from_part(spark, sf_dir, fanout=True),
-        label_date=LABEL_DATE,
-    )
+    """Bridged inputs of one data folder. Stage tables written for them are
+    kept for the life of the session, so queries over the same folder share
+    them (each query times only its own operator over its stage inputs)."""
+    key = (_session_key(spark), sf_dir.rstrip("/"), "events")
+    if key not in _INPUTS:
+        _INPUTS[key] = Inputs(
+            spark=spark,
+            actions=bridge.actions_from_events(spark, sf_dir),
+            items=bridge.target_items_from_part(spark, sf_dir),
+            items_fanout=bridge.target_items_from_part(spark, sf_dir, fanout=True),
+            label_date=LABEL_DATE,
+        )
+    return _INPUTS[key]
+
+
+def load_orders(spark: SparkSession, sf_dir: str) -> Inputs:
+    """The larger lineitem x orders log with every part as P (load tests)."""
+    key = (_session_key(spark), sf_dir.rstrip("/"), "orders")
+    if key not in _INPUTS:
+        _INPUTS[key] = Inputs(spark=spark, actions=bridge.actions_from_orders(spark, sf_dir),
+                              items=bridge.items_from_part_all(spark, sf_dir), items_fanout=None,
+                              label_date=bridge.LOAD_LABEL_DATE)
+    return _INPUTS[key]
 
 
 def results_of(scored: DataFrame) -> DataFrame:

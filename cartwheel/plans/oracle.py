@@ -17,9 +17,9 @@ from cartwheel.plans.fixture import (
 L = LABEL_DATE
 
 
-def D(days: int = 0) -> str:
-    """Date literal ``L + days``."""
-    return f"DATE '{(L + _dt.timedelta(days=days)).isoformat()}'"
+def D(days: int = 0, base: _dt.date | None = None) -> str:
+    """Date literal ``base + days`` (base defaults to the fixture label date)."""
+    return f"DATE '{((base or L) + _dt.timedelta(days=days)).isoformat()}'"
 
 
 ACTIONS = """
@@ -48,20 +48,25 @@ items AS (
   FROM part WHERE p_partkey < 25 AND p_partkey % 5 <> 0 AND p_partkey % 10 = 1
 )"""
 
-FLAGS = f"""
+def flags_cte(base: _dt.date | None = None) -> str:
+    b = base or L
+    return f"""
 flags AS (
   SELECT user_id, item_id,
-    bool_or(dt BETWEEN {D(-7)} AND {D(-1)}) AS t_recent,
-    bool_or(dt BETWEEN {D(-14)} AND {D(-1)} AND behavior_type IN (2, 3)) AS t_strong,
-    bool_or(dt = {D(0)} AND behavior_type = 4) AS t_label,
-    bool_or(dt BETWEEN {D(-6)} AND {D(0)}) AS p_recent,
-    bool_or(dt BETWEEN {D(-13)} AND {D(0)} AND behavior_type IN (2, 3)) AS p_strong
+    bool_or(dt BETWEEN {D(-7, b)} AND {D(-1, b)}) AS t_recent,
+    bool_or(dt BETWEEN {D(-14, b)} AND {D(-1, b)} AND behavior_type IN (2, 3)) AS t_strong,
+    bool_or(dt = {D(0, b)} AND behavior_type = 4) AS t_label,
+    bool_or(dt BETWEEN {D(-6, b)} AND {D(0, b)}) AS p_recent,
+    bool_or(dt BETWEEN {D(-13, b)} AND {D(0, b)} AND behavior_type IN (2, 3)) AS p_strong
   FROM actions
-  WHERE dt BETWEEN {D(-14)} AND {D(0)} AND item_id IN (SELECT item_id FROM items)
+  WHERE dt BETWEEN {D(-14, b)} AND {D(0, b)} AND item_id IN (SELECT item_id FROM items)
   GROUP BY user_id, item_id
 )"""
 
 
+FLAGS = flags_cte()
+
+
 def train_cands(name: str = "cands", cap: int = CAP_DEFAULT, align: bool = True) -> str:
     lab = "(t_label AND (t_recent OR t_strong))" if align else "t_label"
     return f"""
@@ -95,13 +100,13 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes)
 
 
-def feature_ctes(ref_days: int, cands: str = "cands", prefix: str = "") -> list[str]:
-    """CTEs ``{p}pop, {p}daily, {p}uf, {p}itf, {p}pf, {p}ucf, {p}feats`` for one ref."""
+def feature_ctes(ref_days: int, cands: str = "cands", prefix: str = "",
+                 base: _dt.date | None = None) -> list[str]:
+    """CTEs ``{p}pop, {p}daily, {p}uf, {p}itf, {p}pf, {p}needed, {p}ucf`` for one ref."""
     p = prefix
-    ref = D(ref_days)
-    r7 = D(ref_days - 7)
-    r3 = D(ref_days - 3)
-    has_label = True
+    ref = D(ref_days, base)
+    r7 = D(ref_days - 7, base)
+    r3 = D(ref_days - 3, base)
     return [
         f"""{p}pop AS (
   SELECT * FROM actions
@@ -688,3 +693,23 @@ _reg("stratified_kfold", with_(*_TFC) + f"""
 SELECT user_id, item_id, label,
        CAST((row_number() OVER (PARTITION BY label ORDER BY {md5_order()}) - 1) % 5 AS INTEGER) AS fold
 FROM tf""")
+
+
+# ---- load-test log: lineitem join orders, P = every part ----
+LOAD_L = _dt.date(2001, 8, 1)
+LOAD_ACTIONS = """
+actions AS (
+  SELECT o.o_custkey AS user_id, l.l_partkey AS item_id,
+         CAST(1 + (((l.l_orderkey * 7 + l.l_linenumber) % 4) + 4) % 4 AS SMALLINT) AS behavior_type,
+         ((l.l_partkey % 25) + 25) % 25 AS item_category,
+         CAST(o.o_orderdate AS DATE) AS dt
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+)"""
+LOAD_ITEMS = """
+items AS (SELECT p_partkey AS item_id, ((p_partkey % 25) + 25) % 25 AS item_category FROM part)"""
+_LOAD = [LOAD_ACTIONS, LOAD_ITEMS, flags_cte(LOAD_L)]
+_reg("load_train_candidates", with_(*_LOAD, train_cands("c")) + "\nSELECT user_id, item_id, label FROM c")
+_reg("load_train_features", with_(*_LOAD, train_cands("cands"), *feature_ctes(0, "cands", base=LOAD_L),
+                                  f"tf AS ({features_select('cands', True)})") + "\nSELECT * FROM tf")
+_reg("load_pred_features", with_(*_LOAD, pred_cands("pcands"), *feature_ctes(1, "pcands", prefix="p_", base=LOAD_L),
+                                 f"pfa AS ({features_select('pcands', False, prefix='p_')})") + "\nSELECT * FROM pfa")

@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine relies on. Applied with ``setdefault`` semantics.
 ENGINE_CONF = {
@@ -68,3 +68,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh table path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/cartwheel-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read
+    it back: a lineage cut for intermediates that several branches reuse
+    (each branch then scans the table instead of recomputing its lineage)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
