@@ -214,6 +214,6 @@ def full_validation(scored_rows: DataFrame, features: DataFrame, strategy: dict,
     if name == "threshold":
         strat = {"name": "threshold", "threshold": strategy.get("threshold", 0.5)}  # no quantile shift
     recs = st.select_by_strategy(strat, res, features, topn=topn, max_rows=max_rows,
-                                 cart_days_max=cart_days_max)
+                                 cart_days_max=cart_days_max, threshold_fallback=False)
     labelled = recs.join(res_v.select("user_id", "item_id", "label"), ["user_id", "item_id"], "left")
     return f1_row(counts_of(labelled, res_v))

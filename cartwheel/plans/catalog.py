@@ -507,3 +507,46 @@ def q_load_train_features(spark, sf):
 @register("load_pred_features")
 def q_load_pred_features(spark, sf):
     return _load_inputs(spark, sf).pred_features(lazy=True)
+
+
+# ---- further variants: dedupe P, dispatch by alias, threshold strategy,
+# feature exclusion, the other evaluation branches ----
+@register("train_features_dedup")
+def q_train_features_dedup(spark, sf):
+    """Q3 with ``dedupe_items=True``: one row per candidate despite repeats in P."""
+    inp = fx.load(spark, sf)
+    return inp.train_features(items=inp.items_fanout, dedupe_items=True, lazy=True)
+
+
+@register("strategy_dispatch")
+def q_strategy_dispatch(spark, sf):
+    """K9: the alias '2stage' dispatches to two-stage (k=5, m=2)."""
+    _, pf, res = _pred(spark, sf)
+    return st.select_by_strategy({"name": "2stage", "k": 5, "m": 2}, res, pf)
+
+
+@register("threshold_strategy")
+def q_threshold_strategy(spark, sf):
+    """K6 + K7 as dispatched: threshold moved to the 1 - q_level quantile of
+    the predict scores, falling back to two-stage (3, 1) below 1000 picks."""
+    _, pf, res = _pred(spark, sf)
+    return st.select_by_strategy({"name": "threshold", "threshold": 0.5, "q_level": 0.3,
+                                  "fallback": {"k": 3, "m": 1}}, res, pf)
+
+
+@register("train_features_no_time_gaps")
+def q_train_features_no_time_gaps(spark, sf):
+    """the six time-gap features removed from the training columns."""
+    tf = fx.load(spark, sf).train_features()
+    keep = feat.feature_columns(tf, drop_time_gaps=True)
+    return tf.select("user_id", "item_id", "label", *keep)
+
+
+@register("eval_forced_threshold")
+def q_eval_forced_threshold(spark, sf):
+    return _r9(tn.eval_forced(_scored_train(spark, sf), {"name": "thr", "threshold": 0.5}))
+
+
+@register("eval_forced_topn")
+def q_eval_forced_topn(spark, sf):
+    return _r9(tn.eval_forced(_scored_train(spark, sf), {"name": "topn"}, topn=50, strong_only=True))

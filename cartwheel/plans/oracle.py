@@ -713,3 +713,34 @@ _reg("load_train_features", with_(*_LOAD, train_cands("cands"), *feature_ctes(0,
                                   f"tf AS ({features_select('cands', True)})") + "\nSELECT * FROM tf")
 _reg("load_pred_features", with_(*_LOAD, pred_cands("pcands"), *feature_ctes(1, "pcands", prefix="p_", base=LOAD_L),
                                  f"pfa AS ({features_select('pcands', False, prefix='p_')})") + "\nSELECT * FROM pfa")
+
+
+# ---- further variants ----
+ITEMS_FANOUT_DEDUP = ITEMS_FANOUT.replace("items AS (", "items_raw AS (", 1) + \
+    ",\nitems AS (SELECT DISTINCT item_id, item_category FROM items_raw)"
+_reg("train_features_dedup", with_(*train_features_cte("tf", ITEMS_FANOUT_DEDUP)) + "\nSELECT * FROM tf")
+_reg("strategy_dispatch", with_(*PRED_BASE, *two_stage_sql("ts", "results", 5, 2)) + "\nSELECT user_id, item_id FROM ts")
+_reg("threshold_strategy", with_(
+    *PRED_BASE,
+    "tq AS (SELECT quantile_cont(pred_prob, 0.7) AS t FROM results)",
+    "thr AS (SELECT user_id, item_id FROM results WHERE pred_prob >= (SELECT t FROM tq))",
+    *two_stage_sql("ts", "results", 3, 1)) + """
+SELECT user_id, item_id FROM thr WHERE (SELECT count(*) FROM thr) >= 1000
+UNION ALL
+SELECT user_id, item_id FROM ts WHERE (SELECT count(*) FROM thr) < 1000""")
+_reg("train_features_no_time_gaps", with_(*train_features_cte("tf")) + """
+SELECT * EXCLUDE (days_since_last_action, ui_days_since_last_action, recent_3d_actions,
+                  recent_7d_actions, recent_7d_views, recent_3d_views) FROM tf""")
+_reg("eval_forced_threshold", with_(*TRAIN_SCORED) + "\n" + f1_sql(
+    """(SELECT count(*) FILTER (WHERE pred_prob >= 0.5) AS pred_cnt,
+        CAST(coalesce(sum(label) FILTER (WHERE pred_prob >= 0.5), 0) AS BIGINT) AS tp,
+        CAST(coalesce(sum(label), 0) AS BIGINT) AS true_pos, count(DISTINCT user_id) AS users FROM sc)""").replace(
+    "SELECT tp, pred_cnt, true_pos,", "SELECT 'threshold' AS strategy, users, tp, pred_cnt, true_pos,", 1))
+_reg("eval_forced_topn", with_(*TRAIN_SCORED, f"ss AS (SELECT * FROM sc WHERE {STRONG_COND})",
+                               """sel AS (SELECT * FROM ss ORDER BY pred_prob DESC, user_id, item_id LIMIT 50)""")
+     + "\n" + f1_sql(
+    """(SELECT (SELECT count(*) FROM sel) AS pred_cnt,
+        (SELECT CAST(coalesce(sum(label), 0) AS BIGINT) FROM sel) AS tp,
+        (SELECT CAST(coalesce(sum(label), 0) AS BIGINT) FROM ss) AS true_pos,
+        (SELECT count(DISTINCT user_id) FROM ss) AS users)""").replace(
+    "SELECT tp, pred_cnt, true_pos,", "SELECT 'global_topn' AS strategy, users, tp, pred_cnt, true_pos,", 1))
