@@ -24,14 +24,6 @@ def _order(seed: int):
     return [hash_order(seed, "user_id", "item_id"), F.col("user_id"), F.col("item_id")]
 
 
-def class_counts(df: DataFrame) -> tuple[int, int]:
-    row = df.agg(
-        F.count(F.when(F.col("label") == 1, 1)).alias("pos"),
-        F.count(F.when(F.col("label") == 0, 1)).alias("neg"),
-    ).first()
-    return int(row["pos"]), int(row["neg"])
-
-
 def downsample_negatives(df: DataFrame, neg_pos_ratio: float = 20, seed: int = 42,
                          neg_max_gap_days: int | None = None, by_user: bool = False) -> DataFrame:
     """All positives plus ``min(#neg, int(#pos * ratio))`` negatives.
@@ -40,12 +32,14 @@ def downsample_negatives(df: DataFrame, neg_pos_ratio: float = 20, seed: int = 4
     If either class is empty (also after the gap filter) the input comes back
     unchanged (Q7).
     """
-    pos = df.where(F.col("label") == 1)
-    neg = df.where(F.col("label") == 0)
+    neg_cond = F.col("label") == 0
     if neg_max_gap_days is not None and GAP in df.columns:
-        neg = neg.where(F.col(GAP) <= F.lit(int(neg_max_gap_days)))
-    n_pos = pos.count()
-    n_neg = neg.count()
+        neg_cond = neg_cond & (F.col(GAP) <= F.lit(int(neg_max_gap_days)))
+    pos = df.where(F.col("label") == 1)
+    neg = df.where(neg_cond)
+    counts = df.agg(F.count(F.when(F.col("label") == 1, 1)).alias("p"),
+                    F.count(F.when(neg_cond, 1)).alias("n")).first()     # one row
+    n_pos, n_neg = int(counts["p"]), int(counts["n"])
     if n_pos == 0 or n_neg == 0:
         return df
     target = min(n_neg, int(n_pos * neg_pos_ratio))
