@@ -183,13 +183,13 @@ def eval_forced(df: DataFrame, strategy: dict, sample_user_frac: float = 0.02, m
         sel = ranked.where(st.two_stage_keep(k, m))
         if min_prob and float(min_prob) > 0:
             sel = sel.where(F.col("pred_prob") >= F.lit(float(min_prob)))
-        sel = st.take_first(sel.drop("rn", "n_strong"), max_submission, st.score_order())
+        sel = st.take_first(sel.drop("rn", "n_strong"), max_submission, st.score_order(), score_col="pred_prob")
         counts = counts_of(sel, sdf)
     elif name == "threshold":
         counts = threshold_counts(sdf, float(strategy.get("threshold", 0.5)))
     elif name == "global_topn":
         n = int(topn) if topn is not None else 100000
-        counts = counts_of(st.take_first(sdf, n, st.score_order()), sdf)
+        counts = counts_of(st.take_first(sdf, n, st.score_order(), score_col="pred_prob"), sdf)
     elif name == "cart_only":
         counts = eval_cart_only(sdf, days_max=cart_days_max, min_prob=min_prob,
                                 max_submission=max_submission).select("tp", "pred_cnt", "true_pos")

@@ -64,3 +64,11 @@ def test_take_first(data):
     pdf = pd.DataFrame(rows, columns=["g", "id", "s"]).sort_values(["s", "id"], ascending=[False, True])
     assert got == sorted(pdf["id"].head(25))
     assert take_first(df, 0, [F.col("id")]).count() == len(rows)
+
+
+@pytest.mark.parametrize("n", [1, 7, 25, 400, 2999, 5000])
+def test_take_first_with_score_floor(data, n):
+    rows, df = data
+    got = sorted(r.id for r in take_first(df, n, [F.col("s").desc(), F.col("id")], score_col="s").collect())
+    pdf = pd.DataFrame(rows, columns=["g", "id", "s"]).sort_values(["s", "id"], ascending=[False, True])
+    assert got == sorted(pdf["id"].head(n))
