@@ -87,6 +87,12 @@ def hash_order(seed: int, *cols: str) -> Column:
     return F.md5(F.concat_ws("_", *[F.col(c).cast("string") for c in cols], F.lit(str(seed))))
 
 
+def hash_prefix(seed: int, *cols: str) -> Column:
+    """First 8 hex digits of ``hash_order`` as a number: orders rows exactly as
+    the md5 text does on its leading digits (used to pre-filter cuts)."""
+    return F.conv(F.substring(hash_order(seed, *cols), 1, 8), 16, 10).cast("bigint")
+
+
 def hash_bucket(seed: int, k: int, *cols: str) -> Column:
     """``(first 8 hex digits of hash_order) mod k``: a repeatable fold / shard id."""
     h = F.conv(F.substring(hash_order(seed, *cols), 1, 8), 16, 10).cast("bigint")

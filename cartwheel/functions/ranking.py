@@ -148,54 +148,61 @@ def global_cum_sum(df: DataFrame, order_cols: Sequence, weight: str,
     )
 
 
-# Upper-tail levels tried by the top-n pre-filter: 1 - 2^-i.
-_TAIL_LEVELS = [1.0 - 2.0 ** -i for i in range(1, 31)]
+# Tail levels tried by the top-n pre-filter: 2^-i of the rows.
+_TAIL_SHARES = [2.0 ** -i for i in range(1, 31)]
 
 
-def _score_floor(df: DataFrame, n: int, score_col: str) -> float | None:
-    """A score ``t`` with ``count(score >= t) >= n`` (checked exactly), chosen
-    from approximate upper quantiles so the tail holds a few times n rows;
-    None when no useful floor exists (then all rows are ranked)."""
+def _lead_floor(df: DataFrame, n: int, lead: Column, descending: bool):
+    """A bound ``t`` on the leading order key such that at least n rows lie on
+    the good side (``lead >= t`` descending, ``lead <= t`` ascending), checked
+    exactly; picked from approximate quantiles so that side holds a few times
+    n rows. None when no useful bound exists (then every row is ranked)."""
+    levels = [1.0 - s for s in _TAIL_SHARES] if descending else list(_TAIL_SHARES)
     row = df.agg(
         F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx(F.col(score_col).cast("double"), _TAIL_LEVELS, 10000).alias("_q"),
+        F.percentile_approx(lead.cast("double"), levels, 10000).alias("_q"),
     ).first()
     total, qs = int(row["_n"]), row["_q"]
     if total <= n or not qs:
         return None
-    # deepest level whose tail share still leaves room for ~4n rows
     want = min(1.0, 4.0 * n / total)
     t = None
-    for level, q in zip(_TAIL_LEVELS, qs):
-        if 1.0 - level >= want and q is not None:
+    for share, q in zip(_TAIL_SHARES, qs):
+        if share >= want and q is not None:
             t = q
     if t is None:
         return None
-    if df.where(F.col(score_col) >= F.lit(t)).limit(n).count() < n:   # exact check
+    keep = lead >= F.lit(t) if descending else lead <= F.lit(t)
+    if df.where(keep).limit(n).count() < n:   # exact check
         return None
-    return float(t)
+    return keep
 
 
 def take_first(df: DataFrame, n: int | None, order_cols: Sequence,
-               num_partitions: int | None = None, score_col: str | None = None) -> DataFrame:
+               num_partitions: int | None = None, score_col: str | None = None,
+               lead: tuple | None = None) -> DataFrame:
     """First ``n`` rows in a total order (``n`` None or <= 0: all rows).
 
     A distributed exact cut instead of ``orderBy().limit()``, whose final merge
     runs in one task that receives up to n rows from every partition.
 
-    ``score_col`` names the leading, descending order column. Then only rows
-    with ``score >= t`` are ranked, where ``count(score >= t) >= n`` is
-    verified, so the cut is still exact: the n-th best row scores at least t.
+    Pre-filter for n much smaller than the row count: ``score_col`` names a
+    leading descending numeric column, or ``lead = (column, descending)`` gives
+    a numeric key that orders rows like the leading order column (for example
+    the first hex digits of an md5 order key). Only rows on the good side of a
+    bound holding at least n rows (verified) are ranked, so the cut is exact.
     """
     if n is None or int(n) <= 0:
         return df
     n = int(n)
     cols = df.columns
     src = df
-    if score_col is not None:
-        t = _score_floor(df, n, score_col)
-        if t is not None:
-            src = df.where(F.col(score_col) >= F.lit(t))
+    if score_col is not None and lead is None:
+        lead = (F.col(score_col), True)
+    if lead is not None:
+        keep = _lead_floor(df, n, lead[0], bool(lead[1]))
+        if keep is not None:
+            src = df.where(keep)
     return global_row_number(src, order_cols, "_grn", num_partitions) \
         .where(F.col("_grn") <= F.lit(n)).select(*cols)
 

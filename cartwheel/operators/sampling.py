@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.exprs import bucket_index, hash_bucket, hash_order
+from cartwheel.functions.exprs import bucket_index, hash_bucket, hash_order, hash_prefix
 from cartwheel.functions.ranking import row_number_within, take_first
 
 GAP = "ui_days_since_last_action"
@@ -24,6 +24,11 @@ def _order(seed: int):
     return [hash_order(seed, "user_id", "item_id"), F.col("user_id"), F.col("item_id")]
 
 
+def _lead(seed: int):
+    """Numeric key ordered like the md5 text (ascending), for exact pre-filters."""
+    return (hash_prefix(seed, "user_id", "item_id"), False)
+
+
 def downsample_negatives(df: DataFrame, neg_pos_ratio: float = 20, seed: int = 42,
                          neg_max_gap_days: int | None = None, by_user: bool = False) -> DataFrame:
     """All positives plus ``min(#neg, int(#pos * ratio))`` negatives.
@@ -44,7 +49,7 @@ def downsample_negatives(df: DataFrame, neg_pos_ratio: float = 20, seed: int = 4
         return df
     target = min(n_neg, int(n_pos * neg_pos_ratio))
     if not by_user:
-        neg_s = take_first(neg, target, _order(seed))
+        neg_s = take_first(neg, target, _order(seed), lead=_lead(seed))
     else:
         neg_s = _by_user(neg, n_neg, target, seed)
     return pos.unionByName(neg_s)
@@ -60,9 +65,9 @@ def _by_user(neg: DataFrame, n_neg: int, target: int, seed: int) -> DataFrame:
     picked = ranked.where(F.col("_rn") <= F.col("_take")).drop("_rn", "_take")
     n_picked = picked.count()
     if n_picked == 0:
-        return take_first(neg, target, _order(seed))
+        return take_first(neg, target, _order(seed), lead=_lead(seed))
     if n_picked > target:
-        picked = take_first(picked, target, _order(seed))
+        picked = take_first(picked, target, _order(seed), lead=_lead(seed))
     return picked
 
 
@@ -117,8 +122,10 @@ def user_sample(df: DataFrame, frac: float = 0.02, seed: int = 42, floor: int =
     n = sample_size(n_users, frac, floor)
     if n >= n_users:
         return df
-    order = [F.md5(F.concat_ws("_", F.col("user_id").cast("string"), F.lit(str(seed)))), F.col("user_id")]
-    chosen = take_first(users, n, order)
+    key = F.md5(F.concat_ws("_", F.col("user_id").cast("string"), F.lit(str(seed))))
+    order = [key, F.col("user_id")]
+    lead = (F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint"), False)
+    chosen = take_first(users, n, order, lead=lead)
     return df.join(chosen, "user_id", "left_semi")
 
 

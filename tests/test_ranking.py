@@ -72,3 +72,35 @@ def test_take_first_with_score_floor(data, n):
     got = sorted(r.id for r in take_first(df, n, [F.col("s").desc(), F.col("id")], score_col="s").collect())
     pdf = pd.DataFrame(rows, columns=["g", "id", "s"]).sort_values(["s", "id"], ascending=[False, True])
     assert got == sorted(pdf["id"].head(n))
+
+
+@pytest.mark.parametrize("n", [1, 30, 700])
+def test_take_first_with_hash_lead(spark, n):
+    from cartwheel.functions.exprs import hash_order, hash_prefix
+    df = spark.range(3000).select(F.col("id").alias("user_id"), (F.col("id") % 7).alias("item_id"))
+    order = [hash_order(42, "user_id", "item_id"), F.col("user_id"), F.col("item_id")]
+    got = sorted(r.user_id for r in take_first(df, n, order, lead=(hash_prefix(42, "user_id", "item_id"), False)).collect())
+    want = sorted(r.user_id for r in df.orderBy(*order).limit(n).collect())
+    assert got == want
+
+
+@pytest.mark.parametrize("qs", [[0.5], [0.9, 0.999], [0.0, 1.0, 0.25, 1e-6]])
+def test_exact_quantiles(spark, data, qs):
+    import numpy as np
+    from cartwheel.operators.strategies import exact_quantiles
+    rows, df = data
+    got = exact_quantiles(df, "s", qs).first()
+    vals = np.array([r[2] for r in rows])
+    for j, q in enumerate(qs):
+        assert got[f"q{j}"] == pytest.approx(float(np.quantile(vals, q)), abs=1e-12)
+
+
+def test_exact_quantiles_many_distinct(spark):
+    import numpy as np
+    from cartwheel.operators.strategies import exact_quantiles
+    rnd = random.Random(2)
+    vals = [rnd.random() for _ in range(20000)]
+    df = spark.createDataFrame([(x,) for x in vals], "s double")
+    got = exact_quantiles(df, "s", [0.9, 0.999, 0.3]).first()
+    for j, q in enumerate([0.9, 0.999, 0.3]):
+        assert got[f"q{j}"] == pytest.approx(float(np.quantile(np.array(vals), q)), abs=1e-12)
