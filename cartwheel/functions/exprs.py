@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.schemas import NEVER_DAYS, STRONG_GAP_DAYS, STRONG_RULE_COLUMNS
+from cartwheel.schemas import NEVER_DAYS, STRONG_GAP_DAYS
 
 
 def lit_date(d) -> Column:
@@ -27,16 +27,6 @@ def days_since(ref, day_col) -> Column:
     return F.coalesce(F.datediff(lit_date(ref), day_col), F.lit(NEVER_DAYS)).cast("int")
 
 
-def count_if(cond: Column) -> Column:
-    """Number of rows where ``cond`` holds (BIGINT, 0 on no match)."""
-    return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
-
-
-def sum_if(cond: Column, value) -> Column:
-    value = F.col(value) if isinstance(value, str) else value
-    return F.sum(F.when(cond, value).otherwise(F.lit(0))).cast("bigint")
-
-
 def with_missing_as_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """F16: add absent rule columns as 0."""
     for c in cols:
@@ -63,8 +53,6 @@ def strong_rule(df: DataFrame) -> Column:
     )
 
 
-STRONG_COLUMNS = STRONG_RULE_COLUMNS
-
 
 def bucket_index(value, bounds: Sequence[int]) -> Column:
     """Bucket of an integer gap: ``(-inf,b0] -> 0, (b0,b1] -> 1, ... (last,inf) -> n``.

@@ -206,6 +206,3 @@ def take_first(df: DataFrame, n: int | None, order_cols: Sequence,
     return global_row_number(src, order_cols, "_grn", num_partitions) \
         .where(F.col("_grn") <= F.lit(n)).select(*cols)
 
-
-def desc_nulls_last(c: str) -> Column:
-    return F.col(c).desc_nulls_last()

@@ -275,8 +275,8 @@ def feature_columns(df: DataFrame, exclude=(), drop_time_gaps: bool = False) ->
 
 
 __all__ = [
-    "reference_day", "feature_population", "daily_grain", "user_features", "item_features",
-    "pair_features", "user_category_features", "needed_user_categories", "build_features",
-    "feature_columns", "USER_FEATURES", "ITEM_FEATURES", "PAIR_FEATURES", "USER_CATEGORY_FEATURES",
-    "NEVER_DAYS",
+    "reference_day", "feature_population", "daily_grain", "user_aggregates", "item_aggregates",
+    "pair_aggregates", "user_category_aggregates", "user_features", "item_features", "pair_features",
+    "user_category_features", "needed_user_categories", "build_features", "feature_columns",
+    "FEATURE_COLUMNS", "USER_FEATURES", "ITEM_FEATURES", "PAIR_FEATURES", "USER_CATEGORY_FEATURES", "NEVER_DAYS",
 ]

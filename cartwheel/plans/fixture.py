@@ -10,9 +10,7 @@ import datetime as _dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from cartwheel.functions.exprs import stand_in_score
 from cartwheel.operators import features as feat
 from cartwheel.operators import recall
 from cartwheel.session import materialize
@@ -105,15 +103,6 @@ class Inputs:
             self._memo["pred_features"] = materialize(plan(), "pred-features")
         return self._memo["pred_features"]
 
-    def scored_pred(self) -> DataFrame:
-        """Predict features with the stand-in score (``user_id, item_id, pred_prob``
-        plus the features); one row per pair because P has no repeats here."""
-        return self.pred_features().withColumn("pred_prob", stand_in_score())
-
-    def scored_train(self) -> DataFrame:
-        """Train features with label and the stand-in score as out-of-fold score."""
-        return self.train_features().withColumn("pred_prob", stand_in_score())
-
 
 _INPUTS: dict = {}
 
@@ -147,7 +136,3 @@ def load_orders(spark: SparkSession, sf_dir: str) -> Inputs:
                               label_date=bridge.LOAD_LABEL_DATE)
     return _INPUTS[key]
 
-
-def results_of(scored: DataFrame) -> DataFrame:
-    """One score per pair (max), the ``results`` frame of the strategies."""
-    return scored.groupBy("user_id", "item_id").agg(F.max("pred_prob").alias("pred_prob"))

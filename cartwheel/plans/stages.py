@@ -11,8 +11,6 @@ stage 3  scoring     (sampling, model, strategy, evaluation) -> results, submiss
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.operators import features as feat
@@ -142,8 +140,3 @@ def run_all(spark: SparkSession, actions: DataFrame, items: DataFrame, p: Params
     r3 = stage_scoring(spark, actions, p, out_dir)
     return {"candidates": r1["stats"], **r3}
 
-
-def as_date(x) -> _dt.date:
-    s = str(x).replace("-", "")
-    return _dt.date(int(s[:4]), int(s[4:6]), int(s[6:8]))
-
