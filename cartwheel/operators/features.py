@@ -232,12 +232,13 @@ def build_features(actions: DataFrame, items: DataFrame, candidates: DataFrame,
                    dedupe_items: bool = False, materialize_daily: bool = True) -> DataFrame:
     """A20 + A21 + J3-J6: the wide feature table for one candidate set.
 
-    Columns: ``user_id, item_id, [label]`` then the 32 features. The four raw
-    aggregates are left-joined straight onto the candidate rows and every
-    default (0 / 999 / span 0 / ratio 0) is applied in one projection. Join
-    order: pair (same key as the candidates), item, P's category (may fan
-    out), user-category (needs that category), user. AQE picks broadcast or
-    sort-merge per join from runtime sizes and splits skewed keys.
+    Columns: ``user_id, item_id, [label]`` then the 32 features. The raw
+    aggregates are left-joined onto the candidate rows and every default
+    (0 / 999 / span 0 / ratio 0) is applied in one projection. Join order:
+    pair (same key as the candidates), item, P's category (may fan out), then
+    one table holding the user and user-category aggregates per needed
+    (user, category). AQE picks broadcast or sort-merge per join from runtime
+    sizes and splits skewed keys.
     """
     ref = _d(ref)
     pop = feature_population(actions, items, candidates, ref)
@@ -246,15 +247,24 @@ def build_features(actions: DataFrame, items: DataFrame, candidates: DataFrame,
     daily = materialize(daily_grain(pop), "daily-grain") if materialize_daily else daily_grain(pop)
 
     id_cols = ["user_id", "item_id"] + (["label"] if "label" in candidates.columns else [])
+    # User and user-category aggregates share one table keyed by the needed
+    # (user, P-category) pairs, so the wide candidate rows take one shuffle
+    # for both. A candidate outside P has a null category: matched null-safe,
+    # it still gets its user features (and zero user-category counts).
+    needed = needed_user_categories(candidates, items)
+    per_user_cat = (
+        needed.join(user_category_aggregates(daily, needed), ["user_id", "item_category"], "left")
+        .join(user_aggregates(daily, ref), "user_id", "left")
+        .withColumnRenamed("user_id", "_uc_user").withColumnRenamed("item_category", "_uc_cat")
+    )
     j = (
         candidates.select(*id_cols)
         .join(pair_aggregates(daily), ["user_id", "item_id"], "left")
         .join(item_aggregates(daily, candidates, ref), "item_id", "left")
         .join(_p_categories(items, dedupe_items), "item_id", "left")
-        .join(user_category_aggregates(daily, needed_user_categories(candidates, items)),
-              ["user_id", "item_category"], "left")
-        .join(user_aggregates(daily, ref), "user_id", "left")
     )
+    j = j.join(per_user_cat, (j["user_id"] == per_user_cat["_uc_user"])
+               & j["item_category"].eqNullSafe(per_user_cat["_uc_cat"]), "left")
     return j.select(
         *id_cols,
         *user_columns(ref),
