@@ -189,3 +189,11 @@ def test_cart_ladder(spark):
     assert rows(st.cart_only(feats, res, max_rows=5, cart_days_max=3), "item_id") == [(1,), (2,), (3,)]
     assert rows(st.cart_only(feats, res, max_rows=5, cart_days_max=1), "item_id") == [(1,)]
     assert rows(st.cart_only(feats, res, max_rows=0, cart_days_max=2), "item_id") == [(1,), (2,)]
+
+
+def test_two_stage_dedupes_pairs(spark):
+    # A pair listed twice counts once, with its best score
+    res = spark.createDataFrame([(1, 1, 0.2), (1, 1, 0.9), (1, 2, 0.5), (1, 3, 0.4)],
+                                "user_id bigint, item_id bigint, pred_prob double")
+    strong = spark.createDataFrame([], "user_id bigint, item_id bigint")
+    assert rows(st.two_stage(res, strong, k=2, m=1), "item_id") == [(1,), (2,)]
