@@ -53,7 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local tests: no cluster-wide folder was named.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that every "
+                               "executor shares (lineage cuts and stage tables are written there)")
+        # Local mode only (tests, benches): one machine, so a local folder is shared.
         configured = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
