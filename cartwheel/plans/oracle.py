@@ -280,7 +280,7 @@ _reg("candidates_capped", with_(ACTIONS, ITEMS, FLAGS, train_cands("c", cap=CAP_
      + "\nSELECT user_id, item_id, label FROM c")
 HOT = f"""
 hot AS (
-  SELECT item_id, cnt, row_number() OVER (ORDER BY cnt DESC, item_id) AS hot_rank
+  SELECT item_id, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, item_id) AS INTEGER) AS hot_rank
   FROM (SELECT item_id, count(*) AS cnt FROM actions
         WHERE dt BETWEEN {D(-6)} AND {D(0)} AND item_id IN (SELECT item_id FROM items)
         GROUP BY item_id) x
@@ -542,7 +542,7 @@ _reg("grid_two_stage", with_(*TRAIN_SCORED, *_ts_rows(15, 0),
      + f1_sql("cnt").replace("SELECT tp, pred_cnt, true_pos,", "SELECT grid_idx, k, m, tp, pred_cnt, true_pos,", 1))
 
 _THR_GRID = """tq AS (SELECT quantile_cont(pred_prob, 0.9) AS lo, quantile_cont(pred_prob, 0.999) AS hi FROM sc),
-tg AS (SELECT i AS grid_idx, CASE WHEN i = 24 THEN hi ELSE lo + i * ((hi - lo) / 24) END AS threshold
+tg AS (SELECT CAST(i AS INTEGER) AS grid_idx, CASE WHEN i = 24 THEN hi ELSE lo + i * ((hi - lo) / 24) END AS threshold
        FROM tq, range(0, 25) r(i))"""
 _reg("grid_threshold", with_(*TRAIN_SCORED, _THR_GRID, """tc AS (SELECT g.grid_idx, g.threshold,
     CAST(coalesce(sum(s.label) FILTER (WHERE s.pred_prob >= g.threshold), 0) AS BIGINT) AS tp,
