@@ -9,9 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cartwheel.functions.exprs import stand_in_score
 from cartwheel.operators import features as feat
+from cartwheel.operators import metrics as mx
 from cartwheel.operators import recall
+from cartwheel.operators import sampling as sm
+from cartwheel.operators import scoring as sc
+from cartwheel.operators import strategies as st
+from cartwheel.operators import tuning as tn
 from cartwheel.plans import fixture as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,11 +175,6 @@ def q_train_features_fanout(spark, sf):
 
 
 # ---- strategies (F8-F11, K1-K10, J8-J12, A22, A25) ----
-from cartwheel.operators import strategies as st  # noqa: E402
-from cartwheel.operators import metrics as mx  # noqa: E402
-from cartwheel.operators import tuning as tn  # noqa: E402
-from cartwheel.operators import sampling as sm  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 
 def _pred(spark, sf):
@@ -184,7 +186,6 @@ def _pred(spark, sf):
 
 
 def _score():
-    from cartwheel.functions.exprs import stand_in_score
     return stand_in_score()
 
 
@@ -444,7 +445,6 @@ def q_stratified_kfold(spark, sf):
 
 
 # ---- model scoring (M1-M9, A24): rows-only, checked by invariants in tests ----
-from cartwheel.operators import scoring as sc  # noqa: E402
 
 MODEL_SPLITS = 3
 MODEL_ITERS = 10

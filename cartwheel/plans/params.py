@@ -12,6 +12,14 @@ import datetime as _dt
 from dataclasses import dataclass, field, fields
 
 
+def parse_day(value) -> _dt.date:
+    """``YYYYMMDD`` or ``YYYY-MM-DD`` (or a date) as a date."""
+    if isinstance(value, _dt.date):
+        return value
+    t = str(value).strip().replace("-", "")
+    return _dt.date(int(t[:4]), int(t[4:6]), int(t[6:8]))
+
+
 @dataclass
 class Params:
     # recall
@@ -68,7 +76,7 @@ class Params:
         names = {f.name: f for f in fields(cls)}
         for k, v in flat.items():
             if k == "label_date":
-                p.label_date = _dt.date(int(v[:4]), int(v[4:6]), int(v[6:8]))
+                p.label_date = parse_day(v)
             elif k == "max_submission":
                 p.max_submission = int(v)
                 p.cart_max_rows = int(v) if int(v) > 0 else p.cart_max_rows
