@@ -17,7 +17,7 @@ from cartwheel.operators import features as feat
 from cartwheel.operators import recall, sampling, scoring, strategies as st, tuning
 from cartwheel.plans.params import Params
 from cartwheel.session import scratch_path
-from cartwheel.sources.sinks import read_table, write_submission, write_table
+from cartwheel.sources.sinks import read_table, write_embedding, write_submission, write_table
 
 
 def stage_candidates(spark: SparkSession, actions: DataFrame, items: DataFrame, p: Params,
@@ -73,7 +73,7 @@ def stage_scoring(spark: SparkSession, actions: DataFrame, p: Params, out_dir: s
 
     if p.feature_viz:
         emb, var = scoring.pca_embedding(train, cols, p.viz_sample_per_class, p.seed)
-        write_table(emb, f"{out_dir}/feature_viz_pca")
+        write_embedding(emb, f"{out_dir}/feature_viz_pca")            # S8: x, y, label CSV
         report["pca_explained_variance"] = var
 
     fit_rows = train

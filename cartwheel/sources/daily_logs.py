@@ -45,16 +45,18 @@ def read_daily_shards(spark: SparkSession, daily_dir: str) -> DataFrame:
 
 
 def land_daily_shards(spark: SparkSession, daily_dir: str, out_path: str,
-                      mode: str = "overwrite") -> None:
+                      mode: str = "overwrite", max_records_per_file: int = 20_000_000) -> None:
     """Write the shards as Parquet partitioned by ``dt`` (enables day pruning).
 
-    ``repartition("dt")`` gives one writer task per day, so each day becomes
-    few files instead of one file per input split per day.
+    No shuffle: every input split comes from one day file, so each read task
+    writes into exactly one ``dt`` folder. (A ``repartition("dt")`` would send
+    a whole day -- terabytes at scale -- through a single task.) File sizes
+    are bounded by ``maxRecordsPerFile``.
     """
     (
         read_daily_shards(spark, daily_dir)
-        .repartition("dt")
         .write.mode(mode)
+        .option("maxRecordsPerFile", int(max_records_per_file))
         .partitionBy("dt")
         .parquet(out_path)
     )
