@@ -228,10 +228,21 @@ def user_category_features(candidates: DataFrame, daily: DataFrame, items: DataF
         .select("user_id", "item_category", *user_category_columns())
 
 
-def build_features(actions: DataFrame, items: DataFrame, candidates: DataFrame, ref,
-                   dedupe_items: bool = False, materialize_daily: bool = True) -> DataFrame:
+def grain_population(grain: DataFrame, items: DataFrame, candidates: DataFrame, ref) -> DataFrame:
+    """F5 + F1 + F2 on a pre-aggregated grain table (see ``streaming.daily_grain``)."""
+    g = grain.where(F.col("dt") < lit_date(_d(ref)))
+    g = g.join(item_set(items), "item_id", "left_semi")
+    return g.join(candidates.select("user_id").distinct(), "user_id", "left_semi")
+
+
+def build_features(actions: DataFrame | None, items: DataFrame, candidates: DataFrame, ref,
+                   dedupe_items: bool = False, materialize_daily: bool = True,
+                   grain: DataFrame | None = None) -> DataFrame:
     """A20 + A21 + J3-J6: the wide feature table for one candidate set.
 
+    Reads the raw log (``actions``) or, with ``grain=``, the day-partial table
+    maintained by ``streaming.daily_grain``.
+
     Columns: ``user_id, item_id, [label]`` then the 32 features. The raw
     aggregates are left-joined onto the candidate rows and every default
     (0 / 999 / span 0 / ratio 0) is applied in one projection. Join order:
@@ -241,10 +252,15 @@ def build_features(actions: DataFrame, items: DataFrame, candidates: DataFrame,
     sizes and splits skewed keys.
     """
     ref = _d(ref)
-    pop = feature_population(actions, items, candidates, ref)
-    # Four aggregates read the daily grain: write it once rather than scan
-    # the log four times.
-    daily = materialize(daily_grain(pop), "daily-grain") if materialize_daily else daily_grain(pop)
+    if grain is not None:
+        # Day partials kept by the grain stream: the compact table stands in
+        # for the log (split rows of one key are fine for every aggregate).
+        daily = grain_population(grain, items, candidates, ref)
+    else:
+        pop = feature_population(actions, items, candidates, ref)
+        # Four aggregates read the daily grain: write it once rather than scan
+        # the log four times.
+        daily = materialize(daily_grain(pop), "daily-grain") if materialize_daily else daily_grain(pop)
 
     id_cols = ["user_id", "item_id"] + (["label"] if "label" in candidates.columns else [])
     # User and user-category aggregates share one table keyed by the needed
@@ -285,7 +301,7 @@ def feature_columns(df: DataFrame, exclude=(), drop_time_gaps: bool = False) ->
 
 
 __all__ = [
-    "reference_day", "feature_population", "daily_grain", "user_aggregates", "item_aggregates",
+    "reference_day", "feature_population", "grain_population", "daily_grain", "user_aggregates", "item_aggregates",
     "pair_aggregates", "user_category_aggregates", "user_features", "item_features", "pair_features",
     "user_category_features", "needed_user_categories", "build_features", "feature_columns",
     "FEATURE_COLUMNS", "USER_FEATURES", "ITEM_FEATURES", "PAIR_FEATURES", "USER_CATEGORY_FEATURES", "NEVER_DAYS",

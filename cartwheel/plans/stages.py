@@ -39,12 +39,13 @@ def stage_candidates(spark: SparkSession, actions: DataFrame, items: DataFrame,
 
 
 def stage_features(spark: SparkSession, actions: DataFrame, items: DataFrame, p: Params,
-                   out_dir: str) -> dict:
-    """Stage 2: features for both candidate sets (train ref = L, predict ref = L + 1)."""
+                   out_dir: str, grain: DataFrame | None = None) -> dict:
+    """Stage 2: features for both candidate sets (train ref = L, predict ref = L + 1),
+    from the log or from the streamed day-partial ``grain`` table."""
     for name, is_train in (("train", True), ("pred", False)):
         cands = read_table(spark, f"{out_dir}/{name}_candidates")
         ref = feat.reference_day(p.label_date, is_train)
-        f = feat.build_features(actions, items, cands, ref, dedupe_items=p.dedupe_items)
+        f = feat.build_features(actions, items, cands, ref, dedupe_items=p.dedupe_items, grain=grain)
         write_table(f, f"{out_dir}/{name}_features")
     return {"train_features": f"{out_dir}/train_features", "pred_features": f"{out_dir}/pred_features"}
 
@@ -133,10 +134,11 @@ def stage_scoring(spark: SparkSession, actions: DataFrame, p: Params, out_dir: s
     return report
 
 
-def run_all(spark: SparkSession, actions: DataFrame, items: DataFrame, p: Params, out_dir: str) -> dict:
+def run_all(spark: SparkSession, actions: DataFrame, items: DataFrame, p: Params, out_dir: str,
+            grain: DataFrame | None = None) -> dict:
     """All three stages in order."""
     r1 = stage_candidates(spark, actions, items, p, out_dir)
-    stage_features(spark, actions, items, p, out_dir)
+    stage_features(spark, actions, items, p, out_dir, grain=grain)
     r3 = stage_scoring(spark, actions, p, out_dir)
     return {"candidates": r1["stats"], **r3}
 
