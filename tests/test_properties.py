@@ -32,6 +32,9 @@ def cases(spark):
     for u in range(300):
         for i in range(rnd.randint(0, 25)):
             rows.append((u, i, rnd.randint(0, 9) / 10.0, rnd.random() < rnd.random()))
+    # one hot user with about a third of all rows
+    for i in range(len(rows) // 2):
+        rows.append((999, i, rnd.randint(0, 99) / 100.0, rnd.random() < 0.2))
     return rows
 
 
@@ -67,6 +70,8 @@ def test_priority_cap_matches_loop(spark):
     for u in range(200):
         for i in range(rnd.randint(1, 30)):
             rows.append((u, i, rnd.random() < 0.3, rnd.random() < 0.3, rnd.random() < 0.1))
+    for i in range(len(rows) // 2):                      # hot user: a third of the rows
+        rows.append((999, i, rnd.random() < 0.3, rnd.random() < 0.3, rnd.random() < 0.1))
     df = spark.createDataFrame(rows, "user_id bigint, item_id bigint, t_recent boolean, t_strong boolean, t_label boolean")
     for cap in (1, 4, 10):
         got = {(r.user_id, r.item_id, r.label) for r in
