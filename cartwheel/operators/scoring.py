@@ -60,7 +60,7 @@ def positive_probability(df: DataFrame, prob_col: str = "probability") -> DataFr
 
 
 def balanced_weights(df: DataFrame, label: str = "label", out: str = "_w") -> DataFrame:
-    """M4: ``n / (2 * n_class)`` per row (sklearn's 'balanced')."""
+    """M4: 'balanced' class weights, ``n / (2 * n_class)`` per row."""
     row = df.agg(F.count(F.lit(1)).alias("n"),
                  F.count(F.when(F.col(label) == 1, 1)).alias("p")).first()
     n, p = int(row["n"]), int(row["p"])
