@@ -21,6 +21,7 @@ from cartwheel.schemas import (
     TWO_STAGE_K_GRID, TWO_STAGE_M_GRID,
 )
 
+
 def with_strong_flag(df: DataFrame) -> DataFrame:
     """F16 + F8 per row: missing rule columns become 0, then ``is_strong``."""
     df = with_missing_as_zero(df, STRONG_RULE_COLUMNS)

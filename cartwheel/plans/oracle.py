@@ -48,6 +48,7 @@ items AS (
   FROM part WHERE p_partkey < 25 AND p_partkey % 5 <> 0 AND p_partkey % 10 = 1
 )"""
 
+
 def flags_cte(base: _dt.date | None = None) -> str:
     b = base or L
     return f"""
