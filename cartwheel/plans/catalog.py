@@ -282,7 +282,7 @@ def q_submission(spark, sf):
 @register("threshold_by_quantile")
 def q_threshold_by_quantile(spark, sf):
     _, _, res = _pred(spark, sf)
-    return st.threshold_by_quantile(res, 0.1, 0.5)
+    return _r9(st.threshold_by_quantile(res, 0.1, 0.5))
 
 
 @register("threshold_with_fallback")
@@ -295,7 +295,7 @@ def q_threshold_with_fallback(spark, sf):
 def q_score_quantiles(spark, sf):
     _, _, res = _pred(spark, sf)
     q = st.exact_quantiles(res, "pred_prob", [0.5, 0.9, 0.999])
-    return q.select(F.col("q0").alias("q50"), F.col("q1").alias("q90"), F.col("q2").alias("q999"))
+    return _r9(q.select(F.col("q0").alias("q50"), F.col("q1").alias("q90"), F.col("q2").alias("q999")))
 
 
 # ---- metrics (E1-E7, E16, A26) ----

@@ -409,7 +409,7 @@ _reg("submission", with_(
   ORDER BY coalesce(p.pred_prob, 0) DESC, k.user_id, k.item_id LIMIT 100)""")
      + "\nSELECT DISTINCT user_id, item_id FROM capped")
 _reg("threshold_by_quantile", with_(*PRED_BASE) + """
-SELECT coalesce(quantile_cont(pred_prob, 0.9), 0.5) AS threshold FROM results""")
+SELECT round(coalesce(quantile_cont(pred_prob, 0.9), 0.5), 9) AS threshold FROM results""")
 _reg("threshold_with_fallback", with_(
     *PRED_BASE, "thr AS (SELECT user_id, item_id FROM results WHERE pred_prob >= 0.6)",
     *two_stage_sql("ts", "results", 3, 1)) + """
@@ -417,8 +417,8 @@ SELECT user_id, item_id FROM thr WHERE (SELECT count(*) FROM thr) >= 1000
 UNION ALL
 SELECT user_id, item_id FROM ts WHERE (SELECT count(*) FROM thr) < 1000""")
 _reg("score_quantiles", with_(*PRED_BASE) + """
-SELECT quantile_cont(pred_prob, 0.5) AS q50, quantile_cont(pred_prob, 0.9) AS q90,
-       quantile_cont(pred_prob, 0.999) AS q999 FROM results""")
+SELECT round(quantile_cont(pred_prob, 0.5), 9) AS q50, round(quantile_cont(pred_prob, 0.9), 9) AS q90,
+       round(quantile_cont(pred_prob, 0.999), 9) AS q999 FROM results""")
 
 # ---- metrics ----
 TRAIN_SCORED = [*train_features_cte("tf"), f"sc AS (SELECT *, {SCORE} AS pred_prob FROM tf)"]

@@ -14,6 +14,10 @@ import math
 import sys
 import time
 
+import os as _os
+
+EXACT = _os.environ.get("ORACLE_EXACT_FLOATS") == "1"   # hash raw doubles, no rounding
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -29,7 +33,7 @@ def _norm(v):
             return "nan"
         if math.isinf(f):
             return "inf" if f > 0 else "-inf"
-        return round(f, 9)
+        return f if EXACT else round(f, 9)
     if isinstance(v, _dt.datetime):
         return v.isoformat()
     if isinstance(v, _dt.date):
