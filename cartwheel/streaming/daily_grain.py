@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cartwheel.operators.features import daily_grain
-from cartwheel.session import scratch_path
 from cartwheel.streaming.ingest import daily_shard_stream
 
 GRAIN_COLUMNS = ["user_id", "item_id", "item_category", "dt", "n", "n1", "n2", "n3", "n4"]
@@ -30,8 +29,9 @@ def land_daily_grain_stream(spark: SparkSession, daily_dir: str, out_path: str,
                             checkpoint_location: str | None = None,
                             max_files_per_trigger: int = 1) -> StreamingQuery:
     """Start the stream (``availableNow``: lands what is present, then stops)."""
-    ckpt = checkpoint_location or scratch_path(spark, "grain-ckpt")
     base = out_path.rstrip("/")
+    # Default next to the data (hidden from readers), so reruns are incremental.
+    ckpt = checkpoint_location or f"{base}/_checkpoint"
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         (daily_grain(batch).write.mode("overwrite")

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartwheel.schemas import ACTIONS_SCHEMA
-from cartwheel.session import scratch_path
 from cartwheel.sources.daily_logs import SHARD_GLOB, shard_date
 
 
@@ -41,7 +40,9 @@ def land_daily_stream(spark: SparkSession, daily_dir: str, out_path: str,
     Returns the started query; with ``availableNow`` it ends by itself after
     the files present at start are landed (``query.awaitTermination()``).
     """
-    ckpt = checkpoint_location or scratch_path(spark, "ingest-ckpt")
+    # Default next to the data (hidden from readers by the "_" prefix), so a
+    # rerun resumes and lands only files it has not seen.
+    ckpt = checkpoint_location or f"{out_path.rstrip('/')}/_checkpoint"
     return (
         daily_shard_stream(spark, daily_dir, max_files_per_trigger)
         .writeStream.format("parquet")
