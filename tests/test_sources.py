@@ -79,6 +79,17 @@ def test_command_line_end_to_end(spark, tmpdir_path):
     assert 0 < sub.count() <= 40
     cands = spark.read.parquet(os.path.join(out, "train_candidates"))
     assert cands.count() == 161        # FIXTURES.md: 161 aligned train candidates at sf0.001
+    # the same features from the streamed day partials
+    grain = os.path.join(tmpdir_path, "grain")
+    out2 = os.path.join(tmpdir_path, "out2")
+    assert main(["grain", "--daily", src, "--actions", table, "--grain", grain]) == 0
+    assert main(["candidates", "--actions", table, "--items", items_path, "--out", out2, "--config", ini]) == 0
+    assert main(["features", "--actions", table, "--items", items_path, "--out", out2, "--config", ini,
+                 "--grain", grain]) == 0
+    for name in ("train_features", "pred_features"):
+        a = spark.read.parquet(os.path.join(out, name)).collect()
+        b = spark.read.parquet(os.path.join(out2, name)).collect()
+        assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
 def test_daily_grain_stream_gives_same_features(spark, tmpdir_path):
