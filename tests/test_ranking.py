@@ -104,3 +104,19 @@ def test_exact_quantiles_many_distinct(spark):
     got = exact_quantiles(df, "s", [0.9, 0.999, 0.3]).first()
     for j, q in enumerate([0.9, 0.999, 0.3]):
         assert got[f"q{j}"] == pytest.approx(float(np.quantile(np.array(vals), q)), abs=1e-12)
+
+
+@pytest.mark.parametrize("width", [0.0, -0.01])
+def test_exact_quantiles_fallback_paths(spark, monkeypatch, width):
+    """Degenerate (0) or inverted (-0.01) brackets fail their check for some or
+    all targets; the result must still be exact."""
+    import numpy as np
+    from cartwheel.operators import strategies
+    monkeypatch.setattr(strategies, "_BRACKET", width)
+    rnd = random.Random(9)
+    vals = [rnd.random() for _ in range(5000)]
+    df = spark.createDataFrame([(x,) for x in vals], "s double")
+    qs = [0.5, 0.9, 0.999, 0.0, 1.0]
+    got = strategies.exact_quantiles(df, "s", qs).first()
+    for j, q in enumerate(qs):
+        assert got[f"q{j}"] == pytest.approx(float(np.quantile(np.array(vals), q)), abs=1e-12)
