@@ -1,6 +1,8 @@
 """Plan shape of every registered query: no cartesian or nested-loop joins,
 per-user windows with a partial group limit, pruned and pushed-down scans."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -39,3 +41,30 @@ def test_recall_scan_is_pruned_and_pushed(spark):
     scan = [line for line in plan.split("\n") if "FileScan parquet" in line and "events" in line][0]
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in scan
     assert "GreaterThanOrEqual(ts" in scan and "LessThan(ts" in scan
+
+
+def test_candidate_rows_shuffle_at_most_three_times(spark):
+    """With no broadcast (as for large tables), the candidate rows pass at most
+    three exchanges on their way to the feature table."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plan = _plan(Q["train_features"](spark, SF0001)).split("\n")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-*"))
+
+    # the candidate table is the only scan that reads the label column
+    scan = next(i for i, line in enumerate(plan)
+                if re.search(r"FileScan parquet \[user_id#\d+L,item_id#\d+L,label#\d+\]", line))
+    exchanges, d = 0, depth(plan[scan])
+    for line in reversed(plan[:scan]):          # walk up to the root through the ancestors
+        if line.strip() and depth(line) < d:
+            d = depth(line)
+            exchanges += "Exchange hashpartitioning" in line
+    assert exchanges <= 3
