@@ -7,11 +7,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe
+from cartwheel.llm import bpe, exact_dedup, token_counts, token_store
 from cartwheel.llm.common import table
+from cartwheel.session import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
+#: Id that ends a document in the token store.
+END_ID = 1
+#: Tokens beyond which a document is over the limit.
+TOKEN_LIMIT = 512
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +26,30 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids written to block files and read back from them."""
+    folder = scratch_path(spark, "token-store")
+    token_store.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(WORD_BPE), END_ID)
+    rows = token_store.documents(spark, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return token_store.with_start(rows, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document, through a cache that starts empty."""
+    counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
+                                       scratch_path(spark, "token-counts"))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which document of every group of equal texts stays."""
+    groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_token_store": op2_token_store,
+    "op7_token_counts": op7_token_counts,
+    "op8_exact_dedup": op8_exact_dedup,
 }

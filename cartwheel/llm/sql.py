@@ -1,3 +1,16 @@
 """DuckDB SQL of the queries that SQL can express."""
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op8_exact_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+  FROM documents
+), k AS (
+  SELECT doc_id, norm, count(*) OVER (PARTITION BY norm) AS group_size,
+         first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(text) DESC, doc_id) AS keep_id
+  FROM d
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM k
+"""
