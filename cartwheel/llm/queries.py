@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, exact_dedup, token_counts, token_store
+from cartwheel.llm import bpe, exact_dedup, langid, mixing, token_counts, token_store
 from cartwheel.llm.common import table
 from cartwheel.session import scratch_path
 
@@ -34,6 +34,18 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.with_start(rows, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.fit(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document, through a cache that starts empty."""
     counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
@@ -50,6 +62,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_token_store": op2_token_store,
+    "op4_language": op4_language,
+    "op5_mixing": op5_mixing,
     "op7_token_counts": op7_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
 }
