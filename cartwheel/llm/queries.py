@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, exact_dedup, langid, mixing, token_counts, token_store
+from cartwheel.llm import bpe, exact_dedup, langid, mixing, near_dedup, token_counts, token_store
 from cartwheel.llm.common import table
 from cartwheel.session import scratch_path
 
@@ -46,6 +46,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document, and which of it stays."""
+    found = near_dedup.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "kept")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document, through a cache that starts empty."""
     counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
@@ -64,6 +70,7 @@ QUERIES = {
     "op2_token_store": op2_token_store,
     "op4_language": op4_language,
     "op5_mixing": op5_mixing,
+    "op6_near_dedup": op6_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
 }
