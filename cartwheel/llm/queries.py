@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, exact_dedup, langid, mixing, near_dedup, token_counts, token_store
+from cartwheel.llm import bpe, exact_dedup, langid, mixing, near_dedup, token_counts, token_store, warc
 from cartwheel.llm.common import table
 from cartwheel.session import scratch_path
 
@@ -17,6 +17,8 @@ BYTE_BPE = "byte_bpe_50k.json"
 END_ID = 1
 #: Tokens beyond which a document is over the limit.
 TOKEN_LIMIT = 512
+#: The pages whose copies the audited replica holds damaged: page_id % step = rest.
+DAMAGE_STEP, DAMAGE_REST = 97, 13
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +67,18 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits a replica of all pages against the archive. The replica's copies
+    of every 97th page are damaged in place: '<' has become '{'."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    hit = F.pmod("page_id", F.lit(DAMAGE_STEP)) == DAMAGE_REST
+    copies = pages.withColumn("html", F.when(hit, F.translate("html", "<", "{")).otherwise(F.col("html")))
+    primary, replica = scratch_path(spark, "warc-primary"), scratch_path(spark, "warc-replica")
+    warc.write_archive(pages, primary)
+    warc.write_archive(copies, replica)
+    return warc.audit(spark, primary, replica).select("page_id", "n_bytes", "payload_sha256", "status")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_token_store": op2_token_store,
@@ -73,4 +87,5 @@ QUERIES = {
     "op6_near_dedup": op6_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_warc": op10_warc,
 }

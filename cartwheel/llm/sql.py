@@ -14,3 +14,9 @@ WITH d AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM k
 """
+
+ORACLE["op10_warc"] = """
+SELECT page_id, coalesce(strlen(html), 0) AS n_bytes, sha256(coalesce(html, '')) AS payload_sha256,
+       CASE WHEN ((page_id % 97) + 97) % 97 = 13 AND contains(html, '<') THEN 'damaged' ELSE 'intact' END AS status
+FROM pages
+"""
