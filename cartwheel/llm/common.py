@@ -42,7 +42,10 @@ class Scratch:
 
     A written table cuts lineage and outlives lost executors. ``drop`` removes
     one once its last reader has been written; the table behind a returned
-    DataFrame has to stay until the caller has read it."""
+    DataFrame has to stay until the caller has read it. The shuffle files of a
+    finished write go with it, where Spark has the setting for that."""
+
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -52,7 +55,12 @@ class Scratch:
 
     def write_path(self, df: DataFrame, name: str, **options: str) -> str:
         path = scratch_path(self.spark, name)
-        df.write.options(**options).parquet(path)
+        before = self.spark.conf.get(self.CLEANUP, None)
+        self.spark.conf.set(self.CLEANUP, "true")
+        try:
+            df.write.options(**options).parquet(path)
+        finally:
+            self.spark.conf.set(self.CLEANUP, before or "false")
         return path
 
     def drop(self, *frames: DataFrame) -> None:

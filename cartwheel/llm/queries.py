@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, exact_dedup, langid, mixing, near_dedup, token_counts, token_store, warc
+from cartwheel.llm import bpe, exact_dedup, langid, mixing, near_dedup, suffix_dedup, token_counts, token_store, warc
 from cartwheel.llm.common import table
 from cartwheel.session import scratch_path
 
@@ -36,6 +36,14 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.with_start(rows, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What removing repeated passages leaves of every document."""
+    done = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -82,6 +90,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_token_store": op2_token_store,
+    "op3_passages": op3_passages,
     "op4_language": op4_language,
     "op5_mixing": op5_mixing,
     "op6_near_dedup": op6_near_dedup,
