@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, exact_dedup, langid, mixing, near_dedup, suffix_dedup, token_counts, token_store, warc
+from cartwheel.llm import ann, bpe, exact_dedup, langid, mixing, near_dedup, suffix_dedup, token_counts, token_store, warc
 from cartwheel.llm.common import table
 from cartwheel.session import scratch_path
 
@@ -75,6 +75,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors found of every 50th vector, among all others."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: F.pmod(vec_id, F.lit(50)) == 0)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audits a replica of all pages against the archive. The replica's copies
     of every 97th page are damaged in place: '<' has become '{'."""
@@ -96,5 +101,6 @@ QUERIES = {
     "op6_near_dedup": op6_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_nearest": op9_nearest,
     "op10_warc": op10_warc,
 }
