@@ -38,7 +38,7 @@ SNIPPET_CHARS = 600
 BUCKETS, DIM, EPOCHS, BATCH, RATE = 1 << 16, 16, 4, 32, 0.5
 GRAMS = (3, 4)
 #: Bytes whose n-grams are held at once.
-WINDOW = 1 << 20
+WINDOW = 1 << 18
 UNKNOWN = "und"
 
 
