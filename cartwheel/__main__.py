@@ -22,7 +22,7 @@ import sys
 from dataclasses import fields
 
 from cartwheel.plans import stages
-from cartwheel.plans.params import Params, parse_day
+from cartwheel.plans.params import Params
 from cartwheel.session import get_spark
 from cartwheel.sources.daily_logs import land_daily_shards, read_actions
 from cartwheel.sources.items import read_item_subset
@@ -36,24 +36,7 @@ def _params(args) -> Params:
         key, _, value = item.partition("=")
         if key not in names:
             raise SystemExit(f"unknown parameter {key!r}")
-        cur = getattr(p, key)
-        if key == "label_date":
-            setattr(p, key, parse_day(value))
-        elif isinstance(cur, bool):
-            setattr(p, key, value.strip() in ("1", "true", "True"))
-        elif isinstance(cur, int):
-            setattr(p, key, int(value))
-        elif isinstance(cur, float):
-            setattr(p, key, float(value))
-        elif cur is None:                      # optional number: int, else float, else text
-            for conv in (int, float, str):
-                try:
-                    setattr(p, key, conv(value))
-                    break
-                except ValueError:
-                    continue
-        else:
-            setattr(p, key, value)
+        p.set_text(key, value)
     return p
 
 

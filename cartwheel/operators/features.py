@@ -40,10 +40,11 @@ def reference_day(label_date, is_training: bool) -> _dt.date:
 
 
 def feature_population(actions: DataFrame, items: DataFrame, candidates: DataFrame, ref) -> DataFrame:
-    """F5 + F1 + F2: ``dt < ref``, item in P, user among candidate users."""
-    a = actions_before(actions, _d(ref))
-    a = a.join(item_set(items), "item_id", "left_semi")
-    return a.join(candidates.select("user_id").distinct(), "user_id", "left_semi")
+    """F5 + F1 + F2 as a daily grain: ``dt < ref``, item in P, user among
+    candidate users. The log is reduced to the grain first, so it is combined
+    in the map tasks and spread by all four keys; only the compact grain meets
+    the item and user sets."""
+    return grain_population(daily_grain(actions_before(actions, _d(ref))), items, candidates, ref)
 
 
 def daily_grain(population: DataFrame) -> DataFrame:
@@ -69,19 +70,23 @@ def _z(c: str):
 
 
 def user_aggregates(daily: DataFrame, ref) -> DataFrame:
-    """A1-A6 raw aggregates per user (only users with activity)."""
-    return daily.groupBy("user_id").agg(
+    """A1-A6 raw aggregates per user (only users with activity). Days and
+    categories are counted from rows reduced to them: no row is expanded."""
+    days = daily.groupBy("user_id", "dt").agg(*[F.sum(c).alias(c) for c in ("n", "n1", "n2", "n3", "n4")])
+    per_user = days.groupBy("user_id").agg(
         F.sum("n").alias("user_total_actions"),
         F.sum("n1").alias("behavior_1_count"),
         F.sum("n2").alias("behavior_2_count"),
         F.sum("n3").alias("behavior_3_count"),
         F.sum("n4").alias("behavior_4_count"),
-        F.countDistinct("dt").alias("active_days"),
+        F.count("dt").alias("active_days"),
         F.sum(F.when(_recent(ref, USER_RECENT_LONG), F.col("n")).otherwise(0)).cast("bigint").alias("recent_7d_actions"),
         F.sum(F.when(_recent(ref, USER_RECENT_SHORT), F.col("n")).otherwise(0)).cast("bigint").alias("recent_3d_actions"),
         F.max("dt").alias("_u_last"),
-        F.countDistinct("item_category").alias("unique_categories"),
     )
+    categories = (daily.select("user_id", "item_category").distinct()
+                  .groupBy("user_id").agg(F.count("item_category").alias("unique_categories")))
+    return per_user.join(categories, "user_id")
 
 
 def user_columns(ref) -> list:
@@ -105,19 +110,25 @@ def user_columns(ref) -> list:
 def item_aggregates(daily: DataFrame, candidates: DataFrame, ref) -> DataFrame:
     """A9-A12 raw aggregates for candidate items (F3); activity of candidate users only."""
     cand_items = candidates.select("item_id").distinct()
-    return (
-        daily.join(cand_items, "item_id", "left_semi")
-        .groupBy("item_id").agg(
-            F.sum("n").alias("item_total_actions"),
-            F.sum("n4").alias("total_purchases"),
-            F.countDistinct("user_id").alias("unique_users"),
-            F.sum("n1").alias("views"),
-            F.sum(F.when(_recent(ref, USER_RECENT_LONG), F.col("n1")).otherwise(0)).cast("bigint").alias("recent_7d_views"),
-            F.sum(F.when(_recent(ref, USER_RECENT_SHORT), F.col("n1")).otherwise(0)).cast("bigint").alias("recent_3d_views"),
-            # Last day of *any* action by candidate users (quirk Q2).
-            F.max("dt").alias("_i_last"),
-        )
+
+    def recent_views(days):
+        return F.sum(F.when(_recent(ref, days), F.col("n1")).otherwise(0)).cast("bigint")
+
+    # One row per user of an item, then one per item: a hot item is spread by its users first.
+    per_user = daily.groupBy("item_id", "user_id").agg(
+        F.sum("n").alias("n"), F.sum("n4").alias("n4"), F.sum("n1").alias("n1"),
+        recent_views(USER_RECENT_LONG).alias("v7"), recent_views(USER_RECENT_SHORT).alias("v3"), F.max("dt").alias("last"))
+    per_item = per_user.groupBy("item_id").agg(
+        F.sum("n").alias("item_total_actions"),
+        F.sum("n4").alias("total_purchases"),
+        F.count("user_id").alias("unique_users"),
+        F.sum("n1").alias("views"),
+        F.sum("v7").alias("recent_7d_views"),
+        F.sum("v3").alias("recent_3d_views"),
+        # Last day of *any* action by candidate users (quirk Q2).
+        F.max("last").alias("_i_last"),
     )
+    return per_item.join(cand_items, "item_id", "left_semi")
 
 
 def item_columns(ref) -> list:
@@ -176,13 +187,12 @@ def needed_user_categories(candidates: DataFrame, items: DataFrame) -> DataFrame
 def user_category_aggregates(daily: DataFrame, needed: DataFrame) -> DataFrame:
     """A18-A19 raw aggregates for the needed (user, category) combinations (J2:
     log category against P's category; a null category matches nothing)."""
-    return (
-        daily.join(needed, ["user_id", "item_category"], "left_semi")
-        .groupBy("user_id", "item_category").agg(
-            F.sum("n").alias("user_category_actions"),
-            F.countDistinct("item_id").alias("user_category_items"),
-        )
+    per_item = daily.groupBy("user_id", "item_category", "item_id").agg(F.sum("n").alias("n"))
+    per_category = per_item.groupBy("user_id", "item_category").agg(
+        F.sum("n").alias("user_category_actions"),
+        F.count("item_id").alias("user_category_items"),
     )
+    return per_category.join(needed, ["user_id", "item_category"], "left_semi")
 
 
 def user_category_columns() -> list:
@@ -257,10 +267,11 @@ def build_features(actions: DataFrame | None, items: DataFrame, candidates: Data
         # for the log (split rows of one key are fine for every aggregate).
         daily = grain_population(grain, items, candidates, ref)
     else:
-        pop = feature_population(actions, items, candidates, ref)
         # Four aggregates read the daily grain: write it once rather than scan
-        # the log four times.
-        daily = materialize(daily_grain(pop), "daily-grain") if materialize_daily else daily_grain(pop)
+        # the log four times. Read back, it has no partitioning by user or item
+        # that an aggregate could stay on, so each combines before its shuffle.
+        daily = feature_population(actions, items, candidates, ref)
+        daily = materialize(daily, "daily-grain") if materialize_daily else daily
 
     id_cols = ["user_id", "item_id"] + (["label"] if "label" in candidates.columns else [])
     # User and user-category aggregates share one table keyed by the needed

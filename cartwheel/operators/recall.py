@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from cartwheel.functions.exprs import lit_date
 from cartwheel.functions.ranking import top_k_per_group
 from cartwheel.schemas import PURCHASE, RECENT_DAYS, STRONG_BEHAVIOURS, STRONG_DAYS
+from cartwheel.session import materialize
 from cartwheel.sources.daily_logs import actions_between
 from cartwheel.sources.items import item_set
 
+MAX_HOT = 10_000             # items of a hot list, a bound on what the plan carries
 FLAG_COLUMNS = ["t_recent", "t_strong", "t_label", "p_recent", "p_strong"]
 
 
@@ -138,7 +140,7 @@ def _capped(flags: DataFrame, tier, max_per_user: int | None) -> DataFrame:
     return top_k_per_group(t, ["user_id"], [F.col("tier"), F.col("item_id")], int(max_per_user)).drop("rn")
 
 
-def train_candidates(flags: DataFrame, max_per_user: int | None = 200,
+def train_candidates(flags: DataFrame, max_per_user: int | None = None,
                      align_recall: bool = True, pos_filter_in_recall: bool = True) -> DataFrame:
     """``user_id, item_id, label``; tiers label(0) > strong(1) > recent(2)."""
     lab = kept_label(align_recall, pos_filter_in_recall)
@@ -151,13 +153,13 @@ def train_candidates(flags: DataFrame, max_per_user: int | None = 200,
     return out.select("user_id", "item_id", F.col("_lab").cast("int").alias("label"))
 
 
-def pred_candidates(flags: DataFrame, max_per_user: int | None = 200) -> DataFrame:
+def pred_candidates(flags: DataFrame, max_per_user: int | None = None) -> DataFrame:
     """C4 for predict: tiers strong(1) > recent(2)."""
     tier = F.when(F.col("p_strong"), F.lit(1)).when(F.col("p_recent"), F.lit(2))
     return _capped(flags, tier, max_per_user).select("user_id", "item_id")
 
 
-def hot_items(actions: DataFrame, items: DataFrame, label_date, top: int = 50) -> DataFrame:
+def hot_items(actions: DataFrame, items: DataFrame, label_date, top: int) -> DataFrame:
     """The ``top`` items by action count in the predict recent window (in P).
 
     ``item_id, cnt, hot_rank``. The result has at most ``top`` rows; the cut is
@@ -174,38 +176,37 @@ def hot_items(actions: DataFrame, items: DataFrame, label_date, top: int = 50) -
     )
 
 
-def backfill_hot(pred: DataFrame, hot: DataFrame, max_per_user: int = 200) -> DataFrame:
+def backfill_hot(pred: DataFrame, hot: DataFrame, max_per_user: int) -> DataFrame:
     """Users under the cap get unseen hot items appended in hot-rank order.
 
     The hot list has at most ``top`` rows (a parameter), so it is collected as
-    a literal array; per user only the owned *hot* items are gathered (also at
-    most ``top``), never the user's whole candidate list. No cross join.
+    a literal array (``MAX_HOT`` at most, else an error). The candidates are
+    written once; one aggregate over them gives each user's size and owned
+    *hot* items (also at most ``top``), never the whole candidate list. No
+    cross join.
     """
-    hot_ids = [r["item_id"] for r in hot.orderBy("hot_rank").select("item_id").collect()]
+    hot_ids = [r["item_id"] for r in hot.orderBy("hot_rank").select("item_id").limit(MAX_HOT + 1).collect()]
+    if len(hot_ids) > MAX_HOT:
+        raise ValueError(f"a hot list of more than {MAX_HOT} items")
+    pred = materialize(pred.select("user_id", "item_id"), "pred-candidates")
     if not hot_ids:
-        return pred.select("user_id", "item_id")
+        return pred
     hot_arr = F.array(*[F.lit(int(i)).cast("bigint") for i in hot_ids])
-    hot_df = hot.select("item_id")
-    owned_hot = (
-        pred.join(F.broadcast(hot_df), "item_id", "left_semi")
-        .groupBy("user_id").agg(F.collect_set("item_id").alias("owned"))
-    )
-    sizes = pred.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    owned = F.collect_set(F.when(F.col("item_id").isin(hot_ids), F.col("item_id"))).alias("owned")
     room = (
-        sizes.join(owned_hot, "user_id", "left")
+        pred.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), owned)
         .where(F.col("n") < F.lit(int(max_per_user)))
         .select(
             "user_id",
             F.slice(
-                F.filter(hot_arr, lambda x: ~F.array_contains(
-                    F.coalesce(F.col("owned"), F.array().cast("array<bigint>")), x)),
+                F.filter(hot_arr, lambda x: ~F.array_contains(F.col("owned"), x)),
                 F.lit(1),
                 (F.lit(int(max_per_user)) - F.col("n")).cast("int"),
             ).alias("fill"),
         )
     )
     extra = room.select("user_id", F.explode("fill").alias("item_id"))
-    return pred.select("user_id", "item_id").unionByName(extra)
+    return pred.unionByName(extra)
 
 
 def candidate_stats(train: DataFrame) -> DataFrame:

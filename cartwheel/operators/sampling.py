@@ -20,8 +20,10 @@ from cartwheel.functions.ranking import row_number_within, take_first
 GAP = "ui_days_since_last_action"
 
 
-def _order(seed: int):
-    return [hash_order(seed, "user_id", "item_id"), F.col("user_id"), F.col("item_id")]
+def _order(seed: int, df: DataFrame):
+    # Repeats of an item in P differ by category, where rows have one: with it the order is total.
+    return [hash_order(seed, "user_id", "item_id"), F.col("user_id"), F.col("item_id"),
+            *(F.col(c) for c in df.columns if c == "item_category")]
 
 
 def _lead(seed: int):
@@ -49,7 +51,7 @@ def downsample_negatives(df: DataFrame, neg_pos_ratio: float = 20, seed: int = 4
         return df
     target = min(n_neg, int(n_pos * neg_pos_ratio))
     if not by_user:
-        neg_s = take_first(neg, target, _order(seed), lead=_lead(seed))
+        neg_s = take_first(neg, target, _order(seed, neg), lead=_lead(seed))
     else:
         neg_s = _by_user(neg, n_neg, target, seed)
     return pos.unionByName(neg_s)
@@ -61,13 +63,13 @@ def _by_user(neg: DataFrame, n_neg: int, target: int, seed: int) -> DataFrame:
     counts = neg.groupBy("user_id").agg(F.count(F.lit(1)).alias("_cnt"))
     take = F.bround(F.col("_cnt").cast("double") / F.lit(float(n_neg)) * F.lit(float(target)), 0).cast("bigint")
     alloc = counts.select("user_id", F.least(take, F.col("_cnt")).alias("_take")).where(F.col("_take") > 0)
-    ranked = row_number_within(neg.join(alloc, "user_id"), ["user_id"], _order(seed), "_rn")
+    ranked = row_number_within(neg.join(alloc, "user_id"), ["user_id"], _order(seed, neg), "_rn")
     picked = ranked.where(F.col("_rn") <= F.col("_take")).drop("_rn", "_take")
     n_picked = picked.count()
     if n_picked == 0:
-        return take_first(neg, target, _order(seed), lead=_lead(seed))
+        return take_first(neg, target, _order(seed, neg), lead=_lead(seed))
     if n_picked > target:
-        picked = take_first(picked, target, _order(seed), lead=_lead(seed))
+        picked = take_first(picked, target, _order(seed, picked), lead=_lead(seed))
     return picked
 
 
@@ -100,7 +102,7 @@ def downsample_negatives_bucketed(df: DataFrame, neg_pos_ratio: float = 20,
     out = b.where(F.col("label") == 1)
     for bucket, n in sorted(quota.items()):
         negs = b.where((F.col("label") == 0) & (F.col("_b") == F.lit(int(bucket))))
-        out = out.unionByName(take_first(negs, int(n), _order(seed), lead=_lead(seed)))
+        out = out.unionByName(take_first(negs, int(n), _order(seed, negs), lead=_lead(seed)))
     return out.drop("_b")
 
 
@@ -111,12 +113,13 @@ def downsample_chained(df: DataFrame, neg_pos_ratio: float = 20, neg_max_gap_day
     return downsample_negatives_bucketed(base, neg_pos_ratio=neg_pos_ratio, bounds=bounds, seed=seed)
 
 
-def sample_size(n_users: int, frac: float, floor: int = 20000) -> int:
-    return min(n_users, max(floor, int(n_users * frac)))
+def sample_size(n_users: int, frac: float, floor: int = 0) -> int:
+    return min(n_users, max(floor, 1, int(n_users * frac)))
 
 
-def user_sample(df: DataFrame, frac: float = 0.02, seed: int = 42, floor: int = 20000) -> DataFrame:
-    """N6 + J14: ``min(#users, max(floor, int(#users * frac)))`` users, all their rows."""
+def user_sample(df: DataFrame, frac: float, seed: int = 42, floor: int = 0) -> DataFrame:
+    """N6 + J14: ``min(#users, max(floor, 1, int(#users * frac)))`` users, all
+    their rows (the original's setting: a share of 0.02, a floor of 20000)."""
     users = df.select("user_id").distinct()
     n_users = users.count()
     n = sample_size(n_users, frac, floor)
@@ -129,13 +132,13 @@ def user_sample(df: DataFrame, frac: float = 0.02, seed: int = 42, floor: int =
     return df.join(chosen, "user_id", "left_semi")
 
 
-def balanced_sample(df: DataFrame, per_class: int = 10000, seed: int = 42) -> DataFrame:
+def balanced_sample(df: DataFrame, per_class: int, seed: int = 42) -> DataFrame:
     """``min(per_class, #class)`` rows of each label (0 and 1).
 
     Each class is an exact cut in hash order; the hash pre-filter means only
     about 4 x per_class rows of a class are ranked, however large it is.
     """
-    parts = [take_first(df.where(F.col("label") == c), int(per_class), _order(seed), lead=_lead(seed))
+    parts = [take_first(df.where(F.col("label") == c), int(per_class), _order(seed, df), lead=_lead(seed))
              for c in (0, 1)]
     return parts[0].unionByName(parts[1])
 
@@ -148,7 +151,7 @@ def group_kfold(df: DataFrame, n_splits: int = 5, seed: int = 42, col: str = "fo
 def stratified_kfold(df: DataFrame, n_splits: int = 5, seed: int = 42, col: str = "fold") -> DataFrame:
     """Rows of each label dealt round-robin in hash order: every fold gets
     floor or ceil of 1/k of each class."""
-    ranked = row_number_within(df, ["label"], _order(seed), "_rn")
+    ranked = row_number_within(df, ["label"], _order(seed, df), "_rn")
     return ranked.withColumn(col, F.pmod(F.col("_rn") - 1, F.lit(int(n_splits))).cast("int")).drop("_rn")
 
 

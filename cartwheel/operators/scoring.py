@@ -130,7 +130,7 @@ def kfold_train_predict(train: DataFrame, pred: DataFrame | None, feature_cols:
             fit_df = base.where(~held)
             gbt = _classifier(preset, max_iter, seed, weight, None)
         if fit_df.where(~held).limit(1).count() == 0:
-            continue
+            raise ValueError(f"fold {f} has no training rows: fewer users or rows than folds")
         model = gbt.fit(fit_df)
         models.append(model)
         scored = positive_probability(model.transform(base.where(held)))
@@ -151,12 +151,16 @@ def kfold_train_predict(train: DataFrame, pred: DataFrame | None, feature_cols:
                        feature_cols=feature_cols)
 
 
+def pruned_features(importance: DataFrame) -> DataFrame:
+    """M8 as rows: ``feature, kept``; a feature stays if any fold used it."""
+    return importance.select("feature", (F.col("importance") > 0).alias("kept"))
+
+
 def drop_zero_importance(importance: DataFrame, feature_cols: Sequence[str]) -> tuple[list, list]:
-    """M8: features with summed importance <= 0 are dropped (one row per feature)."""
-    zero = {r["feature"] for r in importance.where(F.col("importance") <= 0).select("feature").collect()}
-    kept = [c for c in feature_cols if c not in zero]
-    dropped = [c for c in feature_cols if c in zero]
-    return kept, dropped
+    """M8: the kept and the dropped features, each in the order of ``feature_cols``."""
+    by_kept = pruned_features(importance).groupBy("kept").agg(F.collect_set("feature").alias("f"))
+    of = {r["kept"]: set(r["f"]) for r in by_kept.collect()}          # one row per verdict
+    return tuple(sorted(of.get(k, ()), key=list(feature_cols).index) for k in (True, False))
 
 
 def should_retrain(kept: Sequence[str], dropped: Sequence[str], n_features: int) -> bool:
@@ -164,7 +168,7 @@ def should_retrain(kept: Sequence[str], dropped: Sequence[str], n_features: int)
     return len(dropped) > 0 and len(kept) >= max(10, int(0.7 * n_features))
 
 
-def pca_embedding(df: DataFrame, feature_cols: Sequence[str], per_class: int = 10000,
+def pca_embedding(df: DataFrame, feature_cols: Sequence[str], per_class: int,
                   seed: int = 42) -> tuple[DataFrame, list]:
     """M9: balanced sample, standardised (mean 0, sample std 1), 2-D PCA.
 

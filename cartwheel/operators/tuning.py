@@ -165,12 +165,13 @@ def strategy_row(df: DataFrame, strategy: dict) -> DataFrame:
     )
 
 
-def eval_forced(df: DataFrame, strategy: dict, sample_user_frac: float = 0.02, min_prob: float = 0.0,
+def eval_forced(df: DataFrame, strategy: dict, sample_user_frac: float | None = None, min_prob: float = 0.0,
                 max_submission: int | None = 0, strong_only: bool = False, cart_days_max: int = 1,
-                topn: int | None = 100000, seed: int = 42) -> DataFrame:
-    """Evaluate the active strategy on a user sample (N6). One row
-    ``strategy, users, tp, pred_cnt, true_pos, f1, precision, recall``."""
-    sdf = sampling.user_sample(df, sample_user_frac, seed)
+                topn: int | None = None, seed: int = 42, sample_floor: int = 0) -> DataFrame:
+    """Evaluate the active strategy on all users, or on a user sample
+    where a share is given. One row ``strategy, users, tp, pred_cnt, true_pos,
+    f1, precision, recall``."""
+    sdf = df if sample_user_frac is None else sampling.user_sample(df, sample_user_frac, seed, sample_floor)
     sdf = with_strong_flag(sdf)
     if strong_only:
         sdf = sdf.where(F.col("is_strong"))
@@ -186,8 +187,7 @@ def eval_forced(df: DataFrame, strategy: dict, sample_user_frac: float = 0.02, m
     elif name == "threshold":
         counts = threshold_counts(sdf, float(strategy.get("threshold", 0.5)))
     elif name == "global_topn":
-        n = int(topn) if topn is not None else 100000
-        counts = counts_of(st.take_first(sdf, n, st.score_order(), score_col="pred_prob"), sdf)
+        counts = counts_of(st.take_first(sdf, topn, st.score_order(), score_col="pred_prob"), sdf)
     elif name == "cart_only":
         counts = eval_cart_only(sdf, days_max=cart_days_max, min_prob=min_prob,
                                 max_submission=max_submission).select("tp", "pred_cnt", "true_pos")
@@ -200,8 +200,8 @@ def eval_forced(df: DataFrame, strategy: dict, sample_user_frac: float = 0.02, m
 
 
 def full_validation(scored_rows: DataFrame, features: DataFrame, strategy: dict,
-                    strong_only: bool = False, min_prob=None, topn: int | None = 100000,
-                    max_rows: int | None = 100000, cart_days_max: int = 3) -> DataFrame:
+                    strong_only: bool = False, min_prob=None, topn: int | None = None,
+                    max_rows: int | None = None, cart_days_max: int = 3) -> DataFrame:
     """Per pair max score and max label (A23), pre-filters, the strategy,
     then F1 over all positives via a label lookup (J13). One row."""
     res_v = scored_rows.groupBy("user_id", "item_id").agg(

@@ -20,6 +20,7 @@ from cartwheel.operators import scoring as sc
 from cartwheel.operators import strategies as st
 from cartwheel.operators import tuning as tn
 from cartwheel.plans import fixture as fx
+from cartwheel.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -110,7 +111,7 @@ def q_candidates_capped(spark, sf):
 @register("hot_items")
 def q_hot_items(spark, sf):
     inp = fx.load(spark, sf)
-    return recall.hot_items(inp.actions, inp.items, inp.label_date, top=50)
+    return recall.hot_items(inp.actions, inp.items, inp.label_date, top=fx.HOT_TOP)
 
 
 @register("pred_candidates_backfilled")
@@ -130,8 +131,8 @@ def q_candidate_stats(spark, sf):
 def _train_blocks(spark, sf):
     inp = fx.load(spark, sf)
     cands = inp.train_candidates()
-    pop = feat.feature_population(inp.actions, inp.items, cands, inp.train_ref)
-    return inp, cands, feat.daily_grain(pop)
+    daily = feat.feature_population(inp.actions, inp.items, cands, inp.train_ref)
+    return inp, cands, materialize(daily, "daily-grain")
 
 
 @register("user_features")
@@ -246,20 +247,27 @@ def q_global_topn(spark, sf):
 @register("cart_only")
 def q_cart_only(spark, sf):
     _, pf, res = _pred(spark, sf)
-    return st.cart_only(pf, res, max_rows=fx.CART_MAX_ROWS_SMALL, cart_days_max=3)
+    return st.cart_only(pf, res, cart_days_max=2)
 
 
 @register("cart_only_relaxed")
 def q_cart_only_relaxed(spark, sf):
     _, pf, res = _pred(spark, sf)
-    return st.cart_only(pf, res, max_rows=fx.CART_MAX_ROWS_LARGE, cart_days_max=3)
+    return st.cart_only(pf, res, cart_days_max=3)
+
+
+@register("cart_only_capped")
+def q_cart_only_capped(spark, sf):
+    """K4 with a cap that the first window reaches."""
+    _, pf, res = _pred(spark, sf)
+    return st.cart_only(pf, res, max_rows=fx.CART_MAX_ROWS, cart_days_max=3)
 
 
 @register("cap_submission")
 def q_cap_submission(spark, sf):
     _, pf, res = _pred(spark, sf)
     recs = st.two_stage(res, st.strong_pairs(pf), k=5, m=1)
-    return st.cap_submission(recs, res, 300)
+    return st.cap_submission(recs, res, fx.SUBMISSION_CAP)
 
 
 @register("exclude_day_buys")
@@ -272,11 +280,11 @@ def q_exclude_day_buys(spark, sf):
 @register("submission")
 def q_submission(spark, sf):
     """K10 with the INI setup: strong_only, min_prob 0.09, cart_only (window 1),
-    then the day exclusion and a cap of 100."""
+    then the day exclusion and a cap."""
     inp, pf, res = _pred(spark, sf)
     pre = st.prefilter(res, pf, strong_only=True, min_prob=0.09)
-    recs = st.select_by_strategy({"name": "cart"}, pre, pf, max_rows=45000, cart_days_max=1)
-    return st.post_chain(recs, pre, inp.actions, exclude_day=inp.label_date, max_submission=100)
+    recs = st.select_by_strategy({"name": "cart"}, pre, pf, cart_days_max=1)
+    return st.post_chain(recs, pre, inp.actions, exclude_day=inp.label_date, max_submission=fx.SUBMISSION_CAP)
 
 
 @register("threshold_by_quantile")
@@ -288,7 +296,14 @@ def q_threshold_by_quantile(spark, sf):
 @register("threshold_with_fallback")
 def q_threshold_with_fallback(spark, sf):
     _, pf, res = _pred(spark, sf)
-    return st.threshold_with_fallback(res, st.strong_pairs(pf), 0.6, fallback=(3, 1), min_rows=1000)
+    return st.threshold_with_fallback(res, st.strong_pairs(pf), 2.0, fallback=(3, 1), min_rows=1)
+
+
+@register("threshold_kept")
+def q_threshold_kept(spark, sf):
+    """K7's other branch: enough picks, no fallback."""
+    _, pf, res = _pred(spark, sf)
+    return st.threshold_with_fallback(res, st.strong_pairs(pf), 0.6, fallback=(3, 1), min_rows=1)
 
 
 @register("score_quantiles")
@@ -358,15 +373,15 @@ def q_eval_cart_only(spark, sf):
 
 @register("eval_forced")
 def q_eval_forced(spark, sf):
-    """E11 with the INI setup: cart_only, strong_only, min_prob 0.09, cap 45000."""
-    return _r9(tn.eval_forced(_scored_train(spark, sf), {"name": "cart_only"}, sample_user_frac=0.02,
-                              min_prob=0.09, max_submission=45000, strong_only=True, cart_days_max=1))
+    """E11 over all users: cart_only, strong_only, min_prob 0.09."""
+    return _r9(tn.eval_forced(_scored_train(spark, sf), {"name": "cart_only"},
+                              min_prob=0.09, strong_only=True, cart_days_max=1))
 
 
 @register("eval_forced_topk")
 def q_eval_forced_topk(spark, sf):
     return _r9(tn.eval_forced(_scored_train(spark, sf), {"name": "topk", "k": 3, "m": 1},
-                              sample_user_frac=0.02, min_prob=0.3, max_submission=100))
+                              min_prob=0.3, max_submission=100))
 
 
 @register("grid_two_stage")
@@ -385,6 +400,14 @@ def q_chosen_strategy(spark, sf):
     return _r9(tn.strategy_row(df, tn.choose_strategy(df)))
 
 
+@register("chosen_strategy_threshold")
+def q_chosen_strategy_threshold(spark, sf):
+    """E14's other branch: a score that knows the label makes the threshold win."""
+    df = fx.load(spark, sf).train_features().withColumn(
+        "pred_prob", _score() / 2 + F.col("label") * F.lit(0.5).cast("double"))
+    return _r9(tn.strategy_row(df, tn.choose_strategy(df)))
+
+
 @register("full_validation")
 def q_full_validation(spark, sf):
     """Two-stage (5, 1) after the strong-only pre-filter, in-sample."""
@@ -421,7 +444,7 @@ def q_neg_sample_chained(spark, sf):
 
 @register("user_sample")
 def q_user_sample(spark, sf):
-    return sm.user_sample(_tf(spark, sf), frac=0.02, seed=fx.SEED, floor=50)
+    return sm.user_sample(_tf(spark, sf), frac=fx.USER_SAMPLE_FRAC, seed=fx.SEED)
 
 
 @register("balanced_sample")
@@ -447,16 +470,18 @@ def q_stratified_kfold(spark, sf):
 # ---- model scoring (M1-M9, A24): rows-only, checked by invariants in tests ----
 
 MODEL_SPLITS = 3
-MODEL_ITERS = 10
+MODEL_ITERS = None            # the preset's
 
 
 def _kfold(spark, sf):
+    """The fold models of one data folder, trained once in a session."""
     inp = fx.load(spark, sf)
-    tf = inp.train_features()
-    pf = inp.pred_features()
-    cols = feat.feature_columns(tf)
-    return sc.kfold_train_predict(tf, pf, cols, n_splits=MODEL_SPLITS, group_kfold=True, seed=fx.SEED,
-                                  preset="default", max_iter=MODEL_ITERS)
+    if "kfold" not in inp._memo:
+        tf = inp.train_features()
+        inp._memo["kfold"] = sc.kfold_train_predict(
+            tf, inp.pred_features(), feat.feature_columns(tf), n_splits=MODEL_SPLITS, group_kfold=True,
+            seed=fx.SEED, preset="default", max_iter=MODEL_ITERS)
+    return inp._memo["kfold"]
 
 
 @register("oof_scores")
@@ -477,7 +502,7 @@ def q_feature_importance(spark, sf):
 @register("pruned_features")
 def q_pruned_features(spark, sf):
     imp = _kfold(spark, sf).importance
-    return imp.select("feature", (F.col("importance") > 0).alias("kept"))
+    return sc.pruned_features(imp)
 
 
 @register("pca_embedding")
@@ -511,6 +536,20 @@ def q_load_pred_features(spark, sf):
 
 # ---- further variants: dedupe P, dispatch by alias, threshold strategy,
 # feature exclusion, the other evaluation branches ----
+@register("train_features_unaligned")
+def q_train_features_unaligned(spark, sf):
+    """Features of candidates that include positives without history."""
+    inp = fx.load(spark, sf)
+    return feat.build_features(inp.actions, inp.items, inp.train_candidates(align=False), inp.train_ref)
+
+
+@register("pred_features_backfilled")
+def q_pred_features_backfilled(spark, sf):
+    """Features of backfilled candidates: pairs that never met (gap 999)."""
+    inp = fx.load(spark, sf)
+    return feat.build_features(inp.actions, inp.items, q_pred_candidates_backfilled(spark, sf), inp.pred_ref)
+
+
 @register("train_features_dedup")
 def q_train_features_dedup(spark, sf):
     """Q3 with ``dedupe_items=True``: one row per candidate despite repeats in P."""
@@ -527,8 +566,8 @@ def q_strategy_dispatch(spark, sf):
 
 @register("threshold_strategy")
 def q_threshold_strategy(spark, sf):
-    """K6 + K7 as dispatched: threshold moved to the 1 - q_level quantile of
-    the predict scores, falling back to two-stage (3, 1) below 1000 picks."""
+    """K6 as dispatched: threshold moved to the 1 - q_level quantile of the
+    predict scores."""
     _, pf, res = _pred(spark, sf)
     return st.select_by_strategy({"name": "threshold", "threshold": 0.5, "q_level": 0.3,
                                   "fallback": {"k": 3, "m": 1}}, res, pf)

@@ -22,8 +22,10 @@ CAP_DEFAULT = 200
 CAP_BINDING = 5
 CAP_BACKFILL = 12
 HOT_TOP_BACKFILL = 5
-CART_MAX_ROWS_SMALL = 150               # ladder stops at gap 2 at sf0.01
-CART_MAX_ROWS_LARGE = 250               # ladder stops at gap 3 at sf0.01
+CART_MAX_ROWS = 20                      # reached by the first window, at every scale
+SUBMISSION_CAP = 40
+HOT_TOP = 50
+USER_SAMPLE_FRAC = 0.2
 SEED = 42
 # --- end of fixed values ---
 

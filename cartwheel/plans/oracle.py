@@ -10,8 +10,8 @@ from __future__ import annotations
 import datetime as _dt
 
 from cartwheel.plans.fixture import (
-    CAP_BACKFILL, CAP_BINDING, CAP_DEFAULT, CART_MAX_ROWS_LARGE, CART_MAX_ROWS_SMALL,
-    HOT_TOP_BACKFILL, LABEL_DATE, SEED,
+    CAP_BACKFILL, CAP_BINDING, CAP_DEFAULT, CART_MAX_ROWS, HOT_TOP, HOT_TOP_BACKFILL, LABEL_DATE, SEED,
+    SUBMISSION_CAP, USER_SAMPLE_FRAC,
 )
 
 L = LABEL_DATE
@@ -25,27 +25,27 @@ def D(days: int = 0, base: _dt.date | None = None) -> str:
 ACTIONS = """
 actions AS (
   SELECT user_id,
-         CAST(json_extract_string(props, '$.k') AS BIGINT) % 25 AS item_id,
-         CAST(CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2
-                              WHEN 'signup' THEN 3 WHEN 'purchase' THEN 4 END AS SMALLINT) AS behavior_type,
-         (CAST(json_extract_string(props, '$.k') AS BIGINT) % 25) % 6 AS item_category,
-         CAST(ts AS DATE) AS dt
-  FROM events WHERE event_type <> 'error'
+         user_id // 5 * 66 + CAST(json_extract_string(props, '$.k') AS BIGINT) // 2 AS item_id,
+         CAST(CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'signup' THEN 3
+                              WHEN 'purchase' THEN 4 WHEN 'error' THEN 5 END AS SMALLINT) AS behavior_type,
+         (user_id // 5 * 66 + CAST(json_extract_string(props, '$.k') AS BIGINT) // 2) % 6 AS item_category,
+         CAST(ts AS DATE) - CASE user_id % 7 WHEN 1 THEN 4 WHEN 3 THEN 4 WHEN 5 THEN 5 ELSE 0 END AS dt
+  FROM events
 )"""
 
 ITEMS = """
 items AS (
   SELECT p_partkey AS item_id, p_partkey % 6 AS item_category
-  FROM part WHERE p_partkey < 25 AND p_partkey % 5 <> 0
+  FROM part WHERE p_size > 10
 )"""
 
 ITEMS_FANOUT = """
 items AS (
   SELECT p_partkey AS item_id, p_partkey % 6 AS item_category
-  FROM part WHERE p_partkey < 25 AND p_partkey % 5 <> 0
+  FROM part WHERE p_size > 10
   UNION ALL
   SELECT p_partkey AS item_id, p_partkey % 6 AS item_category
-  FROM part WHERE p_partkey < 25 AND p_partkey % 5 <> 0 AND p_partkey % 10 = 1
+  FROM part WHERE p_size > 45
 )"""
 
 
@@ -287,9 +287,9 @@ hot AS (
         GROUP BY item_id) x
   QUALIFY row_number() OVER (ORDER BY cnt DESC, item_id) <= {{top}}
 )"""
-_reg("hot_items", with_(ACTIONS, ITEMS, HOT.format(top=50)) + "\nSELECT item_id, cnt, hot_rank FROM hot")
-_reg("pred_candidates_backfilled", with_(
-    ACTIONS, ITEMS, FLAGS, pred_cands("c", cap=CAP_BACKFILL), HOT.format(top=HOT_TOP_BACKFILL),
+_reg("hot_items", with_(ACTIONS, ITEMS, HOT.format(top=HOT_TOP)) + "\nSELECT item_id, cnt, hot_rank FROM hot")
+_BACKFILL = [
+    pred_cands("c", cap=CAP_BACKFILL), HOT.format(top=HOT_TOP_BACKFILL),
     f"""sizes AS (SELECT user_id, count(*) AS n FROM c GROUP BY user_id)""",
     f"""fill AS (
   SELECT s.user_id, h.item_id,
@@ -297,10 +297,13 @@ _reg("pred_candidates_backfilled", with_(
   FROM sizes s JOIN hot h ON TRUE
   WHERE s.n < {CAP_BACKFILL}
     AND NOT EXISTS (SELECT 1 FROM c WHERE c.user_id = s.user_id AND c.item_id = h.item_id)
-)""") + f"""
+)"""]
+_BACKFILL_ROWS = f"""
 SELECT user_id, item_id FROM c
 UNION ALL
-SELECT user_id, item_id FROM fill WHERE k <= {CAP_BACKFILL} - n""")
+SELECT user_id, item_id FROM fill WHERE k <= {CAP_BACKFILL} - n"""
+BACKFILLED = with_(*_BACKFILL) + _BACKFILL_ROWS
+_reg("pred_candidates_backfilled", with_(ACTIONS, ITEMS, FLAGS, *_BACKFILL) + _BACKFILL_ROWS)
 _reg("candidate_stats", with_(ACTIONS, ITEMS, FLAGS, train_cands("c")) + """
 SELECT count(*) AS rows, CAST(coalesce(sum(label), 0) AS BIGINT) AS pos,
        count(*) - CAST(coalesce(sum(label), 0) AS BIGINT) AS neg,
@@ -350,6 +353,9 @@ def two_stage_sql(name: str, res: str, k: int, m: int, strong: str = "strong") -
     ]
 
 
+ALL_ROWS = 1 << 62          # no cap
+
+
 def cart_sql(name: str, feats: str, res: str, max_rows: int, days_max: int) -> list[str]:
     return [
         f"""{name}_p AS (
@@ -385,13 +391,11 @@ _reg("two_stage", with_(*PRED_BASE, *two_stage_sql("ts", "results", 3, 1)) + "\n
 _reg("threshold_select", with_(*PRED_BASE) + "\nSELECT user_id, item_id FROM results WHERE pred_prob >= 0.5")
 _reg("global_topn", with_(*PRED_BASE) + """
 SELECT user_id, item_id FROM results ORDER BY pred_prob DESC, user_id, item_id LIMIT 100""")
-_reg("cart_only", with_(*PRED_BASE, *cart_sql("co", "pfa", "results", CART_MAX_ROWS_SMALL, 3))
-     + "\nSELECT user_id, item_id FROM co")
-_reg("cart_only_relaxed", with_(*PRED_BASE, *cart_sql("co", "pfa", "results", CART_MAX_ROWS_LARGE, 3))
-     + "\nSELECT user_id, item_id FROM co")
+for _name, _rows, _days in (("cart_only", ALL_ROWS, 2), ("cart_only_relaxed", ALL_ROWS, 3), ("cart_only_capped", CART_MAX_ROWS, 3)):
+    _reg(_name, with_(*PRED_BASE, *cart_sql("co", "pfa", "results", _rows, _days)) + "\nSELECT user_id, item_id FROM co")
 _reg("cap_submission", with_(*PRED_BASE, *two_stage_sql("ts", "results", 5, 1)) + """
 SELECT t.user_id, t.item_id FROM ts t LEFT JOIN results r ON r.user_id = t.user_id AND r.item_id = t.item_id
-ORDER BY coalesce(r.pred_prob, 0) DESC, t.user_id, t.item_id LIMIT 300""")
+ORDER BY coalesce(r.pred_prob, 0) DESC, t.user_id, t.item_id LIMIT """ + str(SUBMISSION_CAP))
 BUYS_L = f"buys AS (SELECT DISTINCT user_id, item_id FROM actions WHERE dt = {D(0)} AND behavior_type = 4)"
 _reg("exclude_day_buys", with_(*PRED_BASE, *two_stage_sql("ts", "results", 5, 1), BUYS_L) + """
 SELECT t.user_id, t.item_id FROM ts t
@@ -401,21 +405,22 @@ _reg("submission", with_(
     """pre AS (SELECT r.* FROM results r
   WHERE EXISTS (SELECT 1 FROM strong s WHERE s.user_id = r.user_id AND s.item_id = r.item_id)
     AND r.pred_prob >= 0.09)""",
-    *cart_sql("co", "pfa", "pre", 45000, 1), BUYS_L,
+    *cart_sql("co", "pfa", "pre", ALL_ROWS, 1), BUYS_L,
     """kept AS (SELECT c.user_id, c.item_id FROM co c
   WHERE NOT EXISTS (SELECT 1 FROM buys b WHERE b.user_id = c.user_id AND b.item_id = c.item_id))""",
-    """capped AS (SELECT k.user_id, k.item_id FROM kept k
+    f"""capped AS (SELECT k.user_id, k.item_id FROM kept k
   LEFT JOIN pre p ON p.user_id = k.user_id AND p.item_id = k.item_id
-  ORDER BY coalesce(p.pred_prob, 0) DESC, k.user_id, k.item_id LIMIT 100)""")
+  ORDER BY coalesce(p.pred_prob, 0) DESC, k.user_id, k.item_id LIMIT {SUBMISSION_CAP})""")
      + "\nSELECT DISTINCT user_id, item_id FROM capped")
 _reg("threshold_by_quantile", with_(*PRED_BASE) + """
 SELECT round(coalesce(quantile_cont(pred_prob, 0.9), 0.5), 9) AS threshold FROM results""")
-_reg("threshold_with_fallback", with_(
-    *PRED_BASE, "thr AS (SELECT user_id, item_id FROM results WHERE pred_prob >= 0.6)",
-    *two_stage_sql("ts", "results", 3, 1)) + """
-SELECT user_id, item_id FROM thr WHERE (SELECT count(*) FROM thr) >= 1000
+for _name, _t in (("threshold_with_fallback", 2.0), ("threshold_kept", 0.6)):      # K7: no pick at all, some picks
+    _reg(_name, with_(
+        *PRED_BASE, f"thr AS (SELECT user_id, item_id FROM results WHERE pred_prob >= {_t})",
+        *two_stage_sql("ts", "results", 3, 1)) + """
+SELECT user_id, item_id FROM thr WHERE (SELECT count(*) FROM thr) >= 1
 UNION ALL
-SELECT user_id, item_id FROM ts WHERE (SELECT count(*) FROM thr) < 1000""")
+SELECT user_id, item_id FROM ts WHERE (SELECT count(*) FROM thr) < 1""")
 _reg("score_quantiles", with_(*PRED_BASE) + """
 SELECT round(quantile_cont(pred_prob, 0.5), 9) AS q50, round(quantile_cont(pred_prob, 0.9), 9) AS q90,
        round(quantile_cont(pred_prob, 0.999), 9) AS q999 FROM results""")
@@ -517,7 +522,7 @@ _reg("eval_cart_only", with_(*TRAIN_SCORED) + "\n" + f1_sql(
 _reg("eval_forced", with_(*TRAIN_SCORED, f"ss AS (SELECT * FROM sc WHERE {STRONG_COND})",
                           """sel AS (SELECT * FROM ss
   WHERE coalesce(ui_cart_count, 0) > 0 AND coalesce(ui_days_since_last_action, 999) <= 1 AND pred_prob >= 0.09
-  QUALIFY row_number() OVER (ORDER BY pred_prob DESC, user_id, item_id) <= 45000)""") + "\n" + f1_sql(
+  )""") + "\n" + f1_sql(
     """(SELECT (SELECT count(*) FROM sel) AS pred_cnt,
         (SELECT CAST(coalesce(sum(label), 0) AS BIGINT) FROM sel) AS tp,
         (SELECT CAST(coalesce(sum(label), 0) AS BIGINT) FROM ss) AS true_pos,
@@ -562,8 +567,9 @@ def _f1_cols(tp="tp", pc="pred_cnt", tpos="true_pos") -> str:
     return f"CASE WHEN ({p}) + ({r}) > 0 THEN 2 * ({p}) * ({r}) / (({p}) + ({r})) ELSE 0.0 END AS f1"
 
 
-_reg("chosen_strategy", with_(
-    *TRAIN_SCORED, *_ts_rows(15, 0),
+def chosen_sql(scored: list[str]) -> str:
+    return with_(
+    *scored, *_ts_rows(15, 0),
     "grid(grid_idx, k, m) AS (VALUES " + ", ".join(f"({i}, {k}, {m})" for i, (k, m) in enumerate(_GRID)) + ")",
     """gcnt AS (SELECT g.grid_idx, g.k, g.m,
     CAST(coalesce(sum(f.label) FILTER (WHERE CASE WHEN f.is_strong THEN f.rn <= least(g.m, f.n_strong, g.k) ELSE f.rn <= g.k - least(g.m, f.n_strong, g.k) END), 0) AS BIGINT) AS tp,
@@ -586,7 +592,13 @@ SELECT CASE WHEN bt.f1 >= bh.f1 THEN 'topk_two_stage' ELSE 'threshold' END AS na
        round(CASE WHEN bt.f1 >= bh.f1 THEN NULL ELSE bh.q_level END, 9) AS q_level,
        CAST(CASE WHEN bt.f1 >= bh.f1 THEN NULL ELSE bt.k END AS INTEGER) AS fallback_k,
        CAST(CASE WHEN bt.f1 >= bh.f1 THEN NULL ELSE bt.m END AS INTEGER) AS fallback_m
-FROM bt, bh""")
+FROM bt, bh"""
+
+
+_reg("chosen_strategy", chosen_sql(TRAIN_SCORED))
+# E14's other branch: a score that knows the label makes the threshold rule win.
+_reg("chosen_strategy_threshold", chosen_sql([*train_features_cte("tf"),
+    f"sc AS (SELECT *, {SCORE} / 2 + label * 0.5 AS pred_prob FROM tf)"]))
 
 _reg("full_validation", with_(
     *TRAIN_SCORED,
@@ -675,7 +687,7 @@ UNION ALL SELECT * FROM sel WHERE (SELECT np > 0 AND nn > 0 FROM cn)""")
 _reg("user_sample", with_(
     *_TFC,
     "us AS (SELECT DISTINCT user_id FROM tf)",
-    "un AS (SELECT least(count(*), greatest(50, CAST(floor(count(*) * 0.02) AS BIGINT))) AS n FROM us)",
+    f"un AS (SELECT least(count(*), greatest(1, CAST(floor(count(*) * {USER_SAMPLE_FRAC}) AS BIGINT))) AS n FROM us)",
     f"""chosen AS (SELECT user_id FROM us
   QUALIFY row_number() OVER (ORDER BY md5(concat_ws('_', user_id, '{SEED}')), user_id) <= (SELECT n FROM un))""")
      + "\nSELECT * FROM tf WHERE user_id IN (SELECT user_id FROM chosen)")
@@ -700,10 +712,10 @@ FROM tf""")
 LOAD_L = _dt.date(2001, 8, 1)
 LOAD_ACTIONS = """
 actions AS (
-  SELECT o.o_custkey AS user_id, l.l_partkey AS item_id,
+  SELECT o.o_custkey AS user_id, o.o_custkey // 15 * 20 + l.l_partkey % 20 AS item_id,
          CAST(1 + (((l.l_orderkey * 7 + l.l_linenumber) % 4) + 4) % 4 AS SMALLINT) AS behavior_type,
-         ((l.l_partkey % 25) + 25) % 25 AS item_category,
-         CAST(o.o_orderdate AS DATE) AS dt
+         (o.o_custkey // 15 * 20 + l.l_partkey % 20) % 25 AS item_category,
+         DATE '2001-08-01' - CAST((DATE '2001-08-01' - CAST(o.o_orderdate AS DATE)) % 30 AS INTEGER) AS dt
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 )"""
 LOAD_ITEMS = """
@@ -719,16 +731,19 @@ _reg("load_pred_features", with_(*_LOAD, pred_cands("pcands"), *feature_ctes(1,
 # ---- further variants ----
 ITEMS_FANOUT_DEDUP = ITEMS_FANOUT.replace("items AS (", "items_raw AS (", 1) + \
     ",\nitems AS (SELECT DISTINCT item_id, item_category FROM items_raw)"
+# Features of pairs without history: unaligned positives, backfilled hot items.
+_reg("train_features_unaligned", with_(ACTIONS, ITEMS, FLAGS, train_cands("cands", align=False), *feature_ctes(0, "cands"),
+                                       f"tf AS ({features_select('cands', True)})") + "\nSELECT * FROM tf")
+_reg("pred_features_backfilled", with_(
+    ACTIONS, ITEMS, FLAGS, f"bf AS ({BACKFILLED})", *feature_ctes(1, "bf", prefix="p_"),
+    f"pfa AS ({features_select('bf', False, prefix='p_')})") + "\nSELECT * FROM pfa")
 _reg("train_features_dedup", with_(*train_features_cte("tf", ITEMS_FANOUT_DEDUP)) + "\nSELECT * FROM tf")
 _reg("strategy_dispatch", with_(*PRED_BASE, *two_stage_sql("ts", "results", 5, 2)) + "\nSELECT user_id, item_id FROM ts")
 _reg("threshold_strategy", with_(
     *PRED_BASE,
     "tq AS (SELECT quantile_cont(pred_prob, 0.7) AS t FROM results)",
-    "thr AS (SELECT user_id, item_id FROM results WHERE pred_prob >= (SELECT t FROM tq))",
-    *two_stage_sql("ts", "results", 3, 1)) + """
-SELECT user_id, item_id FROM thr WHERE (SELECT count(*) FROM thr) >= 1000
-UNION ALL
-SELECT user_id, item_id FROM ts WHERE (SELECT count(*) FROM thr) < 1000""")
+    "thr AS (SELECT user_id, item_id FROM results WHERE pred_prob >= (SELECT t FROM tq))")
+     + "\nSELECT user_id, item_id FROM thr")
 _reg("train_features_no_time_gaps", with_(*train_features_cte("tf")) + """
 SELECT * EXCLUDE (days_since_last_action, ui_days_since_last_action, recent_3d_actions,
                   recent_7d_actions, recent_7d_views, recent_3d_views) FROM tf""")

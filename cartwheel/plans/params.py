@@ -24,9 +24,9 @@ def parse_day(value) -> _dt.date:
 class Params:
     # recall
     label_date: _dt.date = _dt.date(2014, 12, 18)
-    max_per_user: int | None = 200
+    max_per_user: int | None = None        # the original: 200
     enable_hot_backfill: bool = False
-    hot_top: int = 50
+    hot_top: int = 50                      # read only with enable_hot_backfill
     align_recall: bool = True
     pos_filter_in_recall: bool = True
     dedupe_items: bool = False
@@ -38,7 +38,7 @@ class Params:
     recency_bounds: tuple = (1, 3, 7)
     use_group_kfold: bool = True
     n_splits: int = 3
-    early_stopping: bool = True
+    early_stopping: int = 200              # rounds; above 0 folds stop early, 0 never
     fast_params: bool = True
     max_iter: int | None = None
     exclude_features: tuple = ()
@@ -49,22 +49,24 @@ class Params:
     strong_only: bool = False
     min_prob: float | None = None
     topn: int | None = None
-    max_submission: int = 0
-    cart_max_rows: int = 100000
-    exclude_day_purchases: str | None = "20141218"
+    max_submission: int = 0                # 0: all
+    cart_max_rows: int = 0                 # 0: all
+    exclude_day_purchases: str | None = None
     topk_k: int = 5
     topk_m: int = 2
     cart_days_max: int = 3
     eval_cart_days_max: int = 1
     threshold: float = 0.5
+    threshold_min_rows: int = 0            # fewer picks fall back to two-stage; the original: 1000
     # evaluation
     eval_strategy: bool = True
-    eval_sample_user_frac: float = 0.02
-    eval_sample_floor: int = 20000
+    eval_sample_user_frac: float | None = None   # None: all users; the original: 0.02
+    eval_sample_floor: int = 0                   # the original: 20000
     val_full: bool = False
     # embedding
     feature_viz: bool = False
-    viz_sample_per_class: int = 10000
+    viz_only: bool = False
+    viz_sample_per_class: int = 10000      # rows of a class in the plot's sample
     extra: dict = field(default_factory=dict)
 
     @classmethod
@@ -73,36 +75,37 @@ class Params:
         cfg.read(path)
         p = cls()
         flat = {k: v for sec in cfg.sections() for k, v in cfg[sec].items()}
-        names = {f.name: f for f in fields(cls)}
         for k, v in flat.items():
-            if k == "label_date":
-                p.label_date = parse_day(v)
-            elif k == "max_submission":
-                p.max_submission = int(v)
-                p.cart_max_rows = int(v) if int(v) > 0 else p.cart_max_rows
-            elif k == "cart_days_max":
-                p.cart_days_max = int(v)
-                p.eval_cart_days_max = int(v)
-            elif k in ("exclude_day_purchases",):
-                p.exclude_day_purchases = None if v.strip() in ("", "0") else v.strip()
-            elif k in names and k != "extra":
-                cur = getattr(p, k)
-                if isinstance(cur, bool):
-                    setattr(p, k, v.strip() == "1")
-                elif isinstance(cur, int) and not isinstance(cur, bool):
-                    setattr(p, k, int(float(v)))
-                elif isinstance(cur, float):
-                    setattr(p, k, float(v))
-                elif k in ("min_prob",):
-                    p.min_prob = float(v) if v.strip() else None
-                elif k in ("topn",):
-                    p.topn = int(v)
-                elif k in ("neg_max_gap_days",):
-                    p.neg_max_gap_days = int(v) if v.strip().isdigit() else None
-                else:
-                    setattr(p, k, v)
-            else:
-                p.extra[k] = v
+            p.set_text(k, v)
         for k, v in overrides.items():
             setattr(p, k, v)
         return p
+
+    def set_text(self, key: str, text: str) -> None:
+        """Sets one parameter from text, by the type its field declares; a key
+        that no field has is kept in ``extra``."""
+        text = text.strip()
+        kind = {f.name: str(f.type) for f in fields(self) if f.name != "extra"}.get(key)
+        if kind is None:
+            self.extra[key] = text
+        elif key == "label_date":
+            self.label_date = parse_day(text)
+        elif kind == "tuple":
+            items = [x.strip() for x in text.split(",") if x.strip()]
+            setattr(self, key, tuple(int(x) if x.lstrip("-").isdigit() else x for x in items))
+        elif kind == "bool":
+            setattr(self, key, text.lower() in ("1", "true", "yes", "on"))
+        elif key == "exclude_day_purchases":
+            self.exclude_day_purchases = None if text in ("", "0") else text
+        elif "None" in kind and not text:
+            setattr(self, key, None)
+        elif kind.startswith("int"):
+            setattr(self, key, int(float(text)))
+        elif kind.startswith("float"):
+            setattr(self, key, float(text))
+        else:
+            setattr(self, key, text)
+        if key == "max_submission":            # the cap also bounds the cart picks; 0 means all
+            self.cart_max_rows = self.max_submission
+        elif key == "cart_days_max":
+            self.eval_cart_days_max = self.cart_days_max

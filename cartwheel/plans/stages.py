@@ -12,11 +12,13 @@ stage 3  scoring     (sampling, model, strategy, evaluation) -> results, submiss
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartwheel.operators import features as feat
+from cartwheel.operators import metrics as mx
 from cartwheel.operators import recall, sampling, scoring, strategies as st, tuning
 from cartwheel.plans.params import Params
-from cartwheel.session import scratch_path
+from cartwheel.session import scratch_path, scratch_scope
 from cartwheel.sources.sinks import read_table, write_embedding, write_submission, write_table
 
 
@@ -54,15 +56,26 @@ def _feature_list(train: DataFrame, p: Params) -> list[str]:
     return feat.feature_columns(train, exclude=p.exclude_features, drop_time_gaps=p.drop_time_gap_features)
 
 
-def _forced(p: Params, chosen: dict) -> dict:
+# What a forced strategy takes from the parameters.
+FORCED_SETTINGS = {
+    "topk_two_stage": {"k": "topk_k", "m": "topk_m"},
+    "threshold": {"threshold": "threshold"},
+}
+
+
+def _strategy(p: Params, chosen: dict) -> dict:
+    """The strategy that ``force_strategy`` names, else the tuned one."""
     name = st.normalize_strategy(p.force_strategy)
-    if name is None:
-        return chosen
-    if name == "topk_two_stage":
-        return {"name": name, "k": p.topk_k, "m": p.topk_m, "fallback": None}
-    if name == "threshold":
-        return {"name": name, "threshold": p.threshold, "q_level": None, "fallback": None}
-    return {"name": name}
+    settings = FORCED_SETTINGS.get(name, {})
+    return {"name": name} | {k: getattr(p, source) for k, source in settings.items()} if name else chosen
+
+
+def _model_report(oof: DataFrame) -> dict:
+    """AUC of every fold and of all out-of-fold rows, and the ranking metrics."""
+    folds = [r["fold"] for r in oof.select("fold").distinct().orderBy("fold").collect()]   # one row per fold
+    return {"fold_auc": {f: mx.auc(oof.where(F.col("fold") == f)).first()["auc"] for f in folds},
+            "oof_auc": mx.auc(oof).first()["auc"],
+            "metrics": [r.asDict() for r in mx.metric_report(oof).collect()]}
 
 
 def stage_scoring(spark: SparkSession, actions: DataFrame, p: Params, out_dir: str) -> dict:
@@ -71,11 +84,14 @@ def stage_scoring(spark: SparkSession, actions: DataFrame, p: Params, out_dir: s
     pred = read_table(spark, f"{out_dir}/pred_features")
     cols = _feature_list(train, p)
     report: dict = {}
+    topn = p.topn if p.topn is not None else p.max_submission          # 0: all
 
-    if p.feature_viz:
+    if p.feature_viz or p.viz_only:
         emb, var = scoring.pca_embedding(train, cols, p.viz_sample_per_class, p.seed)
         write_embedding(emb, f"{out_dir}/feature_viz_pca")            # S8: x, y, label CSV
         report["pca_explained_variance"] = var
+        if p.viz_only:
+            return report
 
     fit_rows = train
     if p.downsample_neg:
@@ -92,7 +108,7 @@ def stage_scoring(spark: SparkSession, actions: DataFrame, p: Params, out_dir: s
 
     def run(features):
         return scoring.kfold_train_predict(fit_rows, pred, features, p.n_splits, p.use_group_kfold, p.seed,
-                                           preset, p.max_iter, p.early_stopping, class_weight)
+                                           preset, p.max_iter, p.early_stopping > 0, class_weight)
 
     res = run(cols)
     kept, dropped = scoring.drop_zero_importance(res.importance, cols)
@@ -104,14 +120,16 @@ def stage_scoring(spark: SparkSession, actions: DataFrame, p: Params, out_dir: s
     oof_path = f"{out_dir}/oof"
     write_table(res.oof, oof_path)
     oof = read_table(spark, oof_path)
-    sample = sampling.user_sample(oof, p.eval_sample_user_frac, p.seed, p.eval_sample_floor)
-    chosen = tuning.choose_strategy(sample)
-    strategy = _forced(p, chosen)
+    report["model"] = _model_report(oof)
+    sample = oof
+    if p.eval_sample_user_frac is not None:
+        sample = sampling.user_sample(oof, p.eval_sample_user_frac, p.seed, p.eval_sample_floor)
+    strategy = _strategy(p, tuning.choose_strategy(sample))
     report["strategy"] = strategy
     if p.eval_strategy:
         ev = tuning.eval_forced(oof, strategy, p.eval_sample_user_frac, p.min_prob or 0.0, p.max_submission,
                                 p.strong_only, p.eval_cart_days_max,
-                                topn=p.topn if p.topn is not None else (p.max_submission or 100000), seed=p.seed)
+                                topn=topn, seed=p.seed, sample_floor=p.eval_sample_floor)
         report["offline_eval"] = ev.first().asDict()
 
     results_path = f"{out_dir}/results"
@@ -119,8 +137,8 @@ def stage_scoring(spark: SparkSession, actions: DataFrame, p: Params, out_dir: s
     results = read_table(spark, results_path)
     results = st.prefilter(results, pred, p.strong_only, p.min_prob)
     recs = st.select_by_strategy(strategy, results, pred,
-                                 topn=p.topn if p.topn is not None else (p.max_submission or 100000),
-                                 max_rows=p.cart_max_rows, cart_days_max=p.cart_days_max)
+                                 topn=topn, max_rows=p.cart_max_rows, cart_days_max=p.cart_days_max,
+                                 min_rows=p.threshold_min_rows)
     final = st.post_chain(recs, results, actions, p.exclude_day_purchases, p.max_submission)
     write_submission(final, f"{out_dir}/submission")
     report["submission"] = f"{out_dir}/submission"
@@ -129,16 +147,19 @@ def stage_scoring(spark: SparkSession, actions: DataFrame, p: Params, out_dir: s
         scored = scoring.score_mean(res.models, train, res.feature_cols)   # in-sample (Q17)
         report["val_full"] = tuning.full_validation(
             scored, train, strategy, p.strong_only, p.min_prob,
-            topn=p.topn if p.topn is not None else (p.max_submission or 100000),
+            topn=topn,
             max_rows=p.cart_max_rows, cart_days_max=p.cart_days_max).first().asDict()
     return report
 
 
 def run_all(spark: SparkSession, actions: DataFrame, items: DataFrame, p: Params, out_dir: str,
             grain: DataFrame | None = None) -> dict:
-    """All three stages in order."""
-    r1 = stage_candidates(spark, actions, items, p, out_dir)
-    stage_features(spark, actions, items, p, out_dir, grain=grain)
-    r3 = stage_scoring(spark, actions, p, out_dir)
+    """All three stages in order; each one's scratch tables go when it ends."""
+    with scratch_scope(spark):
+        r1 = stage_candidates(spark, actions, items, p, out_dir)
+    with scratch_scope(spark):
+        stage_features(spark, actions, items, p, out_dir, grain=grain)
+    with scratch_scope(spark):
+        r3 = stage_scoring(spark, actions, p, out_dir)
     return {"candidates": r1["stats"], **r3}
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,7 +71,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh table path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/cartwheel-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/cartwheel-{name}-{uuid.uuid4().hex[:12]}"
+    for paths in _SCOPES:
+        paths.append(path)
+    return path
+
+
+_SCOPES: list[list[str]] = []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a table from the file system that holds it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch tables named inside are removed at the end: their readers have
+    to be done by then (results written elsewhere, or collected)."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+        for path in paths:
+            remove(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

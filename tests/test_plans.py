@@ -6,6 +6,8 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from cartwheel.operators import recall
+from cartwheel.plans import fixture as fx
 from tests.conftest import SF0001
 
 Q = E.queries()
@@ -31,16 +33,19 @@ def test_per_user_windows_are_limited_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_recall_scan_is_pruned_and_pushed(spark):
+def test_recall_scan_is_pruned_and_pushed(spark, tmpdir_path):
+    inp = fx.load(spark, SF0001)
+    inp.actions.write.partitionBy("dt").parquet(f"{tmpdir_path}/actions")
+    log = spark.read.parquet(f"{tmpdir_path}/actions")
     old = spark.conf.get("spark.sql.maxMetadataStringLength")
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     try:
-        plan = _plan(Q["train_candidates"](spark, SF0001))
+        plan = _plan(recall.train_candidates(recall.pair_flags(log, inp.items, inp.label_date)))
     finally:
         spark.conf.set("spark.sql.maxMetadataStringLength", old)
-    scan = [line for line in plan.split("\n") if "FileScan parquet" in line and "events" in line][0]
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in scan
-    assert "GreaterThanOrEqual(ts" in scan and "LessThan(ts" in scan
+    scan = [line for line in plan.split("\n") if "FileScan parquet" in line and "actions" in line][0]
+    assert "ReadSchema: struct<user_id:bigint,item_id:bigint,behavior_type:smallint>" in scan
+    assert "PartitionFilters: [isnotnull(dt" in scan and ">= 2024-01-16" in scan
 
 
 def test_candidate_rows_shuffle_at_most_three_times(spark):

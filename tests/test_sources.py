@@ -78,7 +78,7 @@ def test_command_line_end_to_end(spark, tmpdir_path):
     sub = spark.read.option("sep", "\t").csv(os.path.join(out, "submission"))
     assert 0 < sub.count() <= 40
     cands = spark.read.parquet(os.path.join(out, "train_candidates"))
-    assert cands.count() == 161        # FIXTURES.md: 161 aligned train candidates at sf0.001
+    assert cands.count() == 165        # FIXTURES.md: 165 aligned train candidates at sf0.001
     # the same features from the streamed day partials
     grain = os.path.join(tmpdir_path, "grain")
     out2 = os.path.join(tmpdir_path, "out2")
