@@ -105,14 +105,22 @@ def global_row_number(df: DataFrame, order_cols: Sequence, out_col: str = "grn",
     )
 
 
+FEW_GROUPS = 10_000
+
+
 def row_number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence,
                       out_col: str = "rn", num_partitions: int | None = None) -> DataFrame:
     """Exact row number inside groups of any size (few huge groups are fine).
 
     Global row number over ``(group, order)`` minus the group's first position.
+    A few groups' positions (``FEW_GROUPS`` at most, counted) are broadcast, so
+    rows of a class that holds most of them aren't shuffled by it; many groups
+    meet their rows in a shuffle join.
     """
     ranked = global_row_number(df, list(group_cols) + list(order_cols), "_grn", num_partitions)
     starts = ranked.groupBy(*group_cols).agg(F.min("_grn").alias("_start"))
+    if starts.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS:
+        starts = F.broadcast(starts)
     return (
         ranked.join(starts, list(group_cols))
         .withColumn(out_col, (F.col("_grn") - F.col("_start") + 1).cast("bigint"))

@@ -12,9 +12,10 @@ n shingles costs n plus some multiples of the signature's length.
 
 ``BANDS`` bands of ``ROWS`` slots make buckets (a pair of similarity 0.8 shares
 none with a probability of 5e-5). Equal multisets are one node. No bucket is
-paired out: each round takes a bucket's smallest node as its pivot, verifies
-the others against it on the multisets themselves, and leaves those that are
-not similar to it for the next round, until no bucket has two. What a pivot
+paired out: each round takes a bucket's smallest node (in later rounds the 2,
+4, ... smallest) as its pivot, verifies the others against it on the multisets
+themselves, and leaves those that are similar to no pivot for the next round,
+until no bucket has two. What a pivot
 can't decide (one document linked to it, the other not, in different
 components by then) is verified pair by pair where the triangle inequality of
 the Jaccard distance allows a link. Links are joined to classes by alternating
@@ -44,6 +45,8 @@ BANDS, ROWS = 25, 5
 SLOTS = BANDS * ROWS
 #: Distinct words a Python worker remembers.
 CACHE_ENTRIES = 500_000
+#: Pivots of a bucket in one round, at most.
+MOST_PIVOTS = 32
 #: Points that a process is carried on by at once.
 STRIDE = 16
 
@@ -236,8 +239,12 @@ class _Search:
         scores, seen, rest = [], [], self.rest
         while True:
             k = len(scores)
-            pivots = rest.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-            rows = self.scratch.write(rest.join(pivots.select("key", "pivot"), "key").where("node != pivot"), f"near-rows-{k}")
+            # A bucket's smallest nodes, a few more in each round: buckets of unlike nodes need few rounds, and
+            # those of many like ones have shrunk before there are several pivots.
+            first = F.row_number().over(Window.partitionBy("key").orderBy("node"))
+            pivots = (rest.withColumn("r", first).where(F.col("r") <= min(2 ** k, MOST_PIVOTS))
+                      .select("key", F.col("node").alias("pivot")))
+            rows = self.scratch.write(rest.join(pivots, "key").where("node > pivot"), f"near-rows-{k}")
             if is_empty(rows):
                 return scores, seen
             pairs = rows.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -245,7 +252,9 @@ class _Search:
             scored = rows.join(score.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "score"), ["node", "pivot"])
             seen.append(scored.withColumn("round", F.lit(k)))
             scores.append(score)
-            rest = self.scratch.write(scored.where(F.col("score") < SIMILARITY).select("key", "node"), f"near-rest-{k}")
+            unlike = scored.groupBy("key", "node").agg(F.max("score").alias("best")).where(F.col("best") < SIMILARITY)
+            rest = self.scratch.write(unlike.select("key", "node").join(
+                pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti"), f"near-rest-{k}")
 
     def undecided(self, seen: list[DataFrame], label: DataFrame) -> DataFrame:
         """Pairs of a bucket of which a pivot is linked to one and not to the
@@ -256,12 +265,13 @@ class _Search:
         slack = 2 * (1 - SIMILARITY)
         rows = rows.where(F.col("score") >= 1 - slack).join(label, "node", "left").withColumn(
             "label", F.coalesce("label", "node"))
-        out = rows.where(F.col("score") < SIMILARITY).select("key", "round", F.col("node").alias("a"),
+        meet = ["key", "round", "pivot"]
+        out = rows.where(F.col("score") < SIMILARITY).select(*meet, F.col("node").alias("a"),
                                                              F.col("score").alias("f"), F.col("label").alias("la"))
-        linked = rows.where(F.col("score") >= SIMILARITY).select("key", "round", F.col("node").alias("b"),
+        linked = rows.where(F.col("score") >= SIMILARITY).select(*meet, F.col("node").alias("b"),
                                                                  F.col("score").alias("g"), F.col("label").alias("lb"))
         near = (F.col("la") != F.col("lb")) & (F.col("g") - F.col("f") <= 1 - SIMILARITY + 1e-12)
-        return out.join(linked, ["key", "round"]).where(near).select("a", "b").distinct()
+        return out.join(linked, meet).where(near).select("a", "b").distinct()
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:

@@ -24,8 +24,8 @@ TIME_GAP_FEATURES = (
     "recent_7d_views",
     "recent_3d_views",
 )
-# --- end of fixed values ---
 
+# Names that must match: input schemas, feature columns, output columns.
 KEY = ["user_id", "item_id"]
 
 ACTIONS_SCHEMA = T.StructType([
@@ -70,3 +70,4 @@ STRONG_RULE_COLUMNS = [
     "ui_cart_count", "ui_collect_count", "recent_3d_actions",
     "ui_days_since_last_action", "ui_purchase_count",
 ]
+# --- end of fixed values ---

@@ -132,3 +132,15 @@ def test_a_fold_without_rows_is_an_error(spark):
     rows = spark.createDataFrame([(1, 1, 0.5, 1), (1, 2, 0.1, 0)], "user_id long, item_id long, x double, label int")
     with pytest.raises(ValueError, match="fold"):
         scoring.kfold_train_predict(rows, None, ["x"], n_splits=2, max_iter=1, early_stopping=False)
+
+
+def test_folds_are_not_shuffled_by_label(spark):
+    from cartwheel.operators import sampling
+    rows = spark.range(200).select(F.col("id").alias("user_id"), F.lit(1).alias("item_id"), (F.col("id") % 2).alias("label"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sampling.stratified_kfold(rows, 5)._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
