@@ -5,13 +5,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from cartwheel.operators import recall
 from cartwheel.plans import fixture as fx
+from cartwheel.plans.catalog import QUERIES as Q
 from tests.conftest import SF0001
 
-Q = E.queries()
-
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
