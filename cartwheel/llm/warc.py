@@ -126,7 +126,7 @@ def tree(ranges: DataFrame, scratch: Scratch, levels: int) -> list[DataFrame]:
     return out
 
 
-def differing(a: list[DataFrame], b: list[DataFrame]) -> DataFrame:
+def differing(a: list[DataFrame], b: list[DataFrame], scratch: Scratch) -> DataFrame:
     """Leaves (node) that differ between two trees, found by descending from
     the roots into differing nodes only."""
     suspects = None
@@ -137,7 +137,7 @@ def differing(a: list[DataFrame], b: list[DataFrame]) -> DataFrame:
             x = x.join(suspects, F.shiftright("n1", FAN_BITS) == F.col("node"), "left_semi")
             y = y.join(suspects, F.shiftright("n2", FAN_BITS) == F.col("node"), "left_semi")
         both = x.join(y, F.col("n1") == F.col("n2"), "full").where(~F.col("d1").eqNullSafe(F.col("d2")))
-        suspects = both.select(F.coalesce("n1", "n2").alias("node"))
+        suspects = scratch.write(both.select(F.coalesce("n1", "n2").alias("node")), "warc-differing")
     return suspects
 
 
@@ -150,7 +150,7 @@ def audit(spark: SparkSession, primary: str, replica: str) -> DataFrame:
     top = one.unionAll(two).agg(F.max("place")).first()[0] or 0
     levels = max(1, -(-top.bit_length() // FAN_BITS))
     trees = [tree(t.where("kind = 'range'"), scratch, levels) for t in (one, two)]
-    bad = scratch.write(differing(*trees), "warc-ranges")
+    bad = differing(*trees, scratch)
     records, copies = one.where("kind = 'record'"), two.where("kind = 'record'")
     # Records that touch a differing range, and what the replica holds in their places.
     first, last = F.floor(F.col("at") / RANGE_BYTES), F.floor((F.col("at") + F.col("length") - 1) / RANGE_BYTES)

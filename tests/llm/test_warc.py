@@ -78,7 +78,7 @@ def test_descent_skips_equal_branches(spark):
     scratch = Scratch(spark)
     a, b = (warc.tree(leaves(c), scratch, 3) for c in ((), (5, 600)))
     assert a[-1].collect() != b[-1].collect()
-    assert sorted(r.node for r in warc.differing(a, b).collect()) == [5 << 9, 600 << 9]
+    assert sorted(r.node for r in warc.differing(a, b, scratch).collect()) == [5 << 9, 600 << 9]
 
 
 def test_empty_archive(spark, tmp_path):
