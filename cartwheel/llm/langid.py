@@ -205,9 +205,14 @@ def _snippets(batch: pa.RecordBatch) -> pa.RecordBatch:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Trains on the bounded sample of labelled rows that aren't held out."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"))
-    # Only ids and labels are ranked: a task sends its first rows of each language.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = (rows.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+    rows = rows.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).withColumn("h", F.xxhash64("doc_id"))
+    # Ids are ranked only among the lowest hashes, some four times as many as are wanted of each language:
+    # what meets in a task doesn't grow with the table. (A row for each language is broadcast.)
+    counts = rows.groupBy("lang").agg(F.count("*").alias("rows_of")).withColumnRenamed("lang", "c_lang")
+    share = F.least(F.lit(1.0), 4.0 * ROWS_PER_LANG / F.col("rows_of"))
+    low = F.col("h").cast("double") / 2.0 ** 64 + 0.5 <= share
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    sample = (rows.join(F.broadcast(counts), (F.col("lang") == F.col("c_lang")) & low)
               .withColumn("k", F.row_number().over(order)).where(F.col("k") <= ROWS_PER_LANG)
               .select(F.col("doc_id").alias("s_id"), F.col("lang").alias("s_lang"), (F.col("k") % 5 == 0).alias("aside"))
               .dropDuplicates(["s_id", "s_lang"]))
