@@ -7,7 +7,9 @@ descent on snippets of a bounded sample of labelled rows:
 ``SNIPPETS_PER_ROW`` snippets of up to ``SNIPPET_WORDS`` words from anywhere in
 each text. A fifth of the rows is set aside to calibrate: a temperature makes
 the scores probabilities, and the rejection threshold is the highest at which
-none of the rightly predicted snippets, short ones included, would go.
+none of the rightly predicted snippets, short ones included, would go, but at
+most ``OVER_CHANCE`` times what chance gives: texts of a known language that are
+unlike the sample stay.
 
 Averages and the softmax's input are linear in the embeddings, so prediction
 uses their product, one row of logits for each hash bucket, which goes to the
@@ -35,6 +37,8 @@ from cartwheel.llm.common import id_and_text, map_slices
 ROWS_PER_LANG, SNIPPETS_PER_ROW, SNIPPET_WORDS = 800, 6, 50
 #: Longest snippet, in characters.
 SNIPPET_CHARS = 600
+#: Rejected texts score less than this many times an even share among the languages.
+OVER_CHANCE = 1.5
 BUCKETS, DIM, EPOCHS, BATCH, RATE = 1 << 16, 16, 4, 32, 0.5
 GRAMS = (3, 4)
 #: Bytes whose n-grams are held at once.
@@ -179,7 +183,7 @@ def _calibrate(model: Model, texts: list[str], label: np.ndarray) -> None:
     model.temperature = float(min(loss, key=loss.get))
     p = softmax(logits / model.temperature)
     right = p.max(axis=1)[p.argmax(axis=1) == label]
-    model.threshold = float(right.min()) if len(right) else 0.0
+    model.threshold = min(float(right.min(initial=1.0)), OVER_CHANCE / len(model.langs)) if len(right) else 0.0
 
 
 def held_out(doc_id: Column) -> Column:
