@@ -324,12 +324,14 @@ def _remove(batch: pa.RecordBatch) -> pa.RecordBatch:
                                        pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
 
-def _firsts(rows: DataFrame) -> DataFrame:
+def _firsts(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Of each context the first occurrence, and how many contexts its
     fingerprint has: fp, ctx, key, doc_id, start, n, many."""
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "start")
-    return (rows.groupBy("fp", "ctx").agg(F.min(place).alias("p"), F.max("n").alias("n"))
-            .select("fp", "ctx", "p.key", "p.doc_id", "p.start", "n", F.count("*").over(Window.partitionBy("fp")).alias("many")))
+    one = scratch.write(rows.groupBy("fp", "ctx").agg(F.min(place).alias("p"), F.max("n").alias("n"))
+                        .select("fp", "ctx", "p.key", "p.doc_id", "p.start", "n"), "passage-firsts")
+    many = one.groupBy("fp").agg(F.count("*").alias("many"))
+    return scratch.write(one.join(many, "fp"), "passage-contexts")
 
 
 def _later(rows: DataFrame, contexts: DataFrame) -> DataFrame:
@@ -345,14 +347,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch = Scratch(docs.sparkSession)
     texts = id_and_text(docs, id_col, text_col).withColumn("key", F.xxhash64("doc_id", "text"))
     own = ["key", "doc_id"]
-    # Occurrences meet by fingerprint. A fingerprint comes about once a document, far from all rows even if
-    # every document has it; its rows pass a count that spills and are never gathered.
+    # Occurrences meet by fingerprint: counts are combined in the map tasks, and the rows of a fingerprint that
+    # comes everywhere pass a semi-join, which splits such a key. Hashing twice is cheaper than keeping all rows.
     every = map_slices(texts.select("key", "doc_id", "text"), _occur, OCCURRENCE)
-    times = F.count("*").over(Window.partitionBy("fp"))
-    found = scratch.write(every.withColumn("times", times).where("times > 1").drop("times"), "passage-occurrences")
-    contexts = scratch.write(_firsts(found), "passage-contexts")
+    times = every.select("fp").groupBy("fp").agg(F.count("*").alias("times"))
+    repeated = scratch.write(times.where("times > 1").select("fp"), "passage-repeated")
+    found = scratch.write(every.join(repeated, "fp", "left_semi"), "passage-occurrences")
+    contexts = _firsts(found, scratch)
     parts = [scratch.write(_later(found, contexts), "passage-later")]
-    scratch.drop(found)
+    scratch.drop(found, repeated)
     # The bytes of first occurrences whose fingerprint has several contexts.
     wanted = F.collect_list(F.struct("fp", "ctx", "start", "n")).alias("wanted")
     lists = contexts.where("many > 1").groupBy(own).agg(wanted).withColumnsRenamed({"key": "w_key", "doc_id": "w_id"})
@@ -367,7 +370,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if not wide.take(1):
             break
         refined_ = scratch.write(map_slices(wide, _refine(depth), PIECE), "passage-refined")
-        contexts = scratch.write(_firsts(refined_.drop("bytes")), "passage-contexts")
+        contexts = _firsts(refined_.drop("bytes"), scratch)
         parts.append(scratch.write(_later(refined_.drop("bytes"), contexts), "passage-later"))
         first = contexts.where("many > 1").select("fp", "ctx", *own, "start")
         pieces = scratch.write(refined_.join(first.withColumnsRenamed({"doc_id": "f_id"}), ["fp", "ctx", "key", "start"])
