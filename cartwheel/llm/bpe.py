@@ -35,7 +35,7 @@ from cartwheel.llm.common import id_and_text, map_slices
 #: Longest word, in UTF-8 bytes, that the rank array merges by scanning.
 SHORT_WORD = 96
 #: Distinct pieces and words a Python worker remembers.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 #: Words merged at once.
 BLOCK_WORDS = 4096
 NO_RANK, NO_PART = 1 << 30, -1

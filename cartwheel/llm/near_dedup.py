@@ -42,8 +42,6 @@ from cartwheel.llm.common import Scratch, is_empty, map_slices
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 SLOTS = BANDS * ROWS
-#: Distinct words a Python worker remembers.
-CACHE_ENTRIES = 500_000
 #: Slots of a sketch, and how many have to agree before a pair is verified: at a similarity of 0.8 fewer do
 #: with a probability of 5e-5 (0.8125 of them agree, less 3.9 standard deviations).
 SKETCH_SLOTS, LEAST_ALIKE = 512, 382
@@ -69,14 +67,10 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(float) + 1) * 2.0 ** -53
 
 
-_WORDS: dict[str, int] = {}
-
-
 def word_hashes(words: list[str]) -> np.ndarray:
-    if len(_WORDS) > CACHE_ENTRIES:
-        _WORDS.clear()
-    _WORDS.update({w: xxhash.xxh3_64_intdigest(w) for w in set(words).difference(_WORDS)})
-    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    """Hashes of a slice's words, each distinct one once; nothing stays in the worker."""
+    known = {w: xxhash.xxh3_64_intdigest(w) for w in set(words)}
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
