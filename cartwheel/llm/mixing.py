@@ -9,9 +9,11 @@ every shard gets an exact number of blocks of each source, as if all blocks had
 been shuffled and dealt. Shards draw disjoint runs of the source's permuted
 blocks and order their rows by hash.
 
-Only whole documents are taken: those that end on the line, then up to
-``FILL_ROUNDS`` more documents a source, each the largest that still fits into
-what is missing. The line positions come from running sums over hash buckets
+Only whole documents are taken: those that end on the line, then others until
+no copy left fits into what its source lacks. Each round lays the copies left of
+at most half the lack on the rest of the line, in the same order; it halves the
+lack or takes them all. Where none is that small, one more fits at most: the
+largest that does. The line positions come from running sums over hash buckets
 (a bucket has about ``BUCKET_ROWS`` rows, however large its source).
 
 The plan's driver side is a row per source (``MAX_SOURCES`` at most, else an
@@ -37,7 +39,7 @@ from cartwheel.llm.common import Scratch
 
 #: Sources that a mix can name; shards of its output; words of a block.
 MAX_SOURCES, SHARDS, BLOCK_WORDS = 100_000, 16, 1 << 14
-BUCKET_ROWS, FILL_ROUNDS = 4096, 8
+BUCKET_ROWS = 4096
 #: Weights by a source's place in code-point order, repeating.
 WEIGHTS = (3, 1, 2)
 #: The mix's size as a share of all words, and how often a source may be repeated.
@@ -137,50 +139,71 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, total_share: float = TOTAL_S
     fits = [(F.col("at") + F.col("size") + k * F.col("source_size") <= F.col("target")).cast("int") for k in range(MAX_REPEAT)]
     units = scratch.write(rows.join(sources, "s_no").withColumn("copies", F.when(F.col("size") > 0, sum(fits[1:], fits[0])).otherwise(0))
                           .select("doc_id", "source", "h", "size", "s_no", "bucket", "place", "at", "copies"), "mix-units")
-    extra = _fill(spark, units, goal)
-    taken = F.col("copies") + F.coalesce("extra", F.lit(0))
+    extra = _fill(scratch, units, goal)
     # The copies of a document lie in blocks of the line; a shard's run of permuted blocks ends at its entry of ends.
-    copies = F.when(F.col("taken_copies") > 0, F.sequence(F.lit(0), F.col("taken_copies") - 1)).otherwise(F.array().cast("array<int>"))
+    first = F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies") - 1)).otherwise(F.array().cast("array<int>"))
+    spots = F.concat(F.transform(first, lambda k: F.col("at") + k * F.col("source_size")),
+                     F.coalesce("spots", F.array().cast("array<long>")))
 
-    def shard(k):
-        block = F.least(F.floor((F.col("at") + k * F.col("source_size")) / block_words), F.col("n_blocks") - 1)
+    def shard(spot):
+        block = F.least(F.floor(spot / block_words), F.col("n_blocks") - 1)
         place = F.pmod(block * F.col("step"), F.col("n_blocks"))
         return F.size(F.filter("ends", lambda end: end <= place))
 
-    out = (units.join(F.broadcast(extra), ["s_no", "bucket", "place"], "left").withColumn("taken_copies", taken)
-           .join(sources, "s_no").withColumn("shards", F.transform(copies, shard)))
+    out = units.join(extra, ["s_no", "bucket", "place"], "left").join(sources, "s_no").withColumn("spots", spots)
     return out.select("doc_id", "source", "h", "size", "source_size", "target",
-                      (F.col("taken_copies") * F.col("size")).alias("taken"), "shards")
+                      (F.size("spots") * F.col("size")).alias("taken"), F.transform("spots", shard).alias("shards"))
 
 
-def _fill(spark: SparkSession, units: DataFrame, goal: list[float]) -> DataFrame:
-    """Documents taken once more: in each round, of each source, the largest
-    that fits into what its target lacks. A row for each, FILL_ROUNDS a source
-    at most: s_no, bucket, place, extra."""
-    schema = "s_no: int, bucket: long, place: int, extra: int"
+def _fill(scratch: Scratch, units: DataFrame, goal: list[float]) -> DataFrame:
+    """Copies taken besides those on the line, until none left fits into what
+    its source lacks: s_no, bucket, place and spots (where on the rest of the
+    line each copy starts). The driver holds a row for each source."""
+    spark = scratch.spark
     got = {r.s_no: r.t for r in units.groupBy("s_no").agg(F.sum(F.col("copies") * F.col("size")).alias("t")).collect()}
-    lacks, picked = {s: goal[s] - t for s, t in got.items()}, {}
-    for _ in range(FILL_ROUNDS):
-        lack = F.broadcast(_rows(spark, [{"l_no": s, "lack": x} for s, x in lacks.items()], "l_no: int, lack: double"))
-        left = units
-        if picked:
-            done = F.broadcast(_rows(spark, _picks(picked), schema))
-            left = units.join(done, ["s_no", "bucket", "place"], "left").withColumn("copies", F.col("copies") + F.coalesce("extra", F.lit(0)))
-        fit = (left.join(lack, F.col("s_no") == F.col("l_no"))
-               .where((F.col("size") > 0) & (F.col("size") <= F.col("lack")) & (F.col("copies") < MAX_REPEAT)))
-        best = fit.groupBy("s_no").agg(F.max(F.struct("size", "bucket", "place")).alias("b")).collect()
-        if not best:
+    lacks, left, last, laid = {s: goal[s] - t for s, t in got.items()}, units, [], []
+    while lacks:
+        lack = F.broadcast(_rows(spark, [{"l_no": s, "lack": x, "start": int(got[s])} for s, x in lacks.items()],
+                                 "l_no: int, lack: double, start: long"))
+        left = (left.join(lack, F.col("s_no") == F.col("l_no")).drop("l_no")
+                .where((F.col("size") > 0) & (F.col("size") <= F.col("lack")) & (F.col("copies") < MAX_REPEAT)))
+        found = left.groupBy("s_no").agg(F.min("size").alias("least"), F.max(F.struct("size", "bucket", "place")).alias("b")).collect()
+        last += [{"s_no": r.s_no, "bucket": r.b.bucket, "place": r.b.place, "spots": [int(got[r.s_no])]}
+                 for r in found if 2 * r.least > lacks[r.s_no]]
+        lacks = {r.s_no: lacks[r.s_no] for r in found if 2 * r.least <= lacks[r.s_no]}
+        if not lacks:
             break
-        for r in best:
-            key = (r.s_no, r.b.bucket, r.b.place)
-            picked[key] = picked.get(key, 0) + 1
-            lacks[r.s_no] -= r.b.size
-        lacks = {r.s_no: lacks[r.s_no] for r in best}
-    return _rows(spark, _picks(picked), schema)
-
-
-def _picks(picked: dict) -> list[dict]:
-    return [{"s_no": s, "bucket": b, "place": p, "extra": n} for (s, b, p), n in picked.items()]
+        more = F.broadcast(_rows(spark, [{"m_no": s} for s in lacks], "m_no: int"))
+        now = scratch.write(_lay(left.join(more, F.col("s_no") == F.col("m_no"), "left_semi")), "mix-fill")
+        laid.append(now.where(F.size("spots") > 0).select("s_no", "bucket", "place", "spots"))
+        for r in now.groupBy("s_no").agg(F.sum(F.size("spots") * F.col("size")).alias("t")).collect():
+            got[r.s_no] += r.t
+            lacks[r.s_no] -= r.t
+        left = now.select("s_no", "bucket", "place", "size", (F.col("copies") + F.size("spots")).alias("copies"))
+    out = _rows(spark, last, "s_no: int, bucket: long, place: int, spots: array<long>")
+    for one in laid:
+        out = out.unionByName(one)
+    return out.groupBy("s_no", "bucket", "place").agg(F.flatten(F.collect_list("spots")).alias("spots"))
+
+
+def _lay(left: DataFrame) -> DataFrame:
+    """One round: the copies left of at most half the lack, one of each document
+    and then the second ones, on a line as long as the lack. Adds spots."""
+    laps = [F.when((2 * F.col("size") <= F.col("lack")) & (F.col("copies") + k < MAX_REPEAT), F.col("size")).otherwise(0)
+            for k in range(MAX_REPEAT)]
+    rows = left.select("s_no", "bucket", "place", "size", "copies", "lack", "start", *[x.alias(f"lap{k}") for k, x in enumerate(laps)])
+    buckets = rows.groupBy("s_no", "bucket").agg(*[F.sum(f"lap{k}").alias(f"sum{k}") for k in range(MAX_REPEAT)])
+    line, whole = Window.partitionBy("s_no").orderBy("bucket"), Window.partitionBy("s_no")
+    ahead = buckets.select("s_no", "bucket", *[
+        (sum((F.sum(f"sum{j}").over(whole) for j in range(k)), F.sum(f"sum{k}").over(line)) - F.col(f"sum{k}")).alias(f"ahead{k}")
+        for k in range(MAX_REPEAT)])
+    inside = Window.partitionBy("s_no", "bucket").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    rows = (rows.withColumns({f"end{k}": F.sum(f"lap{k}").over(inside) for k in range(MAX_REPEAT)})
+            .join(ahead, ["s_no", "bucket"]).withColumns({f"end{k}": F.col(f"ahead{k}") + F.col(f"end{k}") for k in range(MAX_REPEAT)}))
+    spots = F.array_compact(F.array(*[
+        F.when((F.col(f"lap{k}") > 0) & (F.col(f"end{k}") <= F.col("lack")), F.col("start") + F.col(f"end{k}") - F.col("size"))
+        for k in range(MAX_REPEAT)]))
+    return rows.select("s_no", "bucket", "place", "size", "copies", spots.alias("spots"))
 
 
 def mixed(docs: DataFrame, seed: int = 20, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",

@@ -85,6 +85,23 @@ def test_nulls_repeats_hot_source_and_empty_table(spark):
     assert mixing.plan(docs.limit(0)).count() == 0 and mixing.mixed(docs.limit(0)).count() == 0
 
 
+def test_giant_document_leaves_no_gap_that_others_fill(spark):
+    rows = [(0, "w " * 1_000_000, "giant")] + [(k, "w " * 100, "giant") for k in range(1, 1001)]
+    rows += [(k, "w " * n, "steps") for k, n in enumerate([40_000, 9_000, 3_000] + list(range(1, 260)))]
+    rows += [(k, "w " * 300, "even") for k in range(1700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    planned = mixing.plan(docs, total_share=1.0, weights=(1, 1, 1), block_words=1000).collect()
+    for name in ("giant", "steps", "even"):
+        rs = [r for r in planned if r.source == name]
+        lack = rs[0].target - sum(r.taken for r in rs)
+        assert 0 <= lack < min([r.size for r in rs if r.taken < 2 * r.size], default=float("inf"))
+        assert all(r.taken == len(r.shards) * r.size for r in rs)
+    giant = [r for r in planned if r.source == "giant"]
+    assert 200_000 < giant[0].target < 1_000_000 and sum(r.taken for r in giant) == 200_000
+    # What fills the gap lies on the rest of the line, so no shard gets most of it.
+    assert max(Counter(s for r in giant for s in r.shards).values()) < 400
+
+
 def test_runs_no_python_on_executors(spark, sf):
     plan = op5_mixing(spark, sf)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
