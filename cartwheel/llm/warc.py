@@ -1,10 +1,18 @@
 """Operator 10: WARC archives and their Merkle fixity audit.
 
-``write_archive`` writes pages as WARC/1.1 resource records into gzip files,
-some thousand records a file, by Spark's text writer (a record ends with two
-line ends, which is the writer's line separator). ``scan`` reads an archive's
-files back, parses the records by their Content-Length and hashes each record
-and each ordered offset range of ``RANGE_BYTES`` uncompressed bytes.
+``write_archive`` writes pages as WARC/1.1 resource records, each a gzip member
+of its own, some thousand a file, by Spark's text writer (a member ends with
+the zero byte that tops its length, which is the writer's line separator, so
+the files are gzip files though their names end in .txt). ``scan`` reads an
+archive's files back, parses the records by their Content-Length and hashes each
+record and each ordered offset range of ``RANGE_BYTES`` uncompressed bytes.
+
+A member that cannot be read whole keeps what came before the error and, by the
+length its trailer names, its room, so the records behind it keep their
+offsets; its hashes are marked, so it never counts as intact, even when only its
+check sum disagrees. Damage that runs over the border of two members hides the
+length of the first; the records behind it in the file may then be reported at
+other offsets.
 
 The audit hashes the ordered ranges of all files into a tree with
 ``2**FAN_BITS`` children a node. Two replicas are compared from the root down:
@@ -22,19 +30,25 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 import zlib
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import Scratch
+from cartwheel.llm.common import Scratch, map_slices
 
 RECORDS_PER_FILE = 2000
 RANGE_BYTES = 1 << 16
 #: Bits of a node's number that its children add; of a range within its file; of a file within its part.
 FAN_BITS, RANGE_BITS, FILE_BITS = 8, 16, 12
 END = "\r\n\r\n"
+#: Bytes of a member at most: the top byte of its length is zero then. A longer record goes on in others.
+MEMBER_BYTES = (1 << 24) - 1
+#: Headers of the writer's members; the lowest flag bit ("text") marks one that goes on with a record.
+MEMBER = re.compile(rb"\x1f\x8b\x08[\0\x01]\0\0\0\0\0\xff")
 SCAN_SCHEMA = ("kind string, place long, at long, length long, digest binary, page_id long, "
                "n_bytes long, payload_sha256 string")
 
@@ -49,27 +63,47 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
         F.lit("Content-Type: text/html\r\nContent-Length: "), F.octet_length(payload).cast("string"), F.lit(END), payload)
 
 
+def pack(data: bytes) -> bytes:
+    """A record as a gzip member, or several, without the zero byte that ends it."""
+    out = []
+    for at in range(0, len(data), MEMBER_BYTES):
+        part, one = data[at:at + MEMBER_BYTES], zlib.compressobj(wbits=-15)
+        out += [b"\x1f\x8b\x08", b"\x01" if at else b"\0", b"\0\0\0\0\0\xff", one.compress(part), one.flush(),
+                struct.pack("<II", zlib.crc32(part), len(part))]
+    return b"".join(out)[:-1]
+
+
 def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
     """Writes pages to WARC files in the order of their rows, without a shuffle:
     replicas of one table have the same records at the same places."""
-    rows = pages.select(record(F.col(id_col).cast("long"), F.col(url_col), F.col(html_col)).alias("value"))
-    (rows.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE)
-     .text(folder))
+    rows = pages.select(F.concat(record(F.col(id_col).cast("long"), F.col(url_col), F.col(html_col)), F.lit(END))
+                        .cast("binary").alias("value"))
+    members = map_slices(rows, lambda batch: pa.RecordBatch.from_arrays(
+        [pa.array([pack(v.as_py()) for v in batch.column(0)], pa.binary())], ["value"]), "value binary")
+    (members.select(F.col("value").cast("string")).write.option("lineSep", "\0")
+     .option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder))
 
 
-def parse(data: bytes):
+def parse(data: bytes, starts: list[int] = ()):
     """(offset, length, page id, payload) of the records of an uncompressed
-    file; stops where no record starts."""
-    at = 0
-    while data.startswith(b"WARC/", at):
-        head = data.find(END.encode(), at)
-        size = re.search(rb"\r\nContent-Length: (\d+)(?:\r\n|$)", data[at:head]) if head >= 0 else None
-        if not size:
+    file. Where no record starts, or one runs over the start of another, it goes
+    on at the next of ``starts`` (ordered offsets); it stops where there is none."""
+    at, starts = 0, [s for s in starts if data.startswith(b"WARC/", s)]
+    while True:
+        k = bisect_right(starts, at)
+        limit = starts[k] if k < len(starts) else len(data)
+        head = data.find(END.encode(), at, limit) if data.startswith(b"WARC/", at) else -1
+        size = re.search(rb"\r\nContent-Length: (\d{1,18})(?:\r\n|$)", data[at:head]) if head >= 0 else None
+        end = limit
+        if size:
+            start, page = head + len(END), re.search(rb"<urn:page:(-?\d{1,19})>", data[at:head])
+            end = min(start + int(size[1]) + len(END), limit)
+            number = int(page[1]) if page else None
+            yield (at, end - at, number if page and -1 << 63 <= number < 1 << 63 else None,
+                   data[start:min(start + int(size[1]), end)])
+        if end >= len(data) or not size and k == len(starts):
             return
-        start, page = head + len(END), re.search(rb"<urn:page:(-?\d+)>", data[at:head])
-        end = start + int(size[1])
-        yield at, end + len(END) - at, int(page[1]) if page else None, data[start:end]
-        at = end + len(END)
+        at = end
 
 
 def place_of(path: str) -> int:
@@ -78,17 +112,44 @@ def place_of(path: str) -> int:
     return (part << FILE_BITS | number) << RANGE_BITS
 
 
-def unzip(data: bytes) -> bytes:
-    """What can be read of a gzip file, whole or not."""
-    out = []
-    while data:
-        one = zlib.decompressobj(31)
-        try:
-            out.append(one.decompress(data))
-        except zlib.error:
-            break
-        data = one.unused_data
-    return b"".join(out)
+def mend(data: bytes, last: bool) -> bytes:
+    """What a damaged member held before the damage, at the length its trailer
+    names; the last of a file may have been cut off before its trailer."""
+    out, one = bytearray(), zlib.decompressobj(31)
+    try:
+        for k in range(len(data)):
+            out += one.decompress(data[k:k + 1])
+    except zlib.error:
+        pass
+    crc, size = struct.unpack("<II", data[-8:].rjust(8, b"\0"))
+    if last or zlib.crc32(out) == crc or size > MEMBER_BYTES:
+        return bytes(out)
+    return bytes(out[:size].ljust(size, b"\0"))
+
+
+def unzip(data: bytes) -> tuple[bytes, list[int], list[int]]:
+    """What can be read of a gzip file, whole or not, and the offsets of its
+    members that start a record and of the writer's that are damaged."""
+    out, starts, broken, size = [], [], [], 0
+    found = [m.start() for m in MEMBER.finditer(data)]
+    cuts = sorted({0, *found})
+    for lo, hi in zip(cuts, [*cuts[1:], len(data)]):
+        part = data[lo:hi]
+        while part:
+            one, got = zlib.decompressobj(31), b""
+            try:
+                got = one.decompress(part)
+            except zlib.error:
+                pass
+            if not one.eof:
+                got = mend(part, hi == len(data))
+                broken += [size] if found else []
+            if not (MEMBER.match(part) and part[3]):
+                starts.append(size)
+            out.append(got)
+            size += len(got)
+            part = one.unused_data if one.eof else b""
+    return b"".join(out), starts, broken
 
 
 def scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,12 +159,17 @@ def scan(spark: SparkSession, folder: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                place, data = place_of(batch.column(0)[k].as_py()), unzip(batch.column(1)[k].as_py())
-                rows = [("record", place, at, length, hashlib.sha256(data[at:at + length]).digest(), page,
-                         len(payload), hashlib.sha256(payload).hexdigest()) for at, length, page, payload in parse(data)]
+                place, (data, starts, broken) = place_of(batch.column(0)[k].as_py()), unzip(batch.column(1)[k].as_py())
+
+                def digest(at, length):
+                    marks = [b - at for b in broken if at <= b < at + length]
+                    return hashlib.sha256(data[at:at + length] + (f"broken at {marks}".encode() if marks else b"")).digest()
+
+                rows = [("record", place, at, length, digest(at, length), page, len(payload), hashlib.sha256(payload).hexdigest())
+                        for at, length, page, payload in parse(data, starts)]
                 for n, at in enumerate(range(0, len(data), RANGE_BYTES)):
-                    part = data[at:at + RANGE_BYTES]
-                    rows.append(("range", place | n, at, len(part), hashlib.sha256(part).digest(), None, None, None))
+                    length = min(RANGE_BYTES, len(data) - at)
+                    rows.append(("range", place | n, at, length, digest(at, length), None, None, None))
                 types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.string()]
                 columns = list(zip(*rows)) or [[]] * len(types)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],

@@ -71,6 +71,72 @@ def test_every_kind_of_damage_is_located(spark, tmp_path, monkeypatch):
     assert got == want
 
 
+def drop_crc(folder):
+    for f in os.listdir(folder):
+        if f.endswith(".crc"):
+            os.remove(f"{folder}/{f}")
+
+
+def flip(path, at, bit=1):
+    with open(path, "rb") as f:
+        data = bytearray(f.read())
+    data[at] ^= bit
+    with open(path, "wb") as f:
+        f.write(bytes(data))
+
+
+def members(path):
+    """(start, end) of each stored record."""
+    with open(path, "rb") as f:
+        data = f.read()
+    at = [m.start() for m in warc.MEMBER.finditer(data)]
+    return list(zip(at, [*at[1:], len(data)]))
+
+
+def test_flipped_byte_of_a_stored_file_costs_one_record(spark, tmp_path):
+    rows = [(k, f"u{k}", "".join(hashlib.md5(b"%d %d" % (k, j)).hexdigest() for j in range(k % 50)), 0) for k in range(150)]
+    pages = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    for name in "ab":
+        warc.write_archive(pages, f"{tmp_path}/{name}")
+    (path,) = files(f"{tmp_path}/b")
+    at = members(path)
+    assert len(at) == len(rows)
+    flip(path, at[10][1] - 6)                               # check sum
+    flip(path, at[20][1] - 4)                               # length
+    flip(path, at[45][0])                                   # header
+    flip(path, (at[49][0] + at[49][1]) // 2, 16)            # data
+    flip(path, at[149][1] - 12, 64)                         # data of the last
+    drop_crc(f"{tmp_path}/b")
+    got = {r.page_id: r.status for r in warc.audit(spark, f"{tmp_path}/a", f"{tmp_path}/b").collect()}
+    bad = {k: s for k, s in got.items() if s != "intact"}
+    assert bad == {10: "damaged", 20: "damaged", 45: "missing", 49: "damaged", 149: "damaged"} and len(got) == len(rows)
+
+
+def test_any_flipped_bit_leaves_the_records_around_it():
+    plain = [b"WARC/1.1\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (
+        k, len(x), x) for k, x in enumerate(hashlib.sha512(b"%d" % k).hexdigest().encode() * (k % 3) for k in range(5))]
+    packed = [warc.pack(p) + b"\0" for p in plain]
+    whole, at = b"".join(plain), [len(b"".join(plain[:k])) for k in range(6)]
+    assert gzip.decompress(b"".join(packed)) == whole
+    assert warc.unzip(b"".join(packed)) == (whole, at[:5], [])
+    for bit in range(8 * len(packed[2])):
+        hurt = bytearray(packed[2])
+        hurt[bit // 8] ^= 1 << bit % 8
+        data, starts, _ = warc.unzip(b"".join([*packed[:2], bytes(hurt), *packed[3:]]))
+        found = {o: page for o, _, page, _ in warc.parse(data, starts)}
+        assert {at[k]: k for k in (0, 1, 3, 4)}.items() <= found.items()
+        assert data[:at[2]] + data[at[3]:] == whole[:at[2]] + whole[at[3]:]
+
+
+def test_long_records_go_on_in_further_members(monkeypatch):
+    monkeypatch.setattr(warc, "MEMBER_BYTES", 100)
+    text = b"WARC/1.1\r\n" * 40
+    plain = [b"WARC/1.1\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (k, len(text), text) for k in range(3)]
+    data, starts, broken = warc.unzip(b"".join(warc.pack(p) + b"\0" for p in plain))
+    assert data == b"".join(plain) and len(starts) == 3 and not broken
+    assert [(page, payload) for _, _, page, payload in warc.parse(data, starts)] == [(k, text) for k in range(3)]
+
+
 def test_descent_skips_equal_branches(spark):
     def leaves(changed):
         rows = [(k << 9, hashlib.md5(b"%d" % (k in changed)).digest()) for k in range(700)]
