@@ -19,7 +19,8 @@ The audit hashes the ordered ranges of all files into a tree with
 only children of nodes that differ are looked at, until the ranges that differ
 are known. Records that touch none of them are intact; the others are compared
 by their own hashes. A record whose place in the replica holds other bytes is
-'damaged', one whose place holds no record is 'missing'.
+'damaged', one whose place holds no record is 'missing'; one that the replica
+holds where the primary holds no record is 'lost'.
 
 Defined results: a null page is an empty payload, a null url a record without
 target, a null id stays null; repeated rows are records of their own; an empty
@@ -207,10 +208,19 @@ def differing(a: list[DataFrame], b: list[DataFrame], scratch: Scratch) -> DataF
     return suspects
 
 
+def touching(records: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The records that touch one of the ranges (node)."""
+    first, last = F.floor(F.col("at") / RANGE_BYTES), F.floor((F.col("at") + F.col("length") - 1) / RANGE_BYTES)
+    touched = records.withColumn("range", F.explode(F.sequence(first, last)))
+    return (touched.join(ranges, F.col("place").bitwiseOR(F.col("range")) == F.col("node"), "left_semi")
+            .drop("range").dropDuplicates(["place", "at"]))
+
+
 def audit(spark: SparkSession, primary: str, replica: str) -> DataFrame:
-    """A row for each record of the primary archive: page_id, place (of its
-    file), at, length, n_bytes and payload_sha256, and status: 'intact',
-    'damaged' or 'missing' in the replica."""
+    """A row for each record that either archive holds: page_id, place (of its
+    file), at, length, n_bytes and payload_sha256 (of the primary's record, or
+    the replica's where that is 'lost'), and status: 'intact', 'damaged' or
+    'missing' in the replica, 'lost' in the primary."""
     scratch = Scratch(spark)
     one, two = (scratch.write(scan(spark, f), f"warc-scan-{k}") for k, f in enumerate((primary, replica)))
     top = one.unionAll(two).agg(F.max("place")).first()[0] or 0
@@ -218,15 +228,14 @@ def audit(spark: SparkSession, primary: str, replica: str) -> DataFrame:
     trees = [tree(t.where("kind = 'range'"), scratch, levels) for t in (one, two)]
     bad = differing(*trees, scratch)
     records, copies = one.where("kind = 'record'"), two.where("kind = 'record'")
-    # Records that touch a differing range, and what the replica holds in their places.
-    first, last = F.floor(F.col("at") / RANGE_BYTES), F.floor((F.col("at") + F.col("length") - 1) / RANGE_BYTES)
-    touched = records.withColumn("range", F.explode(F.sequence(first, last)))
-    suspects = (touched.join(bad, touched.place.bitwiseOR(touched.range) == bad.node, "left_semi")
-                .select("place", "at", "digest").distinct())
+    # Records of either side that touch a differing range, and what the other holds in their places.
+    suspects = touching(records, bad).select("place", "at", "digest")
     held = copies.select(F.col("place").alias("p"), F.col("at").alias("o"), F.col("digest").alias("d"))
     status = F.when(F.col("d").isNull(), "missing").when(F.col("d") != F.col("digest"), "damaged").otherwise("intact")
     judged = (suspects.join(held, (F.col("place") == F.col("p")) & (F.col("at") == F.col("o")), "left")
               .select(F.col("place").alias("p"), F.col("at").alias("o"), status.alias("status")))
+    lost = touching(copies, bad).join(records.select("place", "at"), ["place", "at"], "left_anti")
+    names = ["page_id", "place", "at", "length", "n_bytes", "payload_sha256"]
     return (records.join(judged, (F.col("place") == F.col("p")) & (F.col("at") == F.col("o")), "left")
-            .select("page_id", "place", "at", "length", "n_bytes", "payload_sha256",
-                    F.coalesce("status", F.lit("intact")).alias("status")))
+            .select(*names, F.coalesce("status", F.lit("intact")).alias("status"))
+            .unionByName(lost.select(*names, F.lit("lost").alias("status"))))

@@ -112,6 +112,29 @@ def test_flipped_byte_of_a_stored_file_costs_one_record(spark, tmp_path):
     assert bad == {10: "damaged", 20: "damaged", 45: "missing", 49: "damaged", 149: "damaged"} and len(got) == len(rows)
 
 
+def test_damage_to_the_primary_is_located(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 20)
+    pages = spark.createDataFrame(ROWS, SCHEMA).coalesce(1)
+    for name in "ab":
+        warc.write_archive(pages, f"{tmp_path}/{name}")
+    first, cut, hurt = files(f"{tmp_path}/a")[:3]
+    os.remove(first)
+    with open(cut, "rb") as f:
+        data = f.read()
+    with open(cut, "wb") as f:
+        f.write(data[:members(files(f"{tmp_path}/b")[1])[8][0]])
+    flip(hurt, members(hurt)[3][0])                         # header
+    os.remove(files(f"{tmp_path}/b")[-1])
+    for name in "ab":
+        drop_crc(f"{tmp_path}/{name}")
+    got = {r.page_id: (r.status, r.n_bytes, r.payload_sha256) for r in warc.audit(spark, f"{tmp_path}/a", f"{tmp_path}/b").collect()}
+    lost = {*range(20), *range(28, 40), 43}
+    for k, _, html, _ in ROWS:
+        want = "lost" if k in lost else "missing" if k >= 100 else "intact"
+        assert got.pop(k) == (want, len(html), hashlib.sha256(html.encode()).hexdigest())
+    assert not got
+
+
 def test_any_flipped_bit_leaves_the_records_around_it():
     plain = [b"WARC/1.1\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (
         k, len(x), x) for k, x in enumerate(hashlib.sha512(b"%d" % k).hexdigest().encode() * (k % 3) for k in range(5))]
