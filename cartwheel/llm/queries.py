@@ -52,8 +52,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many words of every document the mix takes."""
-    return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """How many words of every document the mix takes, and the shards its
+    copies are dealt to."""
+    taken = (F.col("size") * F.size("shards")).alias("taken")
+    return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", taken, "shards")
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,6 +69,15 @@ def test_query_against_brute_force(spark):
     assert all(abs(taken[s] - target[s]) < 0.01 * target[s] for s in target)
 
 
+def test_query_deals_what_it_takes(spark, sf):
+    rows = op5_mixing(spark, sf).collect()
+    planned = mixing.plan(spark.read.parquet(f"{sf}/documents.parquet")).collect()
+    assert sorted((r.doc_id, r.taken, r.shards) for r in rows) == sorted((r.doc_id, r.taken, r.shards) for r in planned)
+    assert all(r.taken == r.size * len(r.shards) for r in rows)
+    used = {s for r in rows for s in r.shards}
+    assert len(used) > 1 and used <= set(range(mixing.SHARDS))
+
+
 def test_nulls_repeats_hot_source_and_empty_table(spark):
     rows = [(k, "w " * (k % 9), "hot" if k % 3 else None, 1) for k in range(300)]
     rows += [(7, "same words here", "tiny", 1)] * 4 + [(None, "no id", "tiny", 1), (None, None, "tiny", 1), (1, "", "zero", 1)]
