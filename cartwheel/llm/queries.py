@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import ann, bpe, exact_dedup, langid, mixing, near_dedup, suffix_dedup, token_counts, token_store, warc
+from cartwheel.llm import (ann, bpe, exact_dedup, hard_negatives, langid, line_dedup, manifest, mixing, near_dedup,
+                           suffix_dedup, token_counts, token_store, warc)
 from cartwheel.llm.common import table
 from cartwheel.session import scratch_path
 
@@ -94,6 +95,34 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.audit(spark, primary, replica).select("page_id", "n_bytes", "payload_sha256", "status")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector's positives; every 7th label is off by one."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    off = F.pmod("vec_id", F.lit(7)) == 0
+    rows = rows.withColumn("label", F.when(off, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, lambda vec_id: F.pmod(vec_id, F.lit(50)) == 0)
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and root of every document, and whether a document that has
+    been put in lower case, one of five, still folds to the root."""
+    docs = table(spark, sf_dir, "documents")
+    hit = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    lowered = F.translate("text", line_dedup.UPPER, line_dedup.LOWER)
+    fields = [F.col(c) for c in manifest.HASHED[:-1]]
+    found = manifest.manifest(docs, carry={"tampered": F.when(hit, manifest.leaf_hash(*fields, lowered))})
+    folded = manifest.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return found.select("doc_id", "leaf", "subroot", "root", manifest.proof_hash(F.col("path")).alias("proof_sha256"),
+                        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What dropping repeated lines leaves of every document."""
+    done = line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_token_store": op2_token_store,
@@ -105,4 +134,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_nearest": op9_nearest,
     "op10_warc": op10_warc,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_manifest": op12_manifest,
+    "op13_line_dedup": op13_line_dedup,
 }
