@@ -2,33 +2,39 @@
 
 Random draws are defined as "order by ``md5(concat_ws('_', user_id, item_id,
 seed))``, take n": exact n, repeatable under any partitioning, and
-reproducible in SQL. Class and bucket sizes are one small aggregate read by
-the driver; the cuts themselves are distributed row numbers, so a class or a
-bucket holding most of the rows is still ranked by every task.
+reproducible in SQL. All cuts of one operator (classes, recency buckets) come
+from one radix selection: counts by hash prefix, the keys at the edges, then a
+filter on the wide rows, which are neither sorted nor written
+(``functions.selection``).
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.functions.exprs import bucket_index, hash_bucket, hash_order, hash_prefix
-from cartwheel.functions.ranking import row_number_within, take_first
+from cartwheel.functions.exprs import bucket_index, hash_bucket, hash_order
+from cartwheel.functions.ranking import row_number_within
+from cartwheel.functions.selection import CELL_ROWS, first_of_groups, prefix, rank_cells
+from cartwheel.session import materialize
 
 GAP = "ui_days_since_last_action"
 
 
-def _order(seed: int, df: DataFrame):
+def _key(seed: int) -> Column:
+    return hash_order(seed, "user_id", "item_id")
+
+
+def _then(df: DataFrame) -> list[str]:
     # Repeats of an item in P differ by category, where rows have one: with it the order is total.
-    return [hash_order(seed, "user_id", "item_id"), F.col("user_id"), F.col("item_id"),
-            *(F.col(c) for c in df.columns if c == "item_category")]
+    return ["user_id", "item_id", *(c for c in df.columns if c == "item_category")]
 
 
-def _lead(seed: int):
-    """Numeric key ordered like the md5 text (ascending), for exact pre-filters."""
-    return (hash_prefix(seed, "user_id", "item_id"), False)
+#: Groups of a selection among labelled rows: positives and eligible negatives.
+POS, NEG = -1, 0
 
 
 def downsample_negatives(df: DataFrame, neg_pos_ratio: float = 20, seed: int = 42,
@@ -42,35 +48,49 @@ def downsample_negatives(df: DataFrame, neg_pos_ratio: float = 20, seed: int = 4
     neg_cond = F.col("label") == 0
     if neg_max_gap_days is not None and GAP in df.columns:
         neg_cond = neg_cond & (F.col(GAP) <= F.lit(int(neg_max_gap_days)))
-    pos = df.where(F.col("label") == 1)
-    neg = df.where(neg_cond)
-    counts = df.agg(F.count(F.when(F.col("label") == 1, 1)).alias("p"),
-                    F.count(F.when(neg_cond, 1)).alias("n")).first()     # one row
-    n_pos, n_neg = int(counts["p"]), int(counts["n"])
-    if n_pos == 0 or n_neg == 0:
-        return df
-    target = min(n_neg, int(n_pos * neg_pos_ratio))
+    group = F.when(F.col("label") == 1, POS).when(neg_cond, NEG)
+
+    def quotas(n: dict) -> dict:
+        return {g: n[g] if g == POS else min(n[NEG], int(n[POS] * neg_pos_ratio)) for g in n} if len(n) == 2 else {}
+
     if not by_user:
-        neg_s = take_first(neg, target, _order(seed, neg), lead=_lead(seed))
-    else:
-        neg_s = _by_user(neg, n_neg, target, seed)
-    return pos.unionByName(neg_s)
+        cut = first_of_groups(df, group, _key(seed), _then(df), quotas)
+        return cut.of(df) if len(cut.totals) == 2 else df
+    n = {r["g"]: r["c"] for r in df.groupBy(group.alias("g")).agg(F.count(F.lit(1)).alias("c")).where("g IS NOT NULL").collect()}
+    if len(n) < 2:
+        return df
+    return df.where(group == POS).unionByName(_by_user(df.where(group == NEG), n[NEG], quotas(n)[NEG], seed))
 
 
 def _by_user(neg: DataFrame, n_neg: int, target: int, seed: int) -> DataFrame:
     """Per user ``round_half_even(cnt / #neg * target)`` (0 skipped, capped at
-    cnt); a total above target is cut to target; nothing allocated -> N1."""
+    cnt); a total above target is cut to target; nothing allocated -> N1.
+
+    A user's rows are ranked in cells of their hash prefix, so a user with a
+    third of the rows is ranked by many tasks; the cells' counts give each cell
+    what it has to deliver."""
+    key, then = _key(seed), _then(neg)
     counts = neg.groupBy("user_id").agg(F.count(F.lit(1)).alias("_cnt"))
     take = F.bround(F.col("_cnt").cast("double") / F.lit(float(n_neg)) * F.lit(float(target)), 0).cast("bigint")
-    alloc = counts.select("user_id", F.least(take, F.col("_cnt")).alias("_take")).where(F.col("_take") > 0)
-    ranked = row_number_within(neg.join(alloc, "user_id"), ["user_id"], _order(seed, neg), "_rn")
-    picked = ranked.where(F.col("_rn") <= F.col("_take")).drop("_rn", "_take")
-    n_picked = picked.count()
-    if n_picked == 0:
-        return take_first(neg, target, _order(seed, neg), lead=_lead(seed))
-    if n_picked > target:
-        picked = take_first(picked, target, _order(seed, picked), lead=_lead(seed))
-    return picked
+    alloc = counts.select("user_id", F.least(take, F.col("_cnt")).alias("_take"),
+                          F.when(F.col("_cnt") > CELL_ROWS, 256).otherwise(1).alias("_cells")).where(F.col("_take") > 0)
+    alloc = materialize(alloc, "user-shares")
+    marked = neg.join(alloc, "user_id").withColumn("_k", key)
+    # Equal shares of the hash: cell c of a heavy user holds its c-th 256th.
+    marked = marked.withColumn("_c", F.floor(prefix(F.col("_k")) * F.col("_cells") / F.lit(16 ** 4)).cast("int"))
+    heavy = alloc.where("_cells > 1")
+    ranked = marked.withColumn("_r", F.row_number().over(Window.partitionBy("user_id", "_c").orderBy("_k", *then)))
+    if heavy.limit(1).count():
+        cells = marked.where("_cells > 1").groupBy("user_id", "_c").agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.partitionBy("user_id").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+        bases = cells.select("user_id", "_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+        ranked = ranked.join(bases, ["user_id", "_c"], "left").withColumn("_r", F.col("_r") + F.coalesce("_base", F.lit(0)))
+    picked = ranked.where(F.col("_r") <= F.col("_take")).select(*neg.columns)
+    picked = materialize(picked, "user-picks")              # of the size of the result
+    cut = first_of_groups(picked, F.lit(NEG), key, then, lambda n: {g: target for g in n})
+    if not cut.totals:
+        return first_of_groups(neg, F.lit(NEG), key, then, lambda n: {g: target for g in n}).of(neg)
+    return cut.of(picked)
 
 
 def downsample_negatives_bucketed(df: DataFrame, neg_pos_ratio: float = 20,
@@ -79,31 +99,23 @@ def downsample_negatives_bucketed(df: DataFrame, neg_pos_ratio: float = 20,
     from each bucket that has positives (none from buckets without positives).
 
     Input unchanged when a class is empty or the gap column is missing;
-    nothing drawn at all -> N1.
+    nothing drawn at all -> N1. All buckets are cut by one selection.
     """
     if GAP not in df.columns:
         return df
-    b = df.withColumn("_b", bucket_index(GAP, bounds))
-    rows = b.groupBy("_b", "label").agg(F.count(F.lit(1)).alias("c")).collect()  # <= 2 (len+1) rows
-    pos_b = {r["_b"]: r["c"] for r in rows if r["label"] == 1}
-    neg_b = {r["_b"]: r["c"] for r in rows if r["label"] == 0}
-    if not pos_b or not neg_b:
+    label = F.col("label")
+    group = F.when(label.isin(0, 1), 2 * bucket_index(GAP, bounds) + label)       # even: negatives
+
+    def quotas(n: dict) -> dict:
+        share = {g - 1: int(n[g] * neg_pos_ratio) for g in n if g % 2}
+        return {g: n[g] if g % 2 else min(share.get(g, 0), n[g]) for g in n}
+
+    cut = first_of_groups(df, group, _key(seed), _then(df), quotas)
+    if len({g % 2 for g in cut.totals}) < 2:
         return df
-    quota = {}
-    for bucket, pc in pos_b.items():
-        need = int(pc * neg_pos_ratio)
-        if neg_b.get(bucket, 0) == 0 or need <= 0:
-            continue
-        quota[bucket] = min(need, neg_b[bucket])
-    if not quota:
+    if not any(q for g, q in quotas(cut.totals).items() if g % 2 == 0):
         return downsample_negatives(df, neg_pos_ratio=neg_pos_ratio, seed=seed)
-    # One exact hash-order cut per bucket (at most len(bounds) + 1 of them);
-    # the pre-filter ranks about 4 x quota rows of a bucket, whatever its size.
-    out = b.where(F.col("label") == 1)
-    for bucket, n in sorted(quota.items()):
-        negs = b.where((F.col("label") == 0) & (F.col("_b") == F.lit(int(bucket))))
-        out = out.unionByName(take_first(negs, int(n), _order(seed, negs), lead=_lead(seed)))
-    return out.drop("_b")
+    return cut.of(df)
 
 
 def downsample_chained(df: DataFrame, neg_pos_ratio: float = 20, neg_max_gap_days: int | None = None,
@@ -120,27 +132,18 @@ def sample_size(n_users: int, frac: float, floor: int = 0) -> int:
 def user_sample(df: DataFrame, frac: float, seed: int = 42, floor: int = 0) -> DataFrame:
     """N6 + J14: ``min(#users, max(floor, 1, int(#users * frac)))`` users, all
     their rows (the original's setting: a share of 0.02, a floor of 20000)."""
-    users = df.select("user_id").distinct()
-    n_users = users.count()
-    n = sample_size(n_users, frac, floor)
-    if n >= n_users:
-        return df
     key = F.md5(F.concat_ws("_", F.col("user_id").cast("string"), F.lit(str(seed))))
-    order = [key, F.col("user_id")]
-    lead = (F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint"), False)
-    chosen = take_first(users, n, order, lead=lead)
-    return df.join(chosen, "user_id", "left_semi")
+    users = df.select("user_id").distinct()
+    cut = first_of_groups(users, F.lit(0), key, ["user_id"],
+                          lambda n: {g: sample_size(c, frac, floor) for g, c in n.items()})
+    return df.where(cut.keep) if cut.totals else df           # the cut is on the user alone: no join
 
 
 def balanced_sample(df: DataFrame, per_class: int, seed: int = 42) -> DataFrame:
-    """``min(per_class, #class)`` rows of each label (0 and 1).
-
-    Each class is an exact cut in hash order; the hash pre-filter means only
-    about 4 x per_class rows of a class are ranked, however large it is.
-    """
-    parts = [take_first(df.where(F.col("label") == c), int(per_class), _order(seed, df), lead=_lead(seed))
-             for c in (0, 1)]
-    return parts[0].unionByName(parts[1])
+    """``min(per_class, #class)`` rows of each label (0 and 1), both classes
+    cut by one selection."""
+    group = F.when(F.col("label").isin(0, 1), F.col("label"))
+    return first_of_groups(df, group, _key(seed), _then(df), lambda n: {g: int(per_class) for g in n}).of(df)
 
 
 def group_kfold(df: DataFrame, n_splits: int = 5, seed: int = 42, col: str = "fold") -> DataFrame:
@@ -148,10 +151,60 @@ def group_kfold(df: DataFrame, n_splits: int = 5, seed: int = 42, col: str = "fo
     return df.withColumn(col, hash_bucket(seed, n_splits, "user_id"))
 
 
+def deal_sizes(histogram: Sequence[tuple[int, int]], k: int) -> list[tuple[int, int, int, list[int]]]:
+    """How a greedy splitter deals groups to k folds, largest group first, each to
+    the fold with the fewest rows (ties: the lower fold), from the number of
+    groups of each size alone.
+
+    Groups of one size are dealt in rounds: the folds less than one group above
+    the emptiest take one each, in the order of their rows, until a further fold
+    joins them. Returns (size, first, last, folds): the groups of a size with
+    ranks first..last take ``folds`` in turn."""
+    load, out = [0] * k, []
+    for size, groups in sorted(histogram, reverse=True):
+        rank = 0
+        while rank < groups:
+            low = min(load)
+            turn = sorted((f for f in range(k) if load[f] < low + size), key=lambda f: (load[f], f))
+            rest = [load[f] for f in range(k) if load[f] >= low + size]
+            rounds = min((x - low) // size for x in rest) if rest else groups
+            took = min(groups - rank, rounds * len(turn))
+            out.append((size, rank, rank + took - 1, turn))
+            for at, f in enumerate(turn):
+                load[f] += size * (took // len(turn) + (at < took % len(turn)))
+            rank += took
+    return out
+
+
+#: Rows of the dealing table up to which it is broadcast.
+FEW_SIZES = 100_000
+
+
+def group_kfold_balanced(df: DataFrame, n_splits: int = 5, seed: int = 42, col: str = "fold") -> DataFrame:
+    """N8 with folds as even as a greedy splitter's: users by falling number of
+    rows (then hash order), each to the smallest fold.
+
+    Only the histogram of sizes reaches the driver (with n rows at most
+    sqrt(2n) sizes); users find their fold by size and rank, and the rows theirs
+    by user, a join that AQE splits for a user with many rows."""
+    key = F.md5(F.concat_ws("_", F.col("user_id").cast("string"), F.lit(str(seed))))
+    users = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("_size"))
+    ranked = materialize(row_number_within(users.withColumn("_k", key), ["_size"], ["_k", "user_id"], "_rank"), "users-by-size")
+    sizes = [(r["_size"], r["n"]) for r in ranked.groupBy("_size").agg(F.count(F.lit(1)).alias("n")).collect()]
+    dealt = deal_sizes(sizes, int(n_splits))
+    table = df.sparkSession.createDataFrame(dealt, "_size long, _first long, _last long, _turn array<int>")
+    if len(dealt) <= FEW_SIZES:
+        table = F.broadcast(table)
+    at = F.col("_rank") - 1
+    folds = (ranked.join(table, "_size").where(at.between(F.col("_first"), F.col("_last")))
+             .select("user_id", F.element_at("_turn", (F.pmod(at - F.col("_first"), F.size("_turn")) + 1).cast("int")).alias(col)))
+    return df.join(folds, "user_id").select(*df.columns, col)
+
+
 def stratified_kfold(df: DataFrame, n_splits: int = 5, seed: int = 42, col: str = "fold") -> DataFrame:
     """Rows of each label dealt round-robin in hash order: every fold gets
     floor or ceil of 1/k of each class."""
-    ranked = row_number_within(df, ["label"], _order(seed, df), "_rn")
+    ranked = rank_cells(df, F.col("label"), _key(seed), _then(df), "_rn")
     return ranked.withColumn(col, F.pmod(F.col("_rn") - 1, F.lit(int(n_splits))).cast("int")).drop("_rn")
 
 
