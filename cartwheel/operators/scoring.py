@@ -1,64 +1,59 @@
-"""Model scoring on Spark ML: M1-M9, A24.
-
-A gradient-boosted tree classifier (``pyspark.ml.classification.GBTClassifier``)
-replaces the original single-machine booster; trees are grown by Spark over
-the partitioned training set. Differences that remain by design: Spark grows
-depth-wise trees (``maxDepth``, not a leaf count), stops early on validation
-*loss* (``validationTol``, no patience count) and has no L2 leaf penalty.
-
-* Folds come from ``sampling.group_kfold`` / ``stratified_kfold``.
-* The training frame is checkpointed once (reliable checkpoint in the
-  cluster's ``spark.checkpoint.dir``) before the fold loop, so every fold
-  reads materialised data and survives executor loss.
-* Averaging the fold models over a scoring set is a chain of ``transform``
-  calls -- narrow projections in one pass, no union + groupBy.
+"""Model scoring: M1-M9, A24.
+
+Folds of boosted trees (``operators.boosting``: Newton steps on Spark ML trees
+with an L2 leaf penalty, early stopping with patience on the held-out fold's
+AUC). One difference remains by design: trees grow level by level (``max_depth``),
+not leaf by leaf.
+
+* Folds come from ``sampling.group_kfold`` / ``group_kfold_balanced`` /
+  ``stratified_kfold``; they are trained side by side from one written frame.
+* Out-of-fold scores take one pass in which each row meets its own fold's model,
+  the mean over the fold models another.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.operators import sampling
-from cartwheel.session import ensure_checkpoint_dir
+from cartwheel.operators import boosting, sampling
+from cartwheel.operators.boosting import Booster, BoostParams
+from cartwheel.session import materialize
 
-# Parameter presets (M2), mapped from the original booster's settings:
-# default: 64 leaves, learning rate 0.05; fast: 31 leaves, 0.1, min 200 rows per leaf.
+# Presets (M2). Trees, learning rate, row and feature shares, L2
+# penalty and rows of a leaf are the original's; 64 and 31 leaves become depths 6 and 5.
 PRESETS = {
-    "default": {"maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
-                "featureSubsetStrategy": "0.8", "minInstancesPerNode": 1, "maxIter": 100},
-    "fast": {"maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8,
-             "featureSubsetStrategy": "0.8", "minInstancesPerNode": 200, "maxIter": 60},
+    "default": BoostParams(max_iter=2000, max_depth=6, learning_rate=0.05, subsample=0.8, feature_share=0.8,
+                           min_rows_leaf=20, reg_lambda=1.0),
+    "fast": BoostParams(max_iter=1500, max_depth=5, learning_rate=0.1, subsample=0.8, feature_share=0.8,
+                        min_rows_leaf=200, reg_lambda=1.0),
 }
-
-VEC = "_features"
-ROW_ID = "_row_id"
+PATIENCE = 100                     # early-stopping rounds; the original's INI sets 200
+# --- end of fixed values ---
 
 
 @dataclass
 class KFoldResult:
     oof: DataFrame                 # training rows + fold + pred_prob (out of fold)
     pred: DataFrame                # scoring rows + pred_prob (mean over fold models)
-    importance: DataFrame          # feature, importance (summed over folds)
-    models: list = field(default_factory=list)
+    importance: DataFrame          # feature, importance: raw gain summed over folds
+    nodes: DataFrame               # the folds' trees, a row a node
+    models: list[Booster] = field(default_factory=list)
     feature_cols: list = field(default_factory=list)
 
 
-def assemble(df: DataFrame, feature_cols: Sequence[str], out: str = VEC) -> DataFrame:
-    """feature vector; nulls/NaN kept (trees route them)."""
+def assemble(df: DataFrame, feature_cols: Sequence[str], out: str) -> DataFrame:
+    """feature vector; nulls/NaN kept."""
     return VectorAssembler(inputCols=list(feature_cols), outputCol=out, handleInvalid="keep").transform(df)
 
 
-def positive_probability(df: DataFrame, prob_col: str = "probability") -> DataFrame:
-    return df.withColumn("pred_prob", vector_to_array(F.col(prob_col))[1])
-
-
 def balanced_weights(df: DataFrame, label: str = "label", out: str = "_w") -> DataFrame:
     """M4: 'balanced' class weights, ``n / (2 * n_class)`` per row."""
     row = df.agg(F.count(F.lit(1)).alias("n"),
@@ -70,87 +65,60 @@ def balanced_weights(df: DataFrame, label: str = "label", out: str = "_w") -> Da
     return df.withColumn(out, F.when(F.col(label) == 1, F.lit(wp)).otherwise(F.lit(wn)))
 
 
-def _classifier(preset: str, max_iter: int | None, seed: int, weight_col: str | None,
-                validation_col: str | None) -> GBTClassifier:
-    params = dict(PRESETS[preset])
-    if max_iter is not None:
-        params["maxIter"] = int(max_iter)
-    gbt = GBTClassifier(labelCol="label", featuresCol=VEC, seed=seed, **params)
-    if weight_col:
-        gbt = gbt.setWeightCol(weight_col)
-    if validation_col:
-        gbt = gbt.setValidationIndicatorCol(validation_col)
-        gbt.set(gbt.validationTol, 0.01)
-    return gbt
-
-
-def score_mean(models: Sequence[GBTClassificationModel], df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
-    """M6 / M7: mean positive probability of all models, as chained projections."""
-    out = assemble(df, feature_cols)
-    cols = []
-    for i, m in enumerate(models):
-        m = m.copy()
-        m.setFeaturesCol(VEC).setProbabilityCol(f"_prob{i}").setRawPredictionCol(f"_raw{i}") \
-            .setPredictionCol(f"_pred{i}")
-        out = m.transform(out).withColumn(f"_p{i}", vector_to_array(F.col(f"_prob{i}"))[1]) \
-            .drop(f"_prob{i}", f"_raw{i}", f"_pred{i}")
-        cols.append(F.col(f"_p{i}"))
-    mean = sum(cols[1:], cols[0]) / F.lit(float(len(cols)))
-    return out.withColumn("pred_prob", mean).drop(VEC, *[f"_p{i}" for i in range(len(models))])
+def score_mean(models: Sequence[Booster], df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
+    """M6 / M7: mean positive probability of all models, in one projection."""
+    return df.withColumn("pred_prob", boosting.probability(models, feature_cols))
 
 
 def kfold_train_predict(train: DataFrame, pred: DataFrame | None, feature_cols: Sequence[str],
                         n_splits: int = 5, group_kfold: bool = True, seed: int = 42,
                         preset: str = "fast", max_iter: int | None = None,
-                        early_stopping: bool = True, class_weight: str | None = "balanced") -> KFoldResult:
+                        early_stopping: int = PATIENCE, class_weight: str | None = "balanced",
+                        balanced_groups: bool = False, parallelism: int = 4) -> KFoldResult:
     """M1-M6: k-fold training; out-of-fold scores, fold-mean prediction, importances.
 
-    Early stopping validates on the held-out fold itself (as the original
-    does); without it each fold trains on the other folds only.
+    ``early_stopping`` rounds of patience on the held-out fold's AUC (as the
+    original does; 0: never), ``max_iter`` trees at most (None: the preset's).
     """
-    feature_cols = list(feature_cols)
-    folded = (sampling.group_kfold if group_kfold else sampling.stratified_kfold)(train, n_splits, seed)
-    folded = folded.withColumn(ROW_ID, F.monotonically_increasing_id())
+    feature_cols, n_splits = list(feature_cols), int(n_splits)
+    if not group_kfold:
+        folded = sampling.stratified_kfold(train, n_splits, seed)
+    elif balanced_groups:
+        folded = sampling.group_kfold_balanced(train, n_splits, seed)
+    else:
+        folded = sampling.group_kfold(train, n_splits, seed)
     weight = None
     if class_weight == "balanced":
-        folded = balanced_weights(folded)
-        weight = "_w"
-    ensure_checkpoint_dir(train.sparkSession)
-    # Lineage cut: the fold loop reads this k times; a reliable checkpoint
-    # also pins the row ids.
-    base = assemble(folded, feature_cols).checkpoint(eager=True)
-
-    models, oof_parts, imps = [], [], []
-    for f in range(int(n_splits)):
-        held = F.col("fold") == F.lit(f)
-        if early_stopping:
-            fit_df = base.withColumn("_is_val", held)
-            gbt = _classifier(preset, max_iter, seed, weight, "_is_val")
-        else:
-            fit_df = base.where(~held)
-            gbt = _classifier(preset, max_iter, seed, weight, None)
-        if fit_df.where(~held).limit(1).count() == 0:
+        folded, weight = balanced_weights(folded), "_w"
+    base = materialize(folded, "folds")                     # every fold reads it
+    sizes = {r["fold"]: r["count"] for r in base.groupBy("fold").count().collect()}          # a row a fold
+    for f in range(n_splits):
+        if sum(n for g, n in sizes.items() if g != f) == 0:
             raise ValueError(f"fold {f} has no training rows: fewer users or rows than folds")
-        model = gbt.fit(fit_df)
-        models.append(model)
-        scored = positive_probability(model.transform(base.where(held)))
-        oof_parts.append(scored.drop(VEC, "rawPrediction", "probability", "prediction"))
-        imp = model.featureImportances.toArray().tolist()   # one value per feature
-        imps.append([(c, float(v), f) for c, v in zip(feature_cols, imp)])
-
-    oof = oof_parts[0]
-    for part in oof_parts[1:]:
-        oof = oof.unionByName(part)
-    oof = oof.drop(ROW_ID, "_w")
-    rows = [r for fold_rows in imps for r in fold_rows]
+    params = PRESETS[preset] if max_iter is None else replace(PRESETS[preset], max_iter=int(max_iter))
+
+    def one(f: int) -> Booster:
+        return boosting.fit(base, feature_cols, params, weight=weight, held=F.col("fold") == F.lit(f),
+                            patience=int(early_stopping), seed=seed + 1000 * f)
+
+    with ThreadPool(max(1, min(parallelism, n_splits))) as pool:
+        models = pool.map(inheritable_thread_target(train.sparkSession)(one), range(n_splits))
+
+    oof = base.withColumn("pred_prob", boosting.probability(models, feature_cols, fold="fold")).drop("_w")
     spark = train.sparkSession
-    per_fold = spark.createDataFrame(rows, "feature string, importance double, fold int")
-    importance = per_fold.groupBy("feature").agg(F.sum("importance").alias("importance"))
-    pred_scores = score_mean(models, pred, feature_cols) if pred is not None else None
-    return KFoldResult(oof=oof, pred=pred_scores, importance=importance, models=models,
+    rows = [(f, *row) for f, m in enumerate(models) for row in m.node_rows()]
+    nodes = spark.createDataFrame(rows, f"fold int, {boosting.NODE_SCHEMA}")
+    return KFoldResult(oof=oof, pred=score_mean(models, pred, feature_cols) if pred is not None else None,
+                       importance=boosting.gain_importance(nodes, feature_cols), nodes=nodes, models=models,
                        feature_cols=feature_cols)
 
 
+def fold_history(result: KFoldResult) -> DataFrame:
+    """Each fold's held-out AUC by iteration, and whether the ensemble was cut there."""
+    rows = [(f, i, auc, i == m.best_iteration) for f, m in enumerate(result.models) for i, auc in m.history]
+    return result.oof.sparkSession.createDataFrame(rows, "fold int, iteration int, auc double, best boolean")
+
+
 def pruned_features(importance: DataFrame) -> DataFrame:
     """M8 as rows: ``feature, kept``; a feature stays if any fold used it."""
     return importance.select("feature", (F.col("importance") > 0).alias("kept"))
