@@ -17,15 +17,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.exprs import days_since, lit_date, safe_div
+from cartwheel.functions.prefilter import maybe_in
 from cartwheel.schemas import (
     FEATURE_COLUMNS, ITEM_FEATURES, NEVER_DAYS, PAIR_FEATURES, USER_CATEGORY_FEATURES,
     USER_FEATURES, USER_RECENT_LONG, USER_RECENT_SHORT,
 )
-from cartwheel.session import materialize
+from cartwheel.session import materialize_bucketed
 from cartwheel.sources.daily_logs import actions_before
 from cartwheel.sources.items import item_set
 
 
+PAIR = ("user_id", "item_id")
+
+
 def _d(x) -> _dt.date:
     if isinstance(x, _dt.date):
         return x
@@ -41,10 +45,12 @@ def reference_day(label_date, is_training: bool) -> _dt.date:
 
 def feature_population(actions: DataFrame, items: DataFrame, candidates: DataFrame, ref) -> DataFrame:
     """F5 + F1 + F2 as a daily grain: ``dt < ref``, item in P, user among
-    candidate users. The log is reduced to the grain first, so it is combined
-    in the map tasks and spread by all four keys; only the compact grain meets
-    the item and user sets."""
-    return grain_population(daily_grain(actions_before(actions, _d(ref))), items, candidates, ref)
+    candidate users. Rows of other items and users mostly go in the tasks that
+    read them (``functions.prefilter``); the log is then reduced to the grain, so
+    it is combined in the map tasks and spread by all four keys; only the compact
+    grain meets the exact item and user sets."""
+    log = maybe_in(maybe_in(actions_before(actions, _d(ref)), items, "item_id"), candidates, "user_id")
+    return grain_population(daily_grain(log), items, candidates, ref)
 
 
 def daily_grain(population: DataFrame) -> DataFrame:
@@ -69,24 +75,59 @@ def _z(c: str):
     return F.coalesce(F.col(c), F.lit(0)).cast("bigint")
 
 
+#: Days of a mask (a long without its sign), and masks of a user at most.
+MASK_DAYS, MAX_MASKS = 63, 64
+
+
+def day_masks(ref, words: int) -> list:
+    """The days before ``ref`` on which a key was seen, as ``words`` bit masks:
+    bit k of mask j is the day ``ref - 1 - (MASK_DAYS j + k)``. Masks of parts of
+    the rows combine by ``bit_or``, so days are counted without a shuffle by day."""
+    back = F.datediff(lit_date(_d(ref)), F.col("dt")) - 1
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(back, F.lit(MASK_DAYS)))
+    word = F.floor(back / F.lit(MASK_DAYS))
+    return [F.bit_or(F.when(word == j, bit).otherwise(F.lit(0).cast("long"))).alias(f"_days_{j}") for j in range(words)]
+
+
+def mask_days(words: int):
+    """How many days the masks hold."""
+    return sum((F.bit_count(f"_days_{j}") for j in range(words)), F.lit(0)).cast("bigint")
+
+
+def _mask_words(daily: DataFrame, ref) -> int:
+    """Masks that the log's history needs (its first day is one small aggregate)."""
+    first = daily.agg(F.min("dt")).first()[0]
+    return max(1, -(-(_d(ref) - first).days // MASK_DAYS)) if first is not None else 1
+
+
 def user_aggregates(daily: DataFrame, ref) -> DataFrame:
-    """A1-A6 raw aggregates per user (only users with activity). Days and
-    categories are counted from rows reduced to them: no row is expanded."""
-    days = daily.groupBy("user_id", "dt").agg(*[F.sum(c).alias(c) for c in ("n", "n1", "n2", "n3", "n4")])
-    per_user = days.groupBy("user_id").agg(
+    """A1-A6 raw aggregates per user (only users with activity): one aggregate
+    whose day masks combine in the map tasks. A history too long for the masks
+    (eleven years) counts days from rows reduced to (user, day)."""
+    words = _mask_words(daily, ref)
+    if words > MAX_MASKS:
+        days = daily.groupBy("user_id", "dt").agg(*[F.sum(c).alias(c) for c in ("n", "n1", "n2", "n3", "n4")])
+        per_user = _user_sums(days, ref, [F.count("dt").alias("active_days")])
+    else:
+        masks = _user_sums(daily, ref, day_masks(ref, words))
+        per_user = masks.withColumn("active_days", mask_days(words)).drop(*(f"_days_{j}" for j in range(words)))
+    categories = (daily.select("user_id", "item_category").distinct()
+                  .groupBy("user_id").agg(F.count("item_category").alias("unique_categories")))
+    return per_user.join(categories, "user_id")
+
+
+def _user_sums(rows: DataFrame, ref, more: list) -> DataFrame:
+    return rows.groupBy("user_id").agg(
         F.sum("n").alias("user_total_actions"),
         F.sum("n1").alias("behavior_1_count"),
         F.sum("n2").alias("behavior_2_count"),
         F.sum("n3").alias("behavior_3_count"),
         F.sum("n4").alias("behavior_4_count"),
-        F.count("dt").alias("active_days"),
+        *more,
         F.sum(F.when(_recent(ref, USER_RECENT_LONG), F.col("n")).otherwise(0)).cast("bigint").alias("recent_7d_actions"),
         F.sum(F.when(_recent(ref, USER_RECENT_SHORT), F.col("n")).otherwise(0)).cast("bigint").alias("recent_3d_actions"),
         F.max("dt").alias("_u_last"),
     )
-    categories = (daily.select("user_id", "item_category").distinct()
-                  .groupBy("user_id").agg(F.count("item_category").alias("unique_categories")))
-    return per_user.join(categories, "user_id")
 
 
 def user_columns(ref) -> list:
@@ -268,10 +309,11 @@ def build_features(actions: DataFrame | None, items: DataFrame, candidates: Data
         daily = grain_population(grain, items, candidates, ref)
     else:
         # Four aggregates read the daily grain: write it once rather than scan
-        # the log four times. Read back, it has no partitioning by user or item
-        # that an aggregate could stay on, so each combines before its shuffle.
+        # the log four times. Bucketed by pair, it gives the pair aggregates and
+        # their join without a shuffle; hot users and items stay spread, and the
+        # other aggregates combine before their shuffle.
         daily = feature_population(actions, items, candidates, ref)
-        daily = materialize(daily, "daily-grain") if materialize_daily else daily
+        daily = materialize_bucketed(daily, "daily-grain", PAIR) if materialize_daily else daily
 
     id_cols = ["user_id", "item_id"] + (["label"] if "label" in candidates.columns else [])
     # User and user-category aggregates share one table keyed by the needed

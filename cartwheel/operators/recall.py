@@ -84,6 +84,59 @@ def pair_flags(actions: DataFrame, items: DataFrame, label_date) -> DataFrame:
     )
 
 
+#: Days a pair's masks look back: bit 0 is the label day, bit 14 the oldest day of recall.
+MASK_DAYS = STRONG_DAYS + 1
+MASKS = ("any_days", "strong_days", "buy_days")
+
+
+def pair_masks(actions: DataFrame, items: DataFrame, label_date) -> DataFrame:
+    """The days on which each pair was seen, as bit masks (bit k: k days before
+    the label day): any behaviour, collect / cart, purchase. From these every
+    recall flag of the day follows, and those of the next day (``roll_masks``)."""
+    L = _d(label_date)
+    a = in_target(actions_between(actions, L - _dt.timedelta(days=STRONG_DAYS), L), items)
+    return _masks_of(a, L)
+
+
+def _masks_of(rows: DataFrame, label_date: _dt.date) -> DataFrame:
+    bit = F.call_function("shiftleft", F.lit(1), F.datediff(lit_date(label_date), F.col("dt")))
+    strong = F.col("behavior_type").isin(*STRONG_BEHAVIOURS)
+
+    def days(cond):
+        return F.bit_or(F.when(cond, bit).otherwise(F.lit(0)))
+
+    return rows.groupBy("user_id", "item_id").agg(
+        days(F.lit(True)).alias("any_days"), days(strong).alias("strong_days"),
+        days(F.col("behavior_type") == PURCHASE).alias("buy_days"))
+
+
+def roll_masks(masks: DataFrame, actions: DataFrame, items: DataFrame, new_label_date) -> DataFrame:
+    """The masks of ``new_label_date`` from those of the day before: every mask
+    moves up a day, the oldest day falls out, and the new day's actions (the only
+    ones read) set bit 0. Pairs without a day left are dropped. The item subset
+    has to be the one the masks were built with."""
+    day = _d(new_label_date)
+    full = (1 << MASK_DAYS) - 1
+    old = masks.select("user_id", "item_id", *(F.shiftleft(m, 1).bitwiseAND(F.lit(full)).alias(m) for m in MASKS))
+    new = _masks_of(in_target(actions_between(actions, day, day), items), day)
+    both = old.where(F.col("any_days") != 0).unionByName(new)
+    return both.groupBy("user_id", "item_id").agg(*(F.bit_or(m).alias(m) for m in MASKS))
+
+
+def flags_of_masks(masks: DataFrame) -> DataFrame:
+    """C1 + C2 from the masks: the table of ``pair_flags``."""
+    def days(mask, first, last):
+        return F.col(mask).bitwiseAND(F.lit(sum(1 << k for k in range(first, last + 1)))) != 0
+
+    return masks.select(
+        "user_id", "item_id",
+        days("any_days", 1, RECENT_DAYS).alias("t_recent"),
+        days("strong_days", 1, STRONG_DAYS).alias("t_strong"),
+        days("buy_days", 0, 0).alias("t_label"),
+        days("any_days", 0, RECENT_DAYS - 1).alias("p_recent"),
+        days("strong_days", 0, STRONG_DAYS - 1).alias("p_strong"))
+
+
 def _pairs(flags: DataFrame, cond) -> DataFrame:
     return flags.where(cond).select("user_id", "item_id")
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,8 +81,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _SCOPES: list[list[str]] = []
 
 
+# Bucketed tables by folder: a reader of the folder can use their buckets.
+_TABLES: dict[str, str] = {}
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a table from the file system that holds it."""
+    if path in _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop(path)}")
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
@@ -100,6 +107,43 @@ def scratch_scope(spark: SparkSession):
             remove(spark, path)
 
 
+def write_bucketed(df: DataFrame, path: str, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Writes ``df`` in buckets of its key columns and returns the table: joins and
+    aggregates on all of the columns need no shuffle of it. One file a bucket.
+    The number of buckets is that of a shuffle, unless given. Keys are spread by
+    all the columns, so bucketing by (user, item) splits a hot user's rows."""
+    spark = df.sparkSession
+    n = int(buckets or spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    name = f"cartwheel_{uuid.uuid4().hex}"
+    remove(spark, path)
+    (df.repartition(n, *columns).write.format("parquet").bucketBy(n, *columns).sortBy(*columns)
+     .option("path", path).saveAsTable(name))
+    _TABLES[path] = name
+    return spark.table(name)
+
+
+def bucketed_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The bucketed table that this session wrote to a folder, if it did."""
+    name = _TABLES.get(path)
+    return spark.table(name) if name and spark.catalog.tableExists(name) else None
+
+
+def read_bucketed(spark: SparkSession, path: str, schema, columns: Sequence[str], buckets: int) -> DataFrame:
+    """A bucketed table written by another session."""
+    name = f"cartwheel_{uuid.uuid4().hex}"
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    keys = ", ".join(f"`{c}`" for c in columns)
+    place = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+              f"INTO {int(buckets)} BUCKETS LOCATION '{place}'")
+    return spark.table(name)
+
+
+def materialize_bucketed(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
+    """``materialize`` into buckets of key columns."""
+    return write_bucketed(df, scratch_path(df.sparkSession, name), columns)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read
     it back: a lineage cut for intermediates that several branches reuse

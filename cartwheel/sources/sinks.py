@@ -7,20 +7,30 @@ them funnels the data through the driver or a single task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.schemas import CSV_RENAMES
+from cartwheel.session import bucketed_table, write_bucketed
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """S6 (Parquet form): stage output between jobs; also the lineage cut."""
-    df.write.mode(mode).parquet(path)
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", bucket_by: Sequence[str] = ()) -> None:
+    """S6 (Parquet form): stage output between jobs; also the lineage cut. With
+    ``bucket_by`` the files are buckets of those columns: a later stage of the
+    session that joins on them doesn't shuffle the table; any other reader sees
+    plain Parquet."""
+    if bucket_by:
+        write_bucketed(df, path, bucket_by)
+    else:
+        df.write.mode(mode).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """S5 (Parquet form)."""
-    return spark.read.parquet(path)
+    found = bucketed_table(spark, path)
+    return found if found is not None else spark.read.parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, original_names: bool = True, mode: str = "overwrite") -> None:
