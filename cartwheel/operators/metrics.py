@@ -134,6 +134,29 @@ def metric_report(df: DataFrame, ks: Sequence[int] = DEFAULT_KS) -> DataFrame:
     return stacked.unionByName(a)
 
 
+def fold_report(oof: DataFrame, k: int = 5) -> DataFrame:
+    """Per fold: ``fold, auc, precision, recall, f1`` (the last three at ``k``,
+    means over the fold's users; a user lies in one fold or is ranked in each)."""
+    ranked = top_k_per_group(oof, ["fold", "user_id"], [F.col("pred_prob").desc(), F.col("item_id")], k)
+    y = F.col("label").cast("double")
+    hits = ranked.groupBy("fold", "user_id").agg(F.sum(y).alias("hits"))
+    users = (oof.groupBy("fold", "user_id").agg(F.sum(y).alias("npos")).join(hits, ["fold", "user_id"]).groupBy("fold")
+             .agg(F.avg(F.col("hits") / F.lit(float(k))).alias("precision"),
+                  F.avg(F.when(F.col("npos") > 0, F.col("hits") / F.col("npos")).otherwise(0.0)).alias("recall")))
+    p, r = F.col("precision"), F.col("recall")
+    users = users.withColumn("f1", F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0)))
+    by_score = oof.groupBy("fold", F.col("pred_prob").alias("s")).agg(
+        F.count(F.when(F.col("label") == 1, 1)).alias("pos"), F.count(F.when(F.col("label") != 1, 1)).alias("neg"))
+    # Distinct scores of all folds in one order: what lies below in a fold is the sum before it, less the fold's start.
+    cum = global_cum_sum(by_score, ["fold", "s"], "neg", "below")
+    start = cum.groupBy("fold").agg(F.min("below").alias("start"))
+    sums = cum.join(F.broadcast(start), "fold").groupBy("fold").agg(
+        F.sum(F.col("pos") * (F.col("below") - F.col("start") + F.col("neg") / 2)).alias("wins"),
+        F.sum("pos").cast("double").alias("P"), F.sum("neg").alias("N"))
+    auc_ = F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("wins") / (F.col("P") * F.col("N")))
+    return sums.select("fold", auc_.alias("auc")).join(users, "fold").select("fold", "auc", "precision", "recall", "f1")
+
+
 def score_summary(df: DataFrame, threshold: float) -> DataFrame:
     """Share of scores >= t, positive rate, distinct users; one row."""
     return df.agg(
@@ -143,7 +166,7 @@ def score_summary(df: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def feature_importance(per_fold: DataFrame) -> DataFrame:
-    """Importance summed over folds, largest first (small frame)."""
-    return per_fold.groupBy("feature").agg(F.sum("importance").alias("importance")) \
+def feature_importance(importance: DataFrame) -> DataFrame:
+    """Raw gain summed over folds, largest first (small frame)."""
+    return importance.groupBy("feature").agg(F.sum("importance").alias("importance")) \
         .orderBy(F.col("importance").desc(), F.col("feature"))

@@ -6,6 +6,7 @@ bridged tables of a scale factor; ``oracle.ORACLE`` holds the matching SQL.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from cartwheel.operators import scoring as sc
 from cartwheel.operators import strategies as st
 from cartwheel.operators import tuning as tn
 from cartwheel.plans import fixture as fx
+from cartwheel.plans.params import Params
 from cartwheel.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -470,7 +472,7 @@ def q_stratified_kfold(spark, sf):
 # ---- model scoring (M1-M9, A24): rows-only, checked by invariants in tests ----
 
 MODEL_SPLITS = 3
-MODEL_ITERS = None            # the preset's
+MODEL_PATIENCE = 10           # rounds; the trees are the preset's at most
 
 
 def _kfold(spark, sf):
@@ -480,7 +482,7 @@ def _kfold(spark, sf):
         tf = inp.train_features()
         inp._memo["kfold"] = sc.kfold_train_predict(
             tf, inp.pred_features(), feat.feature_columns(tf), n_splits=MODEL_SPLITS, group_kfold=True,
-            seed=fx.SEED, preset="default", max_iter=MODEL_ITERS)
+            seed=fx.SEED, preset="default", early_stopping=MODEL_PATIENCE)
     return inp._memo["kfold"]
 
 
@@ -508,10 +510,31 @@ def q_pruned_features(spark, sf):
 @register("pca_embedding")
 def q_pca_embedding(spark, sf):
     tf = fx.load(spark, sf).train_features()
-    emb, _ = sc.pca_embedding(tf, feat.feature_columns(tf), per_class=500, seed=fx.SEED)
+    emb, _ = sc.pca_embedding(tf, feat.feature_columns(tf), per_class=Params.viz_sample_per_class, seed=fx.SEED)
     return emb
 
 
+@register("model_nodes")
+def q_model_nodes(spark, sf):
+    """The folds' trees: feature, raw gain, rows and leaf value of every node."""
+    return _kfold(spark, sf).nodes
+
+
+@register("fold_history")
+def q_fold_history(spark, sf):
+    """M3: held-out AUC by iteration, and where each fold's ensemble is cut."""
+    return sc.fold_history(_kfold(spark, sf))
+
+
+@register("prune_retrain")
+def q_prune_retrain(spark, sf):
+    """M8: what is kept of the features, and whether the rule retrains."""
+    res = _kfold(spark, sf)
+    kept, dropped = sc.drop_zero_importance(res.importance, res.feature_cols)
+    again = sc.should_retrain(kept, dropped, len(res.feature_cols))
+    return sc.pruned_features(res.importance).withColumn("retrain", F.lit(again))
+
+
 # ---- load-test log (lineitem join orders; performance and a second oracle) ----
 
 
@@ -589,3 +612,39 @@ def q_eval_forced_threshold(spark, sf):
 @register("eval_forced_topn")
 def q_eval_forced_topn(spark, sf):
     return _r9(tn.eval_forced(_scored_train(spark, sf), {"name": "topn"}, topn=50, strong_only=True))
+
+
+# ---- masks rolled by a day, balanced folds, fold metrics, missing columns and scores ----
+@register("recall_flags_rolled")
+def q_recall_flags_rolled(spark, sf):
+    """The label day's flags from the masks of the day before."""
+    inp = fx.load(spark, sf)
+    before = recall.pair_masks(inp.actions, inp.items, inp.label_date - dt.timedelta(days=1))
+    return recall.flags_of_masks(recall.roll_masks(before, inp.actions, inp.items, inp.label_date))
+
+
+@register("group_kfold_balanced")
+def q_group_kfold_balanced(spark, sf):
+    """N8 as the greedy splitter deals: largest user first, to the smallest fold."""
+    return sm.group_kfold_balanced(_tf(spark, sf), 5, fx.SEED).select("user_id", "item_id", "label", "fold")
+
+
+@register("fold_report")
+def q_fold_report(spark, sf):
+    """AUC, precision, recall and F1 at 5 of every fold."""
+    return _r9(mx.fold_report(sm.group_kfold(_scored_train(spark, sf), 3, fx.SEED)))
+
+
+@register("strong_pairs_missing_columns")
+def q_strong_pairs_missing_columns(spark, sf):
+    """F16: rule columns that the features lack count as 0."""
+    _, pf, _ = _pred(spark, sf)
+    return st.strong_pairs(pf.drop("recent_3d_actions", "ui_collect_count"))
+
+
+@register("cap_submission_unscored")
+def q_cap_submission_unscored(spark, sf):
+    """Recommendations without a score rank last, as 0."""
+    _, pf, res = _pred(spark, sf)
+    recs = st.two_stage(res, st.strong_pairs(pf), k=5, m=1)
+    return st.cap_submission(recs, st.prefilter(res, min_prob=0.6), fx.SUBMISSION_CAP_UNSCORED)

@@ -24,6 +24,7 @@ CAP_BACKFILL = 12
 HOT_TOP_BACKFILL = 5
 CART_MAX_ROWS = 20                      # reached by the first window, at every scale
 SUBMISSION_CAP = 40
+SUBMISSION_CAP_UNSCORED = 400            # more than the recommendations with a score, at every scale
 HOT_TOP = 50
 USER_SAMPLE_FRAC = 0.2
 SEED = 42

@@ -11,7 +11,7 @@ import datetime as _dt
 
 from cartwheel.plans.fixture import (
     CAP_BACKFILL, CAP_BINDING, CAP_DEFAULT, CART_MAX_ROWS, HOT_TOP, HOT_TOP_BACKFILL, LABEL_DATE, SEED,
-    SUBMISSION_CAP, USER_SAMPLE_FRAC,
+    SUBMISSION_CAP, SUBMISSION_CAP_UNSCORED, USER_SAMPLE_FRAC,
 )
 
 L = LABEL_DATE
@@ -760,3 +760,43 @@ _reg("eval_forced_topn", with_(*TRAIN_SCORED, f"ss AS (SELECT * FROM sc WHERE {S
         (SELECT CAST(coalesce(sum(label), 0) AS BIGINT) FROM ss) AS true_pos,
         (SELECT count(DISTINCT user_id) FROM ss) AS users)""").replace(
     "SELECT tp, pred_cnt, true_pos,", "SELECT 'global_topn' AS strategy, users, tp, pred_cnt, true_pos,", 1))
+
+
+# ---- masks rolled by a day, balanced folds, fold metrics, missing columns and scores ----
+_reg("recall_flags_rolled", with_(ACTIONS, ITEMS, FLAGS) + "\nSELECT * FROM flags")
+_reg("group_kfold_balanced", with_(
+    *_TFC,
+    f"""us AS (SELECT user_id, count(*) AS size,
+    row_number() OVER (ORDER BY count(*) DESC, md5(concat_ws('_', user_id, '{SEED}')), user_id) AS n
+  FROM tf GROUP BY user_id)""",
+    """deal AS (
+  SELECT CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS user_id, CAST(NULL AS INTEGER) AS fold, [0, 0, 0, 0, 0]::BIGINT[] AS load
+  UNION ALL
+  SELECT u.n, u.user_id, list_position(d.load, list_min(d.load)) - 1,
+         list_transform(d.load, lambda x, i: CASE WHEN i = list_position(d.load, list_min(d.load)) THEN x + u.size ELSE x END)
+  FROM deal d JOIN us u ON u.n = d.n + 1)""").replace("WITH ", "WITH RECURSIVE ", 1) + """
+SELECT tf.user_id, item_id, label, CAST(fold AS INTEGER) AS fold FROM tf JOIN deal USING (user_id)""")
+_reg("fold_report", with_(
+    *TRAIN_SCORED,
+    f"""fr AS (SELECT *, CAST(CAST('0x' || substr(md5(concat_ws('_', user_id, '{SEED}')), 1, 8) AS BIGINT) % 3 AS INTEGER) AS fold,
+    row_number() OVER (PARTITION BY user_id ORDER BY pred_prob DESC, item_id) AS rn FROM sc)""",
+    """fu AS (SELECT fold, user_id, sum(label) AS npos, coalesce(sum(label) FILTER (WHERE rn <= 5), 0) AS hits
+  FROM fr GROUP BY fold, user_id)""",
+    """fm AS (SELECT fold, avg(hits / 5.0::DOUBLE) AS precision, avg(CASE WHEN npos > 0 THEN hits / npos::DOUBLE ELSE 0 END) AS recall
+  FROM fu GROUP BY fold)""",
+    """fc AS (SELECT fold, pred_prob, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg
+  FROM fr GROUP BY fold, pred_prob)""",
+    """fb AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY fold ORDER BY pred_prob ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+  FROM fc)""",
+    """fa AS (SELECT fold, CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+    THEN sum(pos * (below + neg / 2.0::DOUBLE)) / (sum(pos)::DOUBLE * sum(neg)) END AS auc FROM fb GROUP BY fold)""") + """
+SELECT fold, round(auc, 9) AS auc, round(precision, 9) AS precision, round(recall, 9) AS recall,
+       round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END, 9) AS f1
+FROM fa JOIN fm USING (fold)""")
+_reg("strong_pairs_missing_columns", with_(*PRED_BASE) + """
+SELECT DISTINCT user_id, item_id FROM pfa
+WHERE coalesce(ui_cart_count, 0) > 0 OR coalesce(ui_days_since_last_action, 0) <= 3 OR coalesce(ui_purchase_count, 0) > 0""")
+_reg("cap_submission_unscored", with_(*PRED_BASE, *two_stage_sql("ts", "results", 5, 1),
+                                      "kept AS (SELECT * FROM results WHERE pred_prob >= 0.6)") + f"""
+SELECT t.user_id, t.item_id FROM ts t LEFT JOIN kept r ON r.user_id = t.user_id AND r.item_id = t.item_id
+ORDER BY coalesce(r.pred_prob, 0) DESC, t.user_id, t.item_id LIMIT {SUBMISSION_CAP_UNSCORED}""")

@@ -38,7 +38,8 @@ class Params:
     recency_bounds: tuple = (1, 3, 7)
     use_group_kfold: bool = True
     n_splits: int = 3
-    early_stopping: int = 200              # rounds; above 0 folds stop early, 0 never
+    balanced_folds: bool = False           # users dealt to folds by size, else by hash
+    early_stopping: int = 200              # rounds without a better AUC that end a fold's training, 0 never
     fast_params: bool = True
     max_iter: int | None = None
     exclude_features: tuple = ()

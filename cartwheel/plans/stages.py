@@ -23,20 +23,27 @@ from cartwheel.sources.sinks import read_table, write_embedding, write_submissio
 
 
 def stage_candidates(spark: SparkSession, actions: DataFrame, items: DataFrame, p: Params,
-                     out_dir: str) -> dict:
-    """Stage 1: one flags table (written once), then both candidate sets."""
-    flags_path = scratch_path(spark, "flags")
-    write_table(recall.pair_flags(actions, items, p.label_date), flags_path)
-    flags = read_table(spark, flags_path)
+                     out_dir: str, masks_of_yesterday: str | None = None) -> dict:
+    """Stage 1: the pairs' day masks (written once, and kept as
+    ``out_dir/pair_masks`` for the next day), then both candidate sets. With the
+    masks of the day before only the new day's actions are read."""
+    masks_path = f"{out_dir}/pair_masks"
+    if masks_of_yesterday:
+        masks = recall.roll_masks(read_table(spark, masks_of_yesterday), actions, items, p.label_date)
+    else:
+        masks = recall.pair_masks(actions, items, p.label_date)
+    write_table(masks, masks_path)
+    flags = recall.flags_of_masks(read_table(spark, masks_path))
     train = recall.train_candidates(flags, p.max_per_user, p.align_recall, p.pos_filter_in_recall)
     pred = recall.pred_candidates(flags, p.max_per_user)
     if p.enable_hot_backfill and p.max_per_user:
         hot = recall.hot_items(actions, items, p.label_date, p.hot_top)
         pred = recall.backfill_hot(pred, hot, p.max_per_user)
-    write_table(train, f"{out_dir}/train_candidates")
-    write_table(pred, f"{out_dir}/pred_candidates")
+    # In buckets of the pair, as the daily grain: the pair join of stage 2 moves neither.
+    write_table(train, f"{out_dir}/train_candidates", bucket_by=feat.PAIR)
+    write_table(pred, f"{out_dir}/pred_candidates", bucket_by=feat.PAIR)
     stats = recall.candidate_stats(read_table(spark, f"{out_dir}/train_candidates")).first().asDict()
-    return {"train_candidates": f"{out_dir}/train_candidates",
+    return {"train_candidates": f"{out_dir}/train_candidates", "pair_masks": masks_path,
             "pred_candidates": f"{out_dir}/pred_candidates", "stats": stats}
 
 
@@ -71,9 +78,9 @@ def _strategy(p: Params, chosen: dict) -> dict:
 
 
 def _model_report(oof: DataFrame) -> dict:
-    """AUC of every fold and of all out-of-fold rows, and the ranking metrics."""
-    folds = [r["fold"] for r in oof.select("fold").distinct().orderBy("fold").collect()]   # one row per fold
-    return {"fold_auc": {f: mx.auc(oof.where(F.col("fold") == f)).first()["auc"] for f in folds},
+    """AUC and metrics at 5 of every fold, AUC of all out-of-fold rows, and the ranking metrics."""
+    folds = {r["fold"]: r.asDict() for r in mx.fold_report(oof).collect()}             # one row per fold
+    return {"fold_auc": {f: r["auc"] for f, r in sorted(folds.items())}, "folds": folds,
             "oof_auc": mx.auc(oof).first()["auc"],
             "metrics": [r.asDict() for r in mx.metric_report(oof).collect()]}
 
@@ -108,7 +115,7 @@ def stage_scoring(spark: SparkSession, actions: DataFrame, p: Params, out_dir: s
 
     def run(features):
         return scoring.kfold_train_predict(fit_rows, pred, features, p.n_splits, p.use_group_kfold, p.seed,
-                                           preset, p.max_iter, p.early_stopping > 0, class_weight)
+                                           preset, p.max_iter, p.early_stopping, class_weight, p.balanced_folds)
 
     res = run(cols)
     kept, dropped = scoring.drop_zero_importance(res.importance, cols)
@@ -116,6 +123,8 @@ def stage_scoring(spark: SparkSession, actions: DataFrame, p: Params, out_dir: s
         res = run(kept)
         cols = kept
     report["features"] = cols
+    report["best_iterations"] = [m.best_iteration for m in res.models]
+    write_table(res.importance, f"{out_dir}/feature_importance")
 
     oof_path = f"{out_dir}/oof"
     write_table(res.oof, oof_path)
@@ -153,10 +162,10 @@ def stage_scoring(spark: SparkSession, actions: DataFrame, p: Params, out_dir: s
 
 
 def run_all(spark: SparkSession, actions: DataFrame, items: DataFrame, p: Params, out_dir: str,
-            grain: DataFrame | None = None) -> dict:
+            grain: DataFrame | None = None, masks_of_yesterday: str | None = None) -> dict:
     """All three stages in order; each one's scratch tables go when it ends."""
     with scratch_scope(spark):
-        r1 = stage_candidates(spark, actions, items, p, out_dir)
+        r1 = stage_candidates(spark, actions, items, p, out_dir, masks_of_yesterday)
     with scratch_scope(spark):
         stage_features(spark, actions, items, p, out_dir, grain=grain)
     with scratch_scope(spark):

@@ -25,7 +25,8 @@ def con():
 
 def test_every_query_has_oracle_or_is_model():
     rows_only = set(OWN) - set(ORACLE)
-    assert rows_only == {"oof_scores", "pred_scores", "feature_importance", "pruned_features", "pca_embedding"}
+    assert rows_only == {"oof_scores", "pred_scores", "feature_importance", "pruned_features", "pca_embedding",
+                         "model_nodes", "fold_history", "prune_retrain"}
 
 
 @pytest.mark.parametrize("name", NAMES)
