@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import heapq
 import json
-import unicodedata
+import re
 from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
@@ -29,13 +29,14 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from cartwheel.llm.common import id_and_text, map_slices
 
 #: Longest word, in UTF-8 bytes, that the rank array merges by scanning.
 SHORT_WORD = 96
 #: Distinct pieces and words a Python worker remembers.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 400_000
 #: Words merged at once.
 BLOCK_WORDS = 4096
 NO_RANK, NO_PART = 1 << 30, -1
@@ -51,66 +52,75 @@ def byte_letters() -> list[str]:
 
 
 class TextPieces:
-    """Cuts texts into pieces that a tokenizer of this form (lower case, white
-    space dropped) treats one by one, and pieces into words; remembers the ids
-    of both. ``word_ids`` gives the ids of distinct words as bytes."""
-
-    #: White space for Python's split, an ordinary character for the tokenizer.
-    SEPARATORS = "\x1c\x1d\x1e\x1f"
-
-    def __init__(self, spec: dict, word_ids: Callable[[list[str]], list[bytes]]):
+    """Cuts texts at white space into pieces that a tokenizer of this form
+    (lower case, white space dropped) treats one by one, and pieces into words;
+    remembers the ids of both. ``word_ids`` gives the ids of distinct words,
+    ``odd_ids`` those of pieces that hold anything but verified letters.
+
+    For the verified letters (a test holds every one of them against the
+    library) lower-casing and cutting are Python's; they are in normal form, and
+    none of them combines with another. All else, marks, rare scripts, letters
+    newer than somebody's tables, special tokens, goes through the library's own
+    normaliser and pre-tokeniser."""
+
+    VERIFIED = re.compile("[\t\n\r -~¡-ſΑ-ΡΣ-ωА-я]*")
+    #: White space of the tokenizer's pattern.
+    SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+
+    def __init__(self, path: str, word_ids: Callable[[list[str]], list[bytes]],
+                 odd_ids: Callable[[list[str]], list[bytes]]):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         kinds = [n["type"] for n in spec["normalizer"]["normalizers"]]
         if kinds != ["NFC", "Replace", "Lowercase"] or spec["model"]["end_of_word_suffix"] != "</w>":
             raise ValueError("the tokenizer file is not of the lower-case word-end form")
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")")
         self.word = regex.compile(split)
-        self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")")
-        self.word_ids = word_ids
-        self.by_word: dict[str, bytes] = {}
-        self.by_piece: dict[tuple | str, bytes] = {}
+        self.word_ids, self.odd_ids = word_ids, odd_ids
+        self.known: dict[str | tuple, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
-        if len(self.by_word) > CACHE_ENTRIES:
-            self.by_word.clear()
-        if len(self.by_piece) > CACHE_ENTRIES:
-            self.by_piece.clear()
+        known = self.known
+        if len(known) > CACHE_ENTRIES:
+            known.clear()
         cut = [self.pieces(t) for t in texts]
-        parts = {p: self.parts(p) for p in set(chain.from_iterable(cut)).difference(self.by_piece)}
-        new = list({w for ws in parts.values() for w in ws if isinstance(w, str)}.difference(self.by_word))
-        self.by_word.update(zip(new, self.word_ids(new)))
-        known = self.by_word
-        for p, ws in parts.items():
-            self.by_piece[p] = b"".join([known[w] if isinstance(w, str) else w.to_bytes(4, "little") for w in ws])
-        return [b"".join(map(self.by_piece.__getitem__, c)) for c in cut]
+        new = set(chain.from_iterable(cut)).difference(known)
+        if new:
+            self.learn(new)
+        return [b"".join(map(known.__getitem__, c)) for c in cut]
+
+    def learn(self, new: set) -> None:
+        known, words, cut, odd = self.known, set(), [], []
+        for p in new:
+            if type(p) is tuple:
+                odd.append(p)
+            elif p.isalpha():
+                words.add(p)
+            else:
+                parts = (p[:-1], p[-1]) if p[-1] in ".,;:!?" and p[:-1].isalpha() else self.word.findall(p)
+                cut.append((p, parts))
+                words.update(parts)
+        fresh = list(words.difference(known))
+        # A word is a piece too (one that isn't cut): both share the table.
+        known.update(zip(fresh, self.word_ids(fresh)))
+        known.update([(p, b"".join(map(known.__getitem__, parts))) for p, parts in cut if len(parts) != 1 or parts[0] != p])
+        known.update(zip(odd, self.odd_ids([p for p, in odd]) if odd else ()))
 
     def pieces(self, text: str) -> list:
-        """The pieces of a text; those not normalised yet as 1-tuples."""
-        ready = "<|" not in text and unicodedata.is_normalized("NFC", text)
-        if ready:
-            text = self.lower(text)
-        cut = regex.split(r"[ \t\n\r]+", text) if any(c in text for c in self.SEPARATORS) else text.split()
-        return cut if ready else [(p,) for p in cut]
+        """The pieces of a text: lower-cased, or as they are in a 1-tuple."""
+        verified = self.VERIFIED.fullmatch
+        if "<|" not in text and verified(text):
+            return self.lower(text).split()
+        return [self.lower(p) if "<|" not in p and verified(p) else (p,) for p in self.SPACE.split(text) if p]
 
     @staticmethod
     def lower(text: str) -> str:
         # One letter at a time: no special form for a sigma that ends a word.
         return text.replace("Σ", "σ").lower()
 
-    def parts(self, piece) -> list:
-        """The words (strings) and special tokens (ids) of a piece."""
-        if isinstance(piece, tuple):
-            return [self.specials[part] if part in self.specials else w
-                    for part in self.special.split(piece[0])
-                    for w in ([part] if part in self.specials else
-                              self.word.findall(self.lower(unicodedata.normalize("NFC", part))))]
-        if piece.isalpha():
-            return [piece]
-        if piece[-1:] in ".,;:!?" and piece[:-1].isalpha():
-            return [piece[:-1], piece[-1]]
-        return self.word.findall(piece)
-
 
 class WordBpe:
     """A tokenizer of the word-end form, read from its file."""
@@ -120,7 +130,9 @@ class WordBpe:
             spec = json.load(f)
         model = spec["model"]
         vocab, suffix = model["vocab"], model["end_of_word_suffix"]
-        self.cut = TextPieces(spec, self.word_ids)
+        self.library = Tokenizer.from_file(path)
+        self.byte_of = {c: b for b, c in enumerate(byte_letters())}
+        self.cut = TextPieces(path, self.word_ids, self.odd_ids)
         self.token_of = {i: t for t, i in (vocab | self.cut.specials).items()}
         self.inner = np.array([vocab[c] for c in byte_letters()], np.int32)
         self.final = np.array([vocab[c + suffix] for c in byte_letters()], np.int32)
@@ -134,6 +146,16 @@ class WordBpe:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
         return self.cut.encode(texts)
 
+    def odd_ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that the library normalises and cuts into words."""
+        normal, cut = self.library.normalizer.normalize_str, self.library.pre_tokenizer.pre_tokenize_str
+        special, specials, letters = self.cut.special.split, self.cut.specials, self.byte_of.__getitem__
+        parts = [[[p] if p in specials else [w for w, _ in cut(normal(p))] for p in special(piece) if p] for piece in pieces]
+        words = list({w for piece in parts for part in piece for w in part}.difference(specials))
+        known = dict(zip(words, self.word_ids([bytes(map(letters, w)).decode() for w in words])))
+        known.update((t, i.to_bytes(4, "little")) for t, i in specials.items())
+        return [b"".join([known[w] for part in piece for w in part]) for piece in parts]
+
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs of adjacent parts; NO_RANK where they don't merge."""
         key = left.astype(np.int64) << 32 | right

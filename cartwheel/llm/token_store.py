@@ -21,7 +21,6 @@ ignored.
 
 from __future__ import annotations
 
-import json
 import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -88,21 +87,27 @@ class EliasFano:
 
 
 class LibraryEncoder:
-    """Ids of whole texts by the tokenizers library: texts are cut into words
-    by the file's own rules and each distinct word is merged by the library's
-    model once per Python worker (bounded cache)."""
+    """Ids of whole texts by the tokenizers library, each distinct word encoded
+    once per Python worker (bounded cache): words of verified letters by the
+    library's model, any other piece by the library as a whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.model, self.letters = Tokenizer.from_file(path).model, byte_letters()
-        with open(path, encoding="utf-8") as f:
-            self.cut = TextPieces(json.load(f), self.words)
+        self.library, self.letters = Tokenizer.from_file(path), byte_letters()
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.model = self.library.model
+        self.cut = TextPieces(path, self.words, self.odd)
 
     def words(self, words: list[str]) -> list[bytes]:
         merge, letters = self.model.tokenize, self.letters
         return [b"".join([t.id.to_bytes(4, "little") for t in merge("".join([letters[b] for b in w.encode()]))])
                 for w in words]
 
+    def odd(self, pieces: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         return self.cut.encode(texts)
 
