@@ -20,7 +20,6 @@ from cartwheel.session import materialize
 from cartwheel.sources.daily_logs import actions_between
 from cartwheel.sources.items import item_set
 
-MAX_HOT = 10_000             # items of a hot list, a bound on what the plan carries
 FLAG_COLUMNS = ["t_recent", "t_strong", "t_label", "p_recent", "p_strong"]
 
 
@@ -232,15 +231,13 @@ def hot_items(actions: DataFrame, items: DataFrame, label_date, top: int) -> Dat
 def backfill_hot(pred: DataFrame, hot: DataFrame, max_per_user: int) -> DataFrame:
     """Users under the cap get unseen hot items appended in hot-rank order.
 
-    The hot list has at most ``top`` rows (a parameter), so it is collected as
-    a literal array (``MAX_HOT`` at most, else an error). The candidates are
-    written once; one aggregate over them gives each user's size and owned
-    *hot* items (also at most ``top``), never the whole candidate list. No
-    cross join.
+    A user with n candidates has room for ``max_per_user - n`` more and owns at
+    most n hot items, so the first ``max_per_user`` of the list are all that can
+    be needed: they are collected as a literal array, however long the list. The
+    candidates are written once; one aggregate over them gives each user's size
+    and owned *hot* items, never the whole candidate list. No cross join.
     """
-    hot_ids = [r["item_id"] for r in hot.orderBy("hot_rank").select("item_id").limit(MAX_HOT + 1).collect()]
-    if len(hot_ids) > MAX_HOT:
-        raise ValueError(f"a hot list of more than {MAX_HOT} items")
+    hot_ids = [r["item_id"] for r in hot.orderBy("hot_rank").select("item_id").limit(int(max_per_user)).collect()]
     pred = materialize(pred.select("user_id", "item_id"), "pred-candidates")
     if not hot_ids:
         return pred

@@ -151,3 +151,13 @@ def test_bucketed_stage_tables_read_as_plain_files_too(spark, tmpdir_path):
     name = _TABLES[path]
     remove(spark, path)
     assert path not in _TABLES and not spark.catalog.tableExists(name)
+
+
+def test_a_hot_list_longer_than_the_cap(spark):
+    """Only its first items can be needed, and none is missed."""
+    pred = spark.createDataFrame([(u, i) for u in range(6) for i in range(u)], "user_id long, item_id long")
+    hot = spark.createDataFrame([(i, 100 - i, i + 1) for i in range(50)], "item_id long, cnt long, hot_rank int")
+    got = {}
+    for r in recall.backfill_hot(pred, hot, 8).collect():
+        got.setdefault(r.user_id, set()).add(r.item_id)
+    assert got == {u: set(range(8)) for u in range(1, 6)}

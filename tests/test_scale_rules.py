@@ -81,7 +81,7 @@ def test_feature_plans_expand_nothing_and_combine_first(spark):
         grain = feat.feature_population(inp.actions, inp.items, cands, inp.train_ref)._jdf.queryExecution().toString()
         # The log is reduced (partial and final) below the joins with the item and user sets.
         physical = grain[grain.index("== Physical Plan =="):]
-        assert physical.rindex("LeftSemi") < physical.index("HashAggregate") if "LeftSemi" in physical else True
+        assert physical.rindex("SortMergeJoin") < physical.index("HashAggregate") < physical.index("BroadcastHashJoin")
         full = feat.build_features(inp.actions, inp.items, cands, inp.train_ref)._jdf.queryExecution().toString()
         assert "Expand" not in full
     finally:
