@@ -38,8 +38,8 @@ def normalised(text: Column) -> Column:
 
 
 def _best() -> Column:
-    """Of a group: its largest text's length, then the smallest id, nulls last."""
-    return F.min(F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").isNull().alias("no_id"), "doc_id"))
+    """Of a group: its largest text's length, then the smallest id, nulls last; t names the text."""
+    return F.min(F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "t"))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -50,11 +50,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     scratch = Scratch(docs.sparkSession)
     texts = id_and_text(docs, id_col, text_col)
     norm = normalised(F.col("text"))
-    rows = scratch.write(texts.select("doc_id", F.length("text").alias("n_points"),
+    rows = scratch.write(texts.select("doc_id", F.length("text").alias("n_points"), F.xxhash64("text").alias("t"),
                                       F.unhex(F.sha2(norm, 256)).alias("sha"),
                                       content_hash(norm.cast("binary")).alias("h")), "exact-rows")
     groups = scratch.write(rows.groupBy("h").agg(F.count("*").alias("n"), _best().alias("best")).where("n > 1")
-                           .select("h", "n", F.col("best.doc_id").alias("keep_id"),
+                           .select("h", "n", F.col("best.doc_id").alias("keep_id"), F.col("best.t").alias("keep_t"),
                                    (-F.col("best.less")).alias("keep_points")), "exact-groups")
     bad = scratch.write(_collisions(texts, rows, groups, norm), "exact-collisions")
     bad = bad.where(content_hash(F.col("other").cast("binary")) == F.col("bad_h"))      # not another text of the same id
@@ -81,19 +81,19 @@ def _collisions(texts: DataFrame, rows: DataFrame, groups: DataFrame, norm: Colu
     """Rows whose normalised bytes differ from those of the row their group
     keeps: bad_id, bad_h, bad_sha and other, their normalised text."""
     shares = F.ceil(F.col("n") / SHARE_ROWS)
+    # Members are told apart by id and text: repeated rows and null ids meet their own text alone.
     members = (rows.join(groups, "h")
-               .withColumn("share", F.pmod(F.xxhash64("doc_id", "n_points"), shares)))
+               .withColumn("share", F.pmod(F.xxhash64("doc_id", "t"), shares)))
     # The kept row of a group once, with a copy for every share.
-    keeps = (groups.withColumnRenamed("keep_id", "doc_id").withColumnRenamed("keep_points", "points")
-             .select("doc_id", "points", "h", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share")))
-    m = members.select(F.col("doc_id").alias("m_id"), "n_points", "h", "sha", "share")
-    k = keeps.select(F.col("doc_id").alias("k_id"), "points", F.col("h").alias("k_h"), F.col("share").alias("k_share"))
-    # A row is found again by id, length and hash: repeated rows meet more than once, with equal texts.
-    def text_of(narrow: DataFrame, row_id: str, points: str, h: str) -> DataFrame:
-        here = texts.select(F.col("doc_id").alias("t_id"), F.length("text").alias("t_points"), "text")
-        return here.join(narrow, F.col("t_id").eqNullSafe(F.col(row_id)) & (F.col("t_points") == F.col(points)))
-    kept = text_of(k, "k_id", "points", "k_h").select("k_h", "k_share", norm.alias("kept_text"))
-    own = text_of(m, "m_id", "n_points", "h").select(
+    keeps = groups.select("h", "keep_id", "keep_t", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"))
+    m = members.select(F.col("doc_id").alias("m_id"), F.col("t").alias("m_t"), "h", "sha", "share").distinct()
+    k = keeps.select(F.col("keep_id").alias("k_id"), F.col("keep_t").alias("k_t"), F.col("h").alias("k_h"), F.col("share").alias("k_share"))
+
+    def text_of(narrow: DataFrame, row_id: str, t: str) -> DataFrame:
+        here = texts.select(F.col("doc_id").alias("t_id"), F.xxhash64("text").alias("t_t"), "text")
+        return here.join(narrow, F.col("t_id").eqNullSafe(F.col(row_id)) & (F.col("t_t") == F.col(t)))
+    kept = text_of(k, "k_id", "k_t").select("k_h", "k_share", norm.alias("kept_text")).dropDuplicates(["k_h", "k_share"])
+    own = text_of(m, "m_id", "m_t").select(
         F.col("m_id").alias("bad_id"), F.col("h").alias("bad_h"), F.col("sha").alias("bad_sha"), "share", norm.alias("other"))
     pairs = own.join(kept, (F.col("bad_h") == F.col("k_h")) & (F.col("share") == F.col("k_share")))
     return (pairs.where(F.col("other") != F.col("kept_text")).select("bad_id", "bad_h", "bad_sha", "other")

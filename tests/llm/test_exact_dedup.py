@@ -52,3 +52,26 @@ def test_keep_one_keeps_whole_rows(spark):
 def test_query_matches_sql(spark, sf):
     r = compare(spark, duck(sf), "op8_exact_dedup", op8_exact_dedup, ORACLE["op8_exact_dedup"], sf)
     assert r["status"] == "match", r
+
+
+def test_repeats_and_null_ids_of_one_length_meet_their_own_texts_alone(spark, monkeypatch):
+    """2,000 equal rows of one id, 2,000 null ids with texts of one length, twice each."""
+    rows = [(1, "same text")] * 2000 + [(None, f"{k:09d}") for k in range(1000)] * 2 + [(5, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    seen = []
+    real = exact_dedup._collisions
+
+    def counted(texts, found, groups, norm):
+        m = found.join(groups, "h").select("doc_id", "t", "h").distinct()
+        here = texts.select(F.col("doc_id").alias("i"), F.xxhash64("text").alias("x"))
+        seen.append(here.join(m, F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("x") == F.col("t"))).count())
+        return real(texts, found, groups, norm)
+    monkeypatch.setattr(exact_dedup, "_collisions", counted)
+    got = rows_of(exact_dedup.exact_groups(docs))
+    assert seen == [4000]
+    assert got == brute(rows)
+
+
+def test_very_long_text(spark):
+    rows = [(1, "x y" * 300_000), (2, "xy" * 300_000), (3, "short")]
+    assert rows_of(exact_dedup.exact_groups(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
