@@ -1,9 +1,10 @@
 """Operator 10: WARC archives and their Merkle fixity audit.
 
 ``write_archive`` writes pages as WARC/1.1 resource records, each a gzip member
-of its own, some thousand a file, by Spark's text writer (a member ends with
-the zero byte that tops its length, which is the writer's line separator, so
-the files are gzip files though their names end in .txt). ``scan`` reads an
+of its own, by Spark's text writer: a row a file, closed by ``FILE_BYTES`` or
+``RECORDS_PER_FILE`` (a member ends with the zero byte that tops its length,
+which is the writer's line separator, so the files are gzip files though their
+names end in .txt). ``scan`` reads an
 archive's files back, parses the records by their Content-Length and hashes each
 record and each ordered offset range of ``RANGE_BYTES`` uncompressed bytes.
 
@@ -34,17 +35,21 @@ import re
 import struct
 import zlib
 from bisect import bisect_right
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import Scratch, map_slices
+from cartwheel.llm.common import Scratch
 
-RECORDS_PER_FILE = 2000
+#: A file is closed after so many records or stored bytes; a record is never split over files.
+RECORDS_PER_FILE, FILE_BYTES = 2000, 32 << 20
 RANGE_BYTES = 1 << 16
 #: Bits of a node's number that its children add; of a range within its file; of a file within its part.
-FAN_BITS, RANGE_BITS, FILE_BITS = 8, 16, 12
+#: A place beyond them is an error.
+FAN_BITS, RANGE_BITS, FILE_BITS = 8, 16, 20
+PLACE_BITS = 62
 END = "\r\n\r\n"
 #: Bytes of a member at most: the top byte of its length is zero then. A longer record goes on in others.
 MEMBER_BYTES = (1 << 24) - 1
@@ -54,13 +59,18 @@ SCAN_SCHEMA = ("kind string, place long, at long, length long, digest binary, pa
                "n_bytes long, payload_sha256 string")
 
 
-def record(page_id: Column, url: Column, html: Column) -> Column:
-    """A WARC record without the line ends that close it."""
+#: Date of records whose table has none.
+NO_DATE = "1970-01-01T00:00:00Z"
+
+
+def record(page_id: Column, url: Column, html: Column, number: Column, date: Column) -> Column:
+    """A WARC record without the line ends that close it. ``number`` makes its id
+    unique where page ids are null or repeated."""
     payload = F.coalesce(html, F.lit(""))
     target = F.regexp_replace(url, r"[\x00-\x20\x7f]", "%20")
     return F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")),
-        F.lit(">\r\n"), F.coalesce(F.concat(F.lit("WARC-Target-URI: "), target, F.lit("\r\n")), F.lit("")),
+        F.lit(":"), number.cast("string"), F.lit(">\r\nWARC-Date: "), date, F.lit("\r\n"), F.coalesce(F.concat(F.lit("WARC-Target-URI: "), target, F.lit("\r\n")), F.lit("")),
         F.lit("Content-Type: text/html\r\nContent-Length: "), F.octet_length(payload).cast("string"), F.lit(END), payload)
 
 
@@ -74,15 +84,29 @@ def pack(data: bytes) -> bytes:
     return b"".join(out)[:-1]
 
 
-def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
+def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+                  date: Column | None = None) -> None:
     """Writes pages to WARC files in the order of their rows, without a shuffle:
-    replicas of one table have the same records at the same places."""
-    rows = pages.select(F.concat(record(F.col(id_col).cast("long"), F.col(url_col), F.col(html_col)), F.lit(END))
-                        .cast("binary").alias("value"))
-    members = map_slices(rows, lambda batch: pa.RecordBatch.from_arrays(
-        [pa.array([pack(v.as_py()) for v in batch.column(0)], pa.binary())], ["value"]), "value binary")
-    (members.select(F.col("value").cast("string")).write.option("lineSep", "\0")
-     .option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder))
+    replicas of one table, read in the same splits, have the same records at the
+    same places. ``date`` gives each record's WARC-Date (text)."""
+    date = F.coalesce(date, F.lit(NO_DATE)) if date is not None else F.lit(NO_DATE)
+    one = record(F.col(id_col).cast("long"), F.col(url_col), F.col(html_col), F.monotonically_increasing_id(), date)
+    rows = pages.select(F.concat(one, F.lit(END)).cast("binary").alias("value"))
+
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for value in batch.column(0):
+                held.append(pack(value.as_py()))
+                size += len(held[-1]) + 1
+                if size >= FILE_BYTES or len(held) >= RECORDS_PER_FILE:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"\0".join(held)], pa.binary())], ["value"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([b"\0".join(held)], pa.binary())], ["value"])
+
+    (rows.mapInArrow(files, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\0")
+     .option("maxRecordsPerFile", 1).text(folder))
 
 
 def parse(data: bytes, starts: list[int] = ()):
@@ -97,7 +121,7 @@ def parse(data: bytes, starts: list[int] = ()):
         size = re.search(rb"\r\nContent-Length: (\d{1,18})(?:\r\n|$)", data[at:head]) if head >= 0 else None
         end = limit
         if size:
-            start, page = head + len(END), re.search(rb"<urn:page:(-?\d{1,19})>", data[at:head])
+            start, page = head + len(END), re.search(rb"<urn:page:(-?\d{1,19})(?::\d+)?>", data[at:head])
             end = min(start + int(size[1]) + len(END), limit)
             number = int(page[1]) if page else None
             yield (at, end - at, number if page and -1 << 63 <= number < 1 << 63 else None,
@@ -110,9 +134,18 @@ def parse(data: bytes, starts: list[int] = ()):
 def place_of(path: str) -> int:
     """A file's place in the tree: its part and its number within the part."""
     part, number = map(int, re.search(r"part-(\d+)-.*-c(\d+)\.", path).groups())
+    if number >> FILE_BITS or part >> PLACE_BITS - FILE_BITS - RANGE_BITS:
+        raise ValueError(f"no place for file {number} of part {part}")
     return (part << FILE_BITS | number) << RANGE_BITS
 
 
+def range_of(place: int, n: int) -> int:
+    """The place of a file's n-th range."""
+    if n >> RANGE_BITS:
+        raise ValueError(f"a file with more than {1 << RANGE_BITS} ranges of {RANGE_BYTES} bytes")
+    return place | n
+
+
 def mend(data: bytes, last: bool) -> bytes:
     """What a damaged member held before the damage, at the length its trailer
     names; the last of a file may have been cut off before its trailer."""
@@ -170,7 +203,7 @@ def scan(spark: SparkSession, folder: str) -> DataFrame:
                         for at, length, page, payload in parse(data, starts)]
                 for n, at in enumerate(range(0, len(data), RANGE_BYTES)):
                     length = min(RANGE_BYTES, len(data) - at)
-                    rows.append(("range", place | n, at, length, digest(at, length), None, None, None))
+                    rows.append(("range", range_of(place, n), at, length, digest(at, length), None, None, None))
                 types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.string()]
                 columns = list(zip(*rows)) or [[]] * len(types)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],

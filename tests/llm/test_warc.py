@@ -1,6 +1,9 @@
 import gzip
 import hashlib
 import os
+import re
+
+import pytest
 
 from cartwheel.llm import warc
 from cartwheel.llm.common import Scratch
@@ -173,3 +176,32 @@ def test_descent_skips_equal_branches(spark):
 def test_empty_archive(spark, tmp_path):
     warc.write_archive(spark.createDataFrame([], SCHEMA), f"{tmp_path}/e")
     assert warc.audit(spark, f"{tmp_path}/e", f"{tmp_path}/e").count() == 0
+
+
+def test_places_of_many_files_and_ranges_do_not_meet(monkeypatch):
+    name = "x/part-{:05d}-8a-c{:03d}.txt".format
+    places = [warc.place_of(name(p, n)) for p in (0, 1) for n in (0, 1, 4095, 4096, 5000)]
+    assert len(set(places)) == 10 and places == sorted(places)
+    assert warc.range_of(places[0], 65_535) < places[1]
+    for bad in (lambda: warc.range_of(0, 65_536), lambda: warc.place_of(name(0, 1 << warc.FILE_BITS)),
+                lambda: warc.place_of(name(1 << 26, 0))):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_files_are_cut_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    rows = [(k, None, "".join(hashlib.md5(b"%d %d" % (k, j)).hexdigest() for j in range(60)), 0) for k in range(300)]
+    warc.write_archive(spark.createDataFrame(rows, SCHEMA).coalesce(1), f"{tmp_path}/a")
+    sizes = [os.path.getsize(f) for f in files(f"{tmp_path}/a")]
+    assert len(sizes) > 10 and max(sizes) < 23_000
+    same = warc.audit(spark, f"{tmp_path}/a", f"{tmp_path}/a").collect()
+    assert sorted(r.page_id for r in same) == list(range(300)) and {r.status for r in same} == {"intact"}
+
+
+def test_records_are_valid_and_named_apart(spark, tmp_path):
+    warc.write_archive(spark.createDataFrame(ROWS + ODD, SCHEMA).coalesce(2), f"{tmp_path}/a")
+    data = b"".join(gzip.open(f).read() for f in files(f"{tmp_path}/a"))
+    heads = re.findall(rb"WARC-Type: resource\r\nWARC-Record-ID: (<[^>]+>)\r\nWARC-Date: (\S+)\r\n", data)
+    assert len(heads) == len(ROWS + ODD) == len({h for h, _ in heads})
+    assert {d for _, d in heads} == {warc.NO_DATE.encode()}
