@@ -6,18 +6,23 @@ descent on snippets of a bounded sample of labelled rows:
 ``ROWS_PER_LANG`` rows of each language, in hash order, and
 ``SNIPPETS_PER_ROW`` snippets of up to ``SNIPPET_WORDS`` words from anywhere in
 each text. A fifth of the rows is set aside to calibrate: a temperature makes
-the scores probabilities, and the rejection threshold is the highest at which
-none of the rightly predicted snippets, short ones included, would go, but at
-most ``OVER_CHANCE`` times what chance gives: texts of a known language that are
-unlike the sample stay.
+the scores probabilities, and two thresholds reject. One is on how usual a
+text's n-grams are (the mean log frequency of their buckets in training): the
+least of the snippets set aside, less ``SPARE`` standard deviations. It catches
+other scripts, other languages and gibberish, which a softmax shares out among
+the languages it knows. The other is on the score: the highest at which none of
+the rightly predicted snippets would go, at most ``OVER_CHANCE`` times chance.
+Texts of a known language that are unlike the sample stay.
 
 Averages and the softmax's input are linear in the embeddings, so prediction
 uses their product, one row of logits for each hash bucket, which goes to the
 executors (``BUCKETS`` x languages numbers). It reads every byte of every text.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0;
-so is every text where no row is labelled; rows with a null id are predicted
-but never learned from; repeated rows get equal results; an empty table gives
+so is every text where no row is labelled (``drop_rejected`` then drops the
+letterless alone); more than ``MAX_LANGS`` languages are an error; rows with a null id are predicted
+but never learned from; of the rows of one id and language the least text is
+learned from; repeated rows get equal results; an empty table gives
 an empty table; other columns are ignored.
 """
 
@@ -39,6 +44,8 @@ ROWS_PER_LANG, SNIPPETS_PER_ROW, SNIPPET_WORDS = 800, 6, 50
 SNIPPET_CHARS = 600
 #: Rejected texts score less than this many times an even share among the languages.
 OVER_CHANCE = 1.5
+#: Standard deviations below the least usual snippet set aside that still pass; languages at most.
+SPARE, MAX_LANGS = 3.0, 1000
 BUCKETS, DIM, EPOCHS, BATCH, RATE = 1 << 16, 16, 4, 32, 0.5
 GRAMS = (3, 4)
 #: Bytes whose n-grams are held at once.
@@ -96,12 +103,18 @@ class Model:
     langs: list[str]
     table: np.ndarray           # a row of logits for each bucket
     bias: np.ndarray
+    usual: np.ndarray           # log frequency of each bucket in training
     temperature: float = 1.0
     threshold: float = 0.0
+    least_usual: float = -np.inf
 
     def logits(self, texts: list[str]) -> np.ndarray:
-        """Logits of whole texts, some megabytes of n-grams at a time."""
-        sums, counts = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
+        return self.measure(texts)[0]
+
+    def measure(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Logits of whole texts and how usual their n-grams are (0 where there
+        is none), some megabytes of n-grams at a time."""
+        sums, counts = np.zeros((len(texts), len(self.langs) + 1)), np.zeros(len(texts))
         group, size = [], 0
         for k, t in enumerate(texts):
             raw = to_bytes(t)
@@ -110,7 +123,8 @@ class Model:
             if size >= WINDOW or k == len(texts) - 1:
                 self._add(group, sums, counts)
                 group, size = [], 0
-        return sums / np.maximum(counts, 1)[:, None] + self.bias
+        means = sums / np.maximum(counts, 1)[:, None]
+        return means[:, :-1] + self.bias, means[:, -1]
 
     def _add(self, group: list, sums: np.ndarray, counts: np.ndarray) -> None:
         data = LETTERS[np.frombuffer(b"".join(raw for _, raw in group), np.uint8)]
@@ -122,16 +136,18 @@ class Model:
             counts[rows] += np.bincount(owner, minlength=len(rows))
             for lang in range(len(self.langs)):
                 sums[rows, lang] += np.bincount(owner, self.table[bucket, lang], len(rows))
+            sums[rows, -1] += np.bincount(owner, self.usual[bucket], len(rows))
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """Languages and calibrated scores."""
-        if not self.langs:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        p = softmax(self.logits(texts) / self.temperature)
-        best = p.argmax(axis=1)
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Languages, calibrated scores, and which texts are rejected."""
         known = np.array([has_letter(t) for t in texts], bool)
-        return ([self.langs[b] if k else UNKNOWN for b, k in zip(best, known)],
-                np.where(known, p[np.arange(len(texts)), best], 0.0))
+        if not self.langs:
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), ~known
+        logits, usual = self.measure(texts)
+        p = softmax(logits / self.temperature)
+        best, score = p.argmax(axis=1), p.max(axis=1)
+        rejected = ~known | (score < self.threshold) | (usual < self.least_usual)
+        return [self.langs[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, score, 0.0), rejected
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -143,7 +159,9 @@ def train(snippets: list[tuple[str, str, bool]], seed: int = 7) -> Model:
     """A model from (text, language, for calibration)."""
     langs = sorted({lang for _, lang, _ in snippets})
     if not langs:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
+        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), np.zeros(BUCKETS))
+    if len(langs) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
     rng = np.random.default_rng(seed)
     grams = gram_lists([t for t, _, _ in snippets])
     label = np.array([langs.index(lang) for _, lang, _ in snippets])
@@ -169,7 +187,9 @@ def train(snippets: list[tuple[str, str, bool]], seed: int = 7) -> Model:
             bias -= rate * error.sum(axis=0).astype(np.float32)
             np.subtract.at(embed, flat, np.repeat(rate * back, size, axis=0))
             step += 1
-    model = Model(langs, (embed @ weight).astype(np.float32), bias.astype(float))
+    seen = sum((np.bincount(grams[r], minlength=BUCKETS) for r in learn), np.zeros(BUCKETS))
+    usual = np.log((seen + 0.1) / (seen.sum() + 0.1 * BUCKETS))
+    model = Model(langs, (embed @ weight).astype(np.float32), bias.astype(float), usual)
     held = np.flatnonzero(some & aside)
     if len(held):
         _calibrate(model, [snippets[h][0] for h in held], label[held])
@@ -177,7 +197,8 @@ def train(snippets: list[tuple[str, str, bool]], seed: int = 7) -> Model:
 
 
 def _calibrate(model: Model, texts: list[str], label: np.ndarray) -> None:
-    logits = model.logits(texts)
+    logits, usual = model.measure(texts)
+    model.least_usual = float(usual.min() - SPARE * usual.std())
     rows = np.arange(len(texts))
     loss = {t: -np.log(softmax(logits / t)[rows, label] + 1e-12).mean() for t in np.geomspace(0.1, 10, 41)}
     model.temperature = float(min(loss, key=loss.get))
@@ -213,31 +234,31 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     # Ids are ranked only among the lowest hashes, some four times as many as are wanted of each language:
     # what meets in a task doesn't grow with the table. (A row for each language is broadcast.)
     counts = rows.groupBy("lang").agg(F.count("*").alias("rows_of")).withColumnRenamed("lang", "c_lang")
+    if counts.limit(MAX_LANGS + 1).count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
     share = F.least(F.lit(1.0), 4.0 * ROWS_PER_LANG / F.col("rows_of"))
     low = F.col("h").cast("double") / 2.0 ** 64 + 0.5 <= share
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    sample = (rows.join(F.broadcast(counts), (F.col("lang") == F.col("c_lang")) & low)
+    sample = (rows.join(F.broadcast(counts), (F.col("lang") == F.col("c_lang")) & low).dropDuplicates(["doc_id", "lang"])
               .withColumn("k", F.row_number().over(order)).where(F.col("k") <= ROWS_PER_LANG)
-              .select(F.col("doc_id").alias("s_id"), F.col("lang").alias("s_lang"), (F.col("k") % 5 == 0).alias("aside"))
-              .dropDuplicates(["s_id", "s_lang"]))
-    # The sample's size is bounded by ROWS_PER_LANG for each language.
+              .select(F.col("doc_id").alias("s_id"), F.col("lang").alias("s_lang"), (F.col("k") % 5 == 0).alias("aside")))
+    # The sample's size is bounded by ROWS_PER_LANG for each language, whatever the ids.
     texts = (docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
                          F.col(text_col).cast("string").alias("text")).where("text is not null")
              .join(F.broadcast(sample), (F.col("doc_id") == F.col("s_id")) & (F.col("lang") == F.col("s_lang")))
-             .select("text", "lang", "aside"))
+             .groupBy("doc_id", "lang", "aside").agg(F.min("text").alias("text")).select("text", "lang", "aside"))
     got = map_slices(texts, _snippets, "text string, lang string, aside boolean").collect()
     return train(sorted((r.text, r.lang, r.aside) for r in got))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred, score and rejected (no letter, or a score below the
-    calibrated threshold) of every whole text."""
+    """doc_id, lang_pred, score and rejected (no letter, unusual n-grams, or a
+    score below the calibrated threshold) of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         m = shared.value
-        langs, scores = m.predict(batch.column(1).to_pylist())
-        gone = [lang == UNKNOWN or s < m.threshold for lang, s in zip(langs, scores)]
+        langs, scores, gone = m.predict(batch.column(1).to_pylist())
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
                                            pa.array(gone, pa.bool_())], ["doc_id", "lang_pred", "score", "rejected"])
 
@@ -253,7 +274,7 @@ def drop_rejected(docs: DataFrame, model: Model, text_col: str = "text") -> Data
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         m = shared.value
-        langs, scores = m.predict([t or "" for t in batch.column(at).to_pylist()])
-        return batch.filter(pa.array([lang != UNKNOWN and bool(s >= m.threshold) for lang, s in zip(langs, scores)]))
+        gone = m.predict([t or "" for t in batch.column(at).to_pylist()])[2]
+        return batch.filter(pa.array(~gone))
 
     return map_slices(docs, run, docs.schema)

@@ -63,3 +63,42 @@ def test_no_labelled_rows(spark):
     docs = spark.createDataFrame([(1, "some text", None), (2, None, None)], "doc_id long, text string, lang string")
     none = langid.fit(docs)
     assert [r.lang_pred for r in langid.predict(docs, none).collect()] == ["und", "und"]
+
+
+FOREIGN = ["A magyar nyelv az uráli nyelvcsalád tagja, a finnugor nyelvek közé tartozó ugor nyelvek egyike.",
+           "Język polski należy do grupy zachodniosłowiańskiej rodziny języków indoeuropejskich.",
+           "Η ελληνική γλώσσα ανήκει στην ινδοευρωπαϊκή οικογένεια γλωσσών.", "日本語は主に日本で使われている言語である。",
+           "Русский язык является одним из восточнославянских языков.", "qwxz zzkp vvbn qqqq", "aaaa bbbb cccc",
+           "Suomen kieli kuuluu uralilaisten kielten itämerensuomalaiseen ryhmään"]
+
+
+def test_unlike_texts_are_rejected_and_clean_ones_kept(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs)
+    assert sum(model.predict(FOREIGN)[2]) >= 7
+    lettered = [r.text for r in docs.collect() if r.text and any(map(str.isalpha, r.text))]
+    assert sum(model.predict(lettered)[2]) <= 0.01 * len(lettered)
+    assert not model.predict(["a", "the"])[2][0]            # no n-gram: nothing to judge by
+
+
+def test_nothing_learned_keeps_what_has_letters(spark):
+    docs = spark.createDataFrame([(1, "some text", None), (2, "123", None), (3, None, None)], "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert [r.doc_id for r in langid.drop_rejected(docs, model).collect()] == [1]
+
+
+def test_repeated_ids_are_learned_from_once(spark, monkeypatch):
+    monkeypatch.setattr(langid, "ROWS_PER_LANG", 20)
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda snippets: seen.append(snippets))
+    rows = [(7, f"word number {k} of the same id", "en") for k in range(500)] + [(k, f"mot numéro {k}", "fr") for k in range(40)]
+    langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    per = {lang: sum(x[1] == lang for x in seen[0]) for lang in ("en", "fr")}
+    assert per["en"] <= langid.SNIPPETS_PER_ROW and 0 < per["fr"] <= 20 * langid.SNIPPETS_PER_ROW
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGS", 2)
+    rows = [(k, "text", f"l{k % 3}") for k in range(60)]
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
