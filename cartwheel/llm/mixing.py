@@ -40,6 +40,8 @@ from cartwheel.llm.common import Scratch
 #: Sources that a mix can name; shards of its output; words of a block.
 MAX_SOURCES, SHARDS, BLOCK_WORDS = 100_000, 16, 1 << 14
 BUCKET_ROWS = 4096
+#: Bytes of a part of an output shard, about, and bytes of a word.
+PART_BYTES, WORD_BYTES = 4 << 20, 8
 #: Weights by a source's place in code-point order, repeating.
 WEIGHTS = (3, 1, 2)
 #: The mix's size as a share of all words, and how often a source may be repeated.
@@ -214,8 +216,13 @@ def mixed(docs: DataFrame, seed: int = 20, id_col: str = "doc_id", text_col: str
     p, s, h, m, r = (f"{tag}{c}" for c in "pshmr")
     chosen = Scratch(docs.sparkSession).write(
         plan(docs, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-        .groupBy("doc_id", "source", "h").agg(F.flatten(F.collect_list("shards")).alias(s), F.count("*").alias(m))
+        .groupBy("doc_id", "source", "h").agg(F.flatten(F.collect_list("shards")).alias(s), F.count("*").alias(m),
+                                              F.sum("taken").alias("words"))
         .where(F.size(s) > 0), "mix-chosen")
+    # A shard is as many parts as its bytes ask for, dealt by hash: what meets in a task doesn't grow with the mix.
+    words = chosen.agg(F.sum("words")).first()[0] or 0
+    parts = max(1, words * WORD_BYTES // (options.get("shards", SHARDS) * PART_BYTES))
+    chosen = chosen.drop("words")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     here = docs.withColumns({h: F.xxhash64(F.lit(seed), F.col(id_col).cast("long"), text)})
     keys = chosen.withColumnsRenamed({"doc_id": f"{tag}i", "source": f"{tag}o", "h": p})
@@ -227,5 +234,5 @@ def mixed(docs: DataFrame, seed: int = 20, id_col: str = "doc_id", text_col: str
     repeats = rows.where(F.col(m) > 1).withColumn(r, F.row_number().over(one))
     dealt = alone.unionByName(repeats).withColumn(s, F.filter(s, lambda x, k: F.pmod(k, F.col(m)) == F.col(r) - 1))
     out = dealt.select(*docs.columns, F.posexplode(s).alias(f"{tag}k", f"{tag}shard"), F.col(h))
-    return (out.repartition(f"{tag}shard", F.pmod(h, F.lit(8))).sortWithinPartitions(f"{tag}shard", F.xxhash64(h, f"{tag}k"))
+    return (out.repartition(f"{tag}shard", F.pmod(F.xxhash64(h, f"{tag}k"), F.lit(int(parts)))).sortWithinPartitions(f"{tag}shard", F.xxhash64(h, f"{tag}k"))
             .select(docs.columns))
