@@ -184,7 +184,7 @@ def manifest(docs: DataFrame, columns: tuple = HASHED, id_col: str = "doc_id", s
         (F.col("grn") - 1).alias("rank"), F.col("tree_root").alias("digest"), F.col("tree").alias("of"))
     top = _tiers(over, ["of"], sum(few.n > (1 << FAN_BITS * k) for k in range(15)), scratch)
     root = _roots(top).first()["tree_root"]
-    one = spark.range(1).select(F.lit(0).cast("long").alias("tree"), F.array().cast(EMPTY_PATH).alias("path"),
+    one = spark.range(1).select(F.col("id").alias("tree"), F.array().cast(EMPTY_PATH).alias("path"),
                                 F.lit(root).alias("tree_root"))
     sources = _paths_down(top, one, ["of"]).select(F.col("of").alias("tree"), "path", F.col("digest").alias("tree_root"))
     rows = _paths_down(tiers, scratch.write(sources, "manifest-paths"), ["doc_id", *names])

@@ -103,6 +103,11 @@ def test_blocks_are_built_behind_one_shuffle(spark):
     assert seen[0].count("Exchange") == 1 and "Join" not in seen[0]
 
 
+def test_no_join_without_a_key(spark):
+    plan = manifest.manifest(spark.createDataFrame(rows_of({"a": 40, "b": 3}), SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
 def test_query_matches_sql(spark, sf):
     r = compare(spark, duck(sf), "op12_manifest", op12_manifest, ORACLE["op12_manifest"], sf)
     assert r["status"] == "match", r
