@@ -14,6 +14,7 @@ not leaf by leaf.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextvars import copy_context
 from dataclasses import dataclass, field, replace
 from multiprocessing.pool import ThreadPool
 
@@ -101,8 +102,10 @@ def kfold_train_predict(train: DataFrame, pred: DataFrame | None, feature_cols:
         return boosting.fit(base, feature_cols, params, weight=weight, held=F.col("fold") == F.lit(f),
                             patience=int(early_stopping), seed=seed + 1000 * f)
 
+    # Each fold works in a copy of this thread's context (its scratch scopes).
+    contexts = [copy_context() for _ in range(n_splits)]
     with ThreadPool(max(1, min(parallelism, n_splits))) as pool:
-        models = pool.map(inheritable_thread_target(train.sparkSession)(one), range(n_splits))
+        models = pool.map(inheritable_thread_target(train.sparkSession)(lambda f: contexts[f].run(one, f)), range(n_splits))
 
     oof = base.withColumn("pred_prob", boosting.probability(models, feature_cols, fold="fold")).drop("_w")
     spark = train.sparkSession

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,12 +74,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh table path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/cartwheel-{name}-{uuid.uuid4().hex[:12]}"
-    for paths in _SCOPES:
+    for paths in _SCOPES.get():
         paths.append(path)
     return path
 
 
-_SCOPES: list[list[str]] = []
+# The open scopes of the running thread of work: another thread's tables aren't theirs.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("cartwheel-scopes", default=())
 
 
 # Bucketed tables by folder: a reader of the folder can use their buckets.
@@ -98,11 +100,11 @@ def scratch_scope(spark: SparkSession):
     """Scratch tables named inside are removed at the end: their readers have
     to be done by then (results written elsewhere, or collected)."""
     paths: list[str] = []
-    _SCOPES.append(paths)
+    token = _SCOPES.set((*_SCOPES.get(), paths))
     try:
         yield
     finally:
-        _SCOPES.remove(paths)
+        _SCOPES.reset(token)
         for path in paths:
             remove(spark, path)
 

@@ -109,6 +109,21 @@ def test_scratch_tables_go_with_their_scope(spark):
     assert not here()
 
 
+def test_a_scope_leaves_other_threads_tables_alone(spark):
+    import threading
+    got = {}
+
+    def other():
+        got["kept"] = materialize(spark.range(5), "scope-other")
+
+    with scratch_scope(spark):
+        worker = threading.Thread(target=other)
+        worker.start()
+        worker.join()
+        materialize(spark.range(3), "scope-own")
+    assert got["kept"].count() == 5
+
+
 def test_folds_learn_a_planted_signal(spark):
     rows = spark.range(1200).select(F.col("id").alias("user_id"), F.lit(1).cast("long").alias("item_id"),
                                     F.rand(1).alias("x"), F.rand(2).alias("noise")).withColumn(
