@@ -114,21 +114,26 @@ def occurrences(raw: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.
 def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions in the order of their first ``depth`` symbols or more, and
     the inverse, by prefix doubling."""
-    n, rank, width = len(text), text.astype(np.int64), 1
-    base = max(int(rank.max(initial=0)), n) + 2
+    n = len(text)
+    # As many symbols as a key of 63 bits holds; after that, ranks of two halves.
+    top = int(text.max(initial=0)) + 1
+    width = max(1, min(depth, 63 // top.bit_length()))
+    key = np.zeros(n, np.int64)
+    for k in range(width):
+        key <<= top.bit_length()
+        key[:max(n - k, 0)] += text[k:] + 1
     while True:
-        nxt = np.zeros(n, np.int64)
-        nxt[:max(n - width, 0)] = rank[width:] + 1
-        key = rank * base + nxt
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)                             # equal keys in any order
         key = key[order]
         step = np.zeros(n, np.int64)
         step[1:] = key[1:] != key[:-1]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(step)
-        width *= 2
         if width >= depth or rank[order[-1]] == n - 1:
             break
+        key = rank * (n + 1)
+        key[:max(n - width, 0)] += rank[width:] + 1
+        width *= 2
     place = np.empty(n, np.int64)
     place[order] = np.arange(n)
     return order, place
@@ -153,11 +158,18 @@ def common_prefix_groups(text: np.ndarray, length: int) -> tuple[np.ndarray, np.
         real = symbol != 0
         to = back[rows[real]]
         owner[to] = (np.repeat(np.arange(len(size)), size)[real] << 9) + symbol[real]
-        change = np.flatnonzero(owner[1:] != owner[:-1]) + 1
-        if owner[0] >= 0:
-            change = np.concatenate(([0], change))
-        starts = change[owner[change] >= 0]
-        ends = change[np.searchsorted(change, starts) + 1]
+        # Runs of neighbours with one owner: from the places in use where these are few, else from all.
+        if len(to) < n // 8:
+            used = np.sort(to)
+            own = owner[used]
+            first = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (used[1:] != used[:-1] + 1)][:len(used)])
+            starts, ends = used[first], used[np.append(first[1:], len(used))[:len(first)] - 1] + 1
+        else:
+            change = np.flatnonzero(owner[1:] != owner[:-1]) + 1
+            if owner[0] >= 0:
+                change = np.concatenate(([0], change))
+            starts = change[owner[change] >= 0]
+            ends = change[np.searchsorted(change, starts) + 1]
         owner[to] = -1
         fresh = ~bounded[ends] | ~bounded[starts]           # a boundary not known by shorter strings
         bounded[ends[fresh]] = bounded[starts[fresh]] = True

@@ -134,3 +134,26 @@ def test_nulls_repeats_and_empty_table(spark):
                                            ([(0, 1), (100, 1)], [(0, 200)])])
 def test_ranges_merge_to_maximal_spans(ranges, spans):
     assert sd.merged(ranges) == spans
+
+
+def test_suffixes_are_ordered_in_few_sorts(monkeypatch):
+    """Keys start with as many symbols as they hold (r03: op3_passages); order and neighbours are those of plain sorting."""
+    rng = np.random.default_rng(5)
+    text = rng.integers(1, 4, 3000)
+    text[1000:1300] = text[2000:2300]
+    text[[999, 1999, 2999]] = 0
+    text[5] = 256
+    sorts, real = [], np.argsort
+    monkeypatch.setattr(sd.np, "argsort", lambda *a, **k: sorts.append(1) or real(*a, **k))
+    order, place = sd.suffix_order(text, L + 1)
+    monkeypatch.undo()
+    assert len(sorts) <= 5
+    cut = [tuple(text[k:k + L + 1]) for k in order]
+    assert cut == sorted(cut) and (place[order] == np.arange(len(text))).all()
+    at, group = sd.common_prefix_groups(text, L)
+    strings = {}
+    for k in range(len(text) - L + 1):
+        if 0 not in text[k:k + L]:
+            strings.setdefault(tuple(text[k:k + L]), []).append(k)
+    want = sorted(v for v in strings.values() if len(v) > 1)
+    assert sorted(sorted(at[group == g].tolist()) for g in np.unique(group)) == want and len(want) == 201
