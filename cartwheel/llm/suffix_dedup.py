@@ -10,10 +10,11 @@ fingerprint, with a 64-bit hash of its bytes, its context. Occurrences meet by
 fingerprint; only repeated ones go on. An occurrence whose context occurred
 earlier goes whole. Of each context the first occurrence remains, and where a
 fingerprint has more contexts than one, their common windows are found on a
-Burrows-Wheeler transform of the contexts: starting from the empty string, all
-intervals are extended backward, breadth first; the intervals of length l
-bound common prefixes of length l - 1, so these come out by increasing value
-until ``LENGTH``, where the search stops. What has no boundary by then shares
+Burrows-Wheeler transform of the contexts: starting from the intervals that the
+sort of the suffixes went by (strings of 56 bytes), all intervals are extended
+backward, breadth first; the intervals of length l bound common prefixes of
+length l - 1, so these come out by increasing value until ``LENGTH``, where the
+search stops. What has no boundary by then shares
 ``LENGTH`` bytes, and all but its earliest window go.
 
 A block of contexts holds whole fingerprints and about ``BLOCK_BYTES``. A
@@ -114,6 +115,12 @@ def occurrences(raw: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.
 def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions in the order of their first ``depth`` symbols or more, and
     the inverse, by prefix doubling."""
+    return _sorted_suffixes(text, depth)[:2]
+
+
+def _sorted_suffixes(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
+    """``suffix_order``, the most symbols below ``depth`` that a sort went by,
+    and for each place whether these differ from those of the place before."""
     n = len(text)
     # As many symbols as a key of 63 bits holds; after that, ranks of two halves.
     top = int(text.max(initial=0)) + 1
@@ -122,6 +129,7 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     for k in range(width):
         key <<= top.bit_length()
         key[:max(n - k, 0)] += text[k:] + 1
+    known, edges = 0, np.arange(n) == 0
     while True:
         order = np.argsort(key)                             # equal keys in any order
         key = key[order]
@@ -129,6 +137,9 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         step[1:] = key[1:] != key[:-1]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(step)
+        if width < depth:                                   # later sorts only order what is equal here
+            known, edges = width, step > 0
+            edges[:1] = True
         if width >= depth or rank[order[-1]] == n - 1:
             break
         key = rank * (n + 1)
@@ -136,22 +147,29 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         width *= 2
     place = np.empty(n, np.int64)
     place[order] = np.arange(n)
-    return order, place
+    return order, place, known, edges
 
 
 def common_prefix_groups(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions whose ``length`` symbols occur more than once without a 0, and
-    a number for each such string; by backward extension of intervals."""
+    a number for each such string; by backward extension of the intervals that
+    the sort left."""
     n = len(text)
-    order, place = suffix_order(text, length + 1)
+    order, place, known, edges = _sorted_suffixes(text, length + 1)
+    zeros = np.flatnonzero(text == 0)
+    after = n - 1 - zeros[-1] if len(zeros) else n          # a text that ends without a 0 goes on
+    gaps = np.append(np.diff(zeros, prepend=-1), after)
+    room = (np.repeat(np.append(zeros, n + length), gaps) - np.arange(n))[order]         # symbols before the next 0
     bwt = text[order - 1]                                   # the symbol before each suffix
     back = place[order - 1]                                 # where the suffix with that symbol in front is
     bwt[order == 0] = 0
-    bounded = np.zeros(n + 1, bool)                         # the common prefix before this suffix is known
-    bounded[[0, n]] = True
-    lows, highs = np.array([0]), np.array([n])
+    bounded = np.append(edges, True)                        # the common prefix before this suffix is known
+    lows = np.flatnonzero(edges)
+    highs = np.append(lows[1:], n)
+    whole = room[lows] >= known                             # strings without a 0
+    lows, highs = lows[whole], highs[whole]
     owner = np.full(n + 1, -1, np.int64)
-    for _ in range(length):
+    for _ in range(length - known):
         size = highs - lows
         rows = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lows, size)
         symbol = bwt[rows]
@@ -177,9 +195,7 @@ def common_prefix_groups(text: np.ndarray, length: int) -> tuple[np.ndarray, np.
         if not len(lows):
             break
     group = np.cumsum(bounded[:n])
-    zeros = np.append(np.flatnonzero(text == 0), n + length)
-    whole = zeros[np.searchsorted(zeros, order)] - order >= length
-    shared = (~bounded[:n] | ~bounded[1:]) & whole          # together with a neighbour
+    shared = (~bounded[:n] | ~bounded[1:]) & (room >= length)           # together with a neighbour
     return order[shared], group[shared]
 
 

@@ -157,3 +157,24 @@ def test_suffixes_are_ordered_in_few_sorts(monkeypatch):
             strings.setdefault(tuple(text[k:k + L]), []).append(k)
     want = sorted(v for v in strings.values() if len(v) > 1)
     assert sorted(sorted(at[group == g].tolist()) for g in np.unique(group)) == want and len(want) == 201
+
+
+def test_intervals_start_where_the_sort_left_them(monkeypatch):
+    """Only the last symbols are searched (r03: op3_passages); the groups are those of all windows."""
+    rng = np.random.default_rng(8)
+    text = rng.integers(1, 3, 4000)
+    text[1000:1300] = text[2000:2300]
+    text[1700:1890] = text[2050:2240]
+    text[[999, 1500, 1699, 2999, 3500]] = 0
+    text[7] = 256
+    steps, real = [], np.repeat
+    monkeypatch.setattr(sd.np, "repeat", lambda *a, **k: steps.append(1) or real(*a, **k))
+    at, group = sd.common_prefix_groups(text, L)
+    monkeypatch.undo()
+    assert len(steps) <= 3 * (L - 56) + 1                       # three calls a step; it took a step a symbol
+    strings = {}
+    for k in range(len(text) - L + 1):
+        if 0 not in text[k:k + L]:
+            strings.setdefault(tuple(text[k:k + L]), []).append(k)
+    want = sorted(v for v in strings.values() if len(v) > 1)
+    assert sorted(sorted(at[group == g].tolist()) for g in np.unique(group)) == want and max(map(len, want)) == 3
